@@ -249,7 +249,7 @@ register(
             J.join_zone(roles.trips_e(s, d), roles.zones_c(s, d), "pickup_location_id", ["borough"]).withColumn(
                 "hour_timestamp", C.hour_of("pickup_datetime")
             ),
-            roles.weather_h(s, d), "hour_timestamp", ["weather_condition"], J.hours_in(ALL_EVENTS),
+            roles.weather_h(s, d), "hour_timestamp", ["weather_condition"], AS_OF, ALL_EVENTS,
         ),
         dates=(EVENTS_FROM, EVENTS_TO),
         borough=["Manhattan", "Queens"],
@@ -313,7 +313,8 @@ register(
             "trip_id", F.to_date("pickup_datetime").alias("trip_date"), F.hour("pickup_datetime").alias("hour")
         ),
         roles.weather_h(s, d),
-        rows=J.hours_in(ALL_EVENTS),
+        as_of=AS_OF,
+        length=ALL_EVENTS,
     ),
     q("trips_e weather_h", f"""SELECT trip_id, {DATE} AS trip_date, {HOUR_NO} AS "hour", {_W} FROM trips_e
       LEFT JOIN weather_h ON {DATE} = CAST("timestamp" AS DATE) AND hour(pickup_datetime) = hour("timestamp")"""),
@@ -324,7 +325,8 @@ register(
         roles.trips_e(s, d).select("trip_id", C.hour_of("pickup_datetime").alias("hour_timestamp")),
         roles.weather_raw(s, d),
         "hour_timestamp",
-        rows=J.hours_in(ALL_EVENTS),
+        as_of=AS_OF,
+        length=ALL_EVENTS,
     ),
     q("trips_e weather_raw", f"""SELECT trip_id, {HOUR} AS hour_timestamp, {_W} FROM trips_e LEFT JOIN best
       ON {HOUR} = date_trunc('hour', "timestamp")""",
@@ -363,7 +365,7 @@ DROPOFFS = f"""SELECT dropoff_location_id AS location_id, {DATE} AS trip_date, {
 register(
     "join_pick_drop",
     lambda s, d: J.join_pick_drop(
-        A.pickup_metrics(roles.trips_e(s, d), roles.weather_h(s, d), J.hours_in(ALL_EVENTS)).select(
+        A.pickup_metrics(roles.trips_e(s, d), roles.weather_h(s, d), AS_OF, ALL_EVENTS).select(
             "location_id", "trip_date", "hour", "total_pickups"
         ),
         A.dropoff_metrics(roles.trips_e(s, d)),

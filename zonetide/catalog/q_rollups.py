@@ -10,10 +10,8 @@ from zonetide.catalog.registry import (
 )
 from zonetide.catalog.role_sql import r
 from zonetide.catalog.role_sql import with_roles as q
-from zonetide.operators import joins as J
 from zonetide.operators import ordering as T
 from zonetide.operators import rollups as A
-from zonetide.operators import windows as W
 from zonetide.plans import serving as M
 from zonetide.sources import roles
 
@@ -43,7 +41,7 @@ register(
 )
 register(
     "pickup_metrics",
-    lambda s, d: A.pickup_metrics(roles.trips_e(s, d), roles.weather_h(s, d), J.hours_in(ALL_EVENTS)),
+    lambda s, d: A.pickup_metrics(roles.trips_e(s, d), roles.weather_h(s, d), AS_OF, ALL_EVENTS),
     q("trips_e weather_h", PICKUPS),
     "avg_fare_per_pickup avg_tip_percentage avg_trip_distance",
 )
@@ -51,7 +49,7 @@ register("dropoff_metrics", lambda s, d: A.dropoff_metrics(roles.trips_e(s, d)),
 register(
     "zone_day_stats",
     lambda s, d: A.zone_day_stats(
-        A.pickup_metrics(roles.trips_e(s, d), roles.weather_h(s, d), J.hours_in(ALL_EVENTS))
+        A.pickup_metrics(roles.trips_e(s, d), roles.weather_h(s, d), AS_OF, ALL_EVENTS)
     ),
     q("trips_e weather_h", """SELECT location_id, trip_date, avg(total_pickups) AS avg_hourly_pickups,
       max(total_pickups) AS max_hourly_pickups FROM p GROUP BY 1, 2""", p=PICKUPS),

@@ -28,8 +28,8 @@ def interval(text: str) -> Column:
 
 
 def moment(value) -> Column:
-    """A timestamp literal from text or datetime."""
-    return F.lit(value).cast("timestamp")
+    """A timestamp literal from text or datetime; a column stays as it is."""
+    return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
 
 
 # --- time -----------------------------------------------------------------------------------------------------------

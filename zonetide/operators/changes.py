@@ -4,52 +4,62 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonetide.functions import columns as C
 from zonetide.functions import fixed_values as V
 from zonetide.sources import schemas
 
 
+def _fields_of(json_text: Column, schema: str) -> Column:
+    """The fields of a JSON text as columns of their own, parsed once per row.
+
+    A generator is a barrier: filters on the fields stay above it. As a plain projection, each filter would be pushed
+    below with a copy of the parse.
+    """
+    return F.inline(F.array(F.from_json(json_text, schema)))
+
+
 def parse_envelope(broker: DataFrame, col: str = "value", keep: Sequence[str] = ("timestamp", "offset")) -> DataFrame:
     """Broker rows to operation, source time, before/after text and source names.
 
     An object read into a string field keeps its JSON text, so the payload schema is chosen later.
     """
-    parsed = F.from_json(F.col(col).cast("string"), schemas.ENVELOPE)
     kept = [c for c in keep if c in broker.columns]
-    return broker.select(*kept, parsed.alias("_e")).select(
+    return broker.select(*kept, _fields_of(F.col(col).cast("string"), schemas.ENVELOPE)).select(
         *kept,
-        F.col("_e.op").alias("op"),
-        F.col("_e.ts_ms").alias("ts_ms"),
-        F.col("_e.before").alias("before"),
-        F.col("_e.after").alias("after"),
-        F.col("_e.source.db").alias("source_db"),
-        F.col("_e.source.table").alias("source_table"),
-        F.col("_e.source.ts_ms").alias("source_ts_ms"),
+        "op",
+        "ts_ms",
+        "before",
+        "after",
+        F.col("source.db").alias("source_db"),
+        F.col("source.table").alias("source_table"),
+        F.col("source.ts_ms").alias("source_ts_ms"),
     )
 
 
 def parse_payload(envelopes: DataFrame, schema: str = schemas.TRIP_PAYLOAD) -> DataFrame:
     """The row after the change, flattened next to the change's metadata."""
     kept = [c for c in envelopes.columns if c not in ("before", "after")]
-    return envelopes.select(*kept, F.from_json("after", schema).alias("_row")).select(*kept, "_row.*")
+    return envelopes.select(*kept, _fields_of(F.col("after"), schema))
 
 
 def flatten_change(envelopes: DataFrame, schema: str = schemas.TRIP_PAYLOAD) -> DataFrame:
     """Current row plus `__` metadata; a delete keeps its last row and is marked."""
-    row = F.from_json(F.coalesce("after", "before"), schema)
     kept = [c for c in ("timestamp", "offset") if c in envelopes.columns]
+    meta = {
+        "__op": F.col("op"),
+        "__source_ts_ms": F.col("source_ts_ms"),
+        "__source_db": F.col("source_db"),
+        "__source_table": F.col("source_table"),
+        "__deleted": F.col("op") == V.DELETE,
+    }
+    fields = T.StructType.fromDDL(schema).names
     return envelopes.select(
-        *kept,
-        row.alias("_row"),
-        F.col("op").alias("__op"),
-        F.col("source_ts_ms").alias("__source_ts_ms"),
-        F.col("source_db").alias("__source_db"),
-        F.col("source_table").alias("__source_table"),
-        (F.col("op") == V.DELETE).alias("__deleted"),
-    ).select(*kept, "_row.*", "__op", "__source_ts_ms", "__source_db", "__source_table", "__deleted")
+        *kept, *[c.alias(n) for n, c in meta.items()], _fields_of(F.coalesce("after", "before"), schema)
+    ).select(*kept, *fields, *meta)
 
 
 def with_target(df: DataFrame, topic_col: str = "topic") -> DataFrame:
@@ -80,11 +90,12 @@ def type_change(
 def split_bad(broker: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
     """Good and bad broker rows: a bad one does not parse as an envelope or has no known operation."""
     parsed = F.from_json(
-        F.col(col).cast("string"), f"{schemas.ENVELOPE}, _bad string", {"columnNameOfCorruptRecord": "_bad"}
+        F.col(col).cast("string"), "op string, _bad string", {"columnNameOfCorruptRecord": "_bad"}
     )
-    is_bad = parsed["_bad"].isNotNull() | ~F.coalesce(parsed["op"].isin(*V.ALL_OPS), F.lit(False))
-    marked = broker.withColumn("_is_bad", is_bad)
-    return marked.filter(~F.col("_is_bad")).drop("_is_bad"), marked.filter("_is_bad").drop("_is_bad")
+    is_bad = F.col("_bad").isNotNull() | ~F.coalesce(F.col("_op").isin(*V.ALL_OPS), F.lit(False))
+    marked = broker.select("*", F.inline(F.array(parsed)).alias("_op", "_bad")).withColumn("_is_bad", is_bad)
+    good, bad = marked.filter(~F.col("_is_bad")), marked.filter("_is_bad")
+    return good.select(*broker.columns), bad.select(*broker.columns)
 
 
 def latest_per_key(changes: DataFrame, pk: str, order: Sequence[str] = ("ts_ms", "offset")) -> DataFrame:

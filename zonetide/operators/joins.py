@@ -20,10 +20,8 @@ HOT_SHARE = 1e-5  # a key with more than this share of the fact rows is hot, so
 SPREAD = 4096  # partitions worth of spread for rows that need no shuffled match
 
 
-def hours_in(length: str | None) -> int | None:
+def hours_in(length: str) -> int:
     """Whole hours touched by an interval: the most rows an hourly series can have in it."""
-    if length is None:
-        return None
     n, unit = re.match(r"\s*(\d+)\s+(\w+?)s?\s*$", length).groups()
     seconds = int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}[unit.lower()]
     return seconds // 3600 + 2
@@ -101,24 +99,37 @@ def dedupe_hourly(weather: DataFrame, ts_col: str = "timestamp", load_col: str |
     return best.select("hour_timestamp", *[F.col(f"_best.{c}").alias(c) for c in weather.columns])
 
 
-def hourly_weather(weather: DataFrame, columns=("weather_condition", "temperature_celsius")) -> DataFrame:
-    """Deduplicated weather: `hour_timestamp` and the asked columns."""
-    load_col = "load_date" if "load_date" in weather.columns else None
-    return dedupe_hourly(weather, load_col=load_col).select("hour_timestamp", *columns)
+WEATHER_COLUMNS = ("weather_condition", "temperature_celsius", "humidity_percent", "wind_speed_kmh")
 
 
-WEATHER_COLUMNS = ("weather_condition", "temperature_celsius", "humidity_percent", "wind_speed_kmh")
+def hourly_weather(weather: DataFrame, columns, as_of=None, length: str | None = None) -> tuple[DataFrame, int | None]:
+    """Deduplicated weather (`hour_timestamp` and the asked columns) and the most rows it can have.
+
+    With one row per hour, the hours of the interval bound the rows; without an interval nothing is known.
+    """
+    rows = None
+    if as_of is not None and length is not None:
+        until = C.moment(as_of)
+        since = C.hour_of(until - C.interval(length))
+        weather = weather.filter((F.col("timestamp") >= since) & (F.col("timestamp") <= until))
+        rows = hours_in(length)
+    load_col = "load_date" if "load_date" in weather.columns else None
+    return dedupe_hourly(weather, load_col=load_col).select("hour_timestamp", *columns), rows
 
 
-def join_weather_hour(df: DataFrame, weather: DataFrame, hour_col: str, columns=WEATHER_COLUMNS, rows=None):
-    """Fact with a truncated hour column, left-joined to the weather of that hour."""
-    w = hourly_weather(weather, columns).withColumnRenamed("hour_timestamp", hour_col)
-    return lookup_join(df, w, [hour_col], rows=rows)
+def join_weather_hour(
+    df: DataFrame, weather: DataFrame, hour_col: str, columns=WEATHER_COLUMNS, as_of=None, length: str | None = None
+) -> DataFrame:
+    """Fact with a truncated hour column, left-joined to the weather of that hour in the trailing interval."""
+    w, rows = hourly_weather(weather, columns, as_of, length)
+    return lookup_join(df, w.withColumnRenamed("hour_timestamp", hour_col), [hour_col], rows=rows)
 
 
-def join_weather_parts(df: DataFrame, weather: DataFrame, date_col="trip_date", hour_col="hour", rows=None):
-    """Fact with date and hour-of-day columns, left-joined to the weather of that hour."""
-    w = hourly_weather(weather, WEATHER_COLUMNS)
+def join_weather_parts(
+    df: DataFrame, weather: DataFrame, date_col="trip_date", hour_col="hour", as_of=None, length: str | None = None
+) -> DataFrame:
+    """Fact with date and hour-of-day columns, left-joined to the weather of that hour in the trailing interval."""
+    w, rows = hourly_weather(weather, WEATHER_COLUMNS, as_of, length)
     parts = w.select(
         F.to_date("hour_timestamp").alias(date_col), F.hour("hour_timestamp").alias(hour_col), *WEATHER_COLUMNS
     )
@@ -214,7 +225,8 @@ def nearby_demand(demand: DataFrame, zones: DataFrame, km: float, value: str = "
         .agg(F.sum(value).alias("_v"))
         .withColumns({"cx": cell("lat"), "cy": cell("lon")})
     )
-    points = place.groupBy("lat", "lon").agg(F.lit(1).alias("_one")).drop("_one")
+    # Only places with demand can ask or answer.
+    points = spots.select("lat", "lon").distinct()
     reach = CELLS_PER_RADIUS + 1
     around = F.sequence(F.lit(-reach), F.lit(reach))
     probes = points.withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around))

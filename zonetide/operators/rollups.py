@@ -39,8 +39,7 @@ def trip_weather(trips: DataFrame, weather: DataFrame, as_of, length: str | None
             F.countDistinct("pickup_location_id").cast("int").alias("pickup_zone_diversity"),
         )
     )
-    w = P.trailing(weather, "timestamp", as_of, length)
-    joined = J.join_weather_parts(hourly, w, rows=J.hours_in(length))
+    joined = J.join_weather_parts(hourly, weather, as_of=as_of, length=length)
     return joined.select(
         "trip_date",
         "hour",
@@ -60,9 +59,9 @@ def trip_weather(trips: DataFrame, weather: DataFrame, as_of, length: str | None
     )
 
 
-def pickup_metrics(trips: DataFrame, weather: DataFrame, rows: int | None = None) -> DataFrame:
+def pickup_metrics(trips: DataFrame, weather: DataFrame, as_of, length: str | None = "1 day") -> DataFrame:
     """Zone x date x hour x condition: pickups, mean fare, tip share and distance."""
-    rolled = trips.groupBy(
+    rolled = P.trailing(trips, "pickup_datetime", as_of, length).groupBy(
         F.col("pickup_location_id").alias("location_id"),
         F.to_date("pickup_datetime").alias("trip_date"),
         F.hour("pickup_datetime").alias("hour"),
@@ -72,7 +71,7 @@ def pickup_metrics(trips: DataFrame, weather: DataFrame, rows: int | None = None
         _mean(C.tip_pct("tip_amount", "fare_amount"), "avg_tip_percentage"),
         _mean("trip_distance", "avg_trip_distance"),
     )
-    joined = J.join_weather_parts(rolled, weather, rows=rows)
+    joined = J.join_weather_parts(rolled, weather, as_of=as_of, length=length)
     return joined.select(
         "location_id",
         "trip_date",
@@ -107,10 +106,8 @@ def zone_performance(trips, weather, zones, as_of, length: str | None = "1 day")
     The zone-day mean is a window over the rollup (at most 24 rows per zone-day), which saves a second aggregate and a
     join of the rollup with itself.
     """
-    t = P.trailing(trips, "pickup_datetime", as_of, length)
-    w = P.trailing(weather, "timestamp", as_of, length)
-    pickups = pickup_metrics(t, w, rows=J.hours_in(length))
-    both = J.join_pick_drop(pickups, dropoff_metrics(t))
+    pickups = pickup_metrics(trips, weather, as_of, length)
+    both = J.join_pick_drop(pickups, dropoff_metrics(P.trailing(trips, "pickup_datetime", as_of, length)))
     day = Window.partitionBy("location_id", "trip_date")
     with_mean = both.withColumn("_mean", F.avg("total_pickups").over(day))
     named = J.join_zone(

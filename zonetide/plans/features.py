@@ -66,9 +66,8 @@ def demand_features(
         },
     )
     rows = P.trailing(rolled, "hour_timestamp", as_of, emit)
-    w = P.trailing(weather, "timestamp", as_of, history)
     rows = J.join_weather_hour(
-        rows, w, "hour_timestamp", ("temperature_celsius", "weather_condition"), J.hours_in(history)
+        rows, weather, "hour_timestamp", ("temperature_celsius", "weather_condition"), as_of, history
     )
     rows = J.join_zone(rows, zones, "location_id", ["zone_type", "is_tourist_area", "is_business_district"])
     if nearby_km is None:
@@ -130,15 +129,14 @@ def demand_features_ml(
     lagged = W.add_rolling(W.add_lags(demand), ROLLING)
     popular = W.zone_popularity(demand).select("location_id", "popularity_decile")
     rows = P.trailing(lagged, "hour_timestamp", as_of, emit).join(popular, "location_id", "left")
-    w = P.trailing(weather, "timestamp", as_of, history).withColumn(
-        "condition_code", C.condition_code("weather_condition", 0)
-    )
+    w = weather.withColumn("condition_code", C.condition_code("weather_condition", 0))
     rows = J.join_weather_hour(
         rows,
         w,
         "hour_timestamp",
         ("temperature_celsius", "humidity_percent", "wind_speed_kmh", "condition_code"),
-        J.hours_in(history),
+        as_of,
+        history,
     )
     z = zones.withColumn("zone_type_encoded", C.zone_type_code("zone_type"))
     rows = J.join_zone(rows, z, "location_id", ["zone_type_encoded", "is_tourist_area", "is_business_district"])
@@ -206,7 +204,7 @@ def fare_features(
     recent = P.trailing(trips, "pickup_datetime", as_of, length)
     keys = zones.select("location_id")
     n_zones = keys.count()
-    hours = J.hours_in(length)
+    hours = None if length is None else J.hours_in(length)
     small = n_zones <= J.BROADCAST_ROWS
     z = F.broadcast(keys) if small else keys
 
@@ -224,13 +222,14 @@ def fare_features(
     t = P.positive(recent, ["fare_amount", "trip_distance"])
     t = J.join_both_zones(t, place, ["borough", "zone_type", "latitude", "longitude", "code"], how="inner")
     t = t.withColumn("hour_timestamp", C.hour_of("pickup_datetime"))
-    w = P.trailing(weather, "timestamp", as_of, length).withColumns(
+    w = weather.withColumns(
         {
             "condition_code": C.condition_code("weather_condition", V.DEFAULT_CONDITION_CODE),
             "bad": C.bad_weather("weather_condition"),
         }
     )
-    t = J.join_weather_hour(t, w, "hour_timestamp", ("temperature_celsius", "condition_code", "bad"), hours)
+    weather_columns = ("temperature_celsius", "condition_code", "bad")
+    t = J.join_weather_hour(t, w, "hour_timestamp", weather_columns, as_of, length)
     t = J.join_own_stats(t, routes, ["pickup_location_id", "dropoff_location_id"], bounds[0])
     t = J.join_own_stats(t, surges, ["pickup_location_id", "hour_timestamp"], bounds[1])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,12 +97,11 @@ def weather_impact(trips: DataFrame, weather: DataFrame, start, end) -> DataFram
     hourly = t.groupBy(C.hour_of("pickup_datetime").alias("hour_timestamp")).agg(
         A.n_rows().alias("_n"), F.sum("fare_amount").alias("_fare")
     )
-    # `end` lies within its hour, whose weather may carry an earlier time: take whole hours.
-    w = weather.filter(
-        (F.col("timestamp") >= C.hour_of(C.moment(start)))
-        & (F.col("timestamp") < C.hour_of(C.moment(end)) + C.interval("1 hour"))
-    )
-    joined = J.join_weather_hour(hourly, w, "hour_timestamp")
+    seconds = (datetime.fromisoformat(str(end)) - datetime.fromisoformat(str(start))).total_seconds()
+    joined = J.join_weather_hour(
+        hourly, weather, "hour_timestamp", as_of=C.hour_of(C.moment(end)) + C.interval("3599 seconds"),
+        length=f"{int(seconds) + 3600} seconds",
+    )
     return (
         joined.groupBy(
             F.to_date("hour_timestamp").alias("trip_date"),

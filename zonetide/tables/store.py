@@ -41,23 +41,18 @@ def with_time_partition(df: DataFrame, ts_col: str, grain: str) -> tuple[DataFra
     raise ValueError(f"unknown grain: {grain}")
 
 
-def _clustered(df: DataFrame, partition_by: Sequence[str], files_per_partition: int = 1) -> DataFrame:
+def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows brought together by partition value before a write, so tasks do not each write every partition.
 
-    One big partition is split over `files_per_partition` tasks.
+    Rebalancing lets the adaptive planner split a partition value that holds much of the data over several tasks.
     """
-    if not partition_by:
-        return df
-    if files_per_partition == 1:
-        return df.repartition(*partition_by)
-    return df.repartition(*partition_by, F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition)))
+    return df.hint("rebalance", *partition_by) if partition_by else df
 
 
 def write_table(
-    df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = (), files_per_partition: int = 1,
-    compression: str = "zstd",
-) -> None:
-    out = _clustered(df, partition_by, files_per_partition).write.mode(mode).option("compression", compression)
+    df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = (), compression: str = "zstd"
+) -> None:
+    out = _clustered(df, partition_by).write.mode(mode).option("compression", compression)
     (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
 
 
