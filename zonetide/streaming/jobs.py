@@ -46,10 +46,17 @@ def activity_stream(aggs: DataFrame) -> DataFrame:
 
 
 def await_all(queries: Sequence[StreamingQuery], timeout: float) -> list[bool]:
-    """Wait for all queries within one common timeout; if one fails, stop the others and raise its error."""
+    """Wait for all queries within one common timeout; whether each has ended.
+
+    The queries are watched in turn, so the failure of any is seen while the others still run: it stops them and is
+    raised.
+    """
     deadline = time.monotonic() + timeout
     try:
-        return [bool(q.awaitTermination(max(0, int(deadline - time.monotonic())))) for q in queries]
+        while time.monotonic() < deadline:
+            if all([q.awaitTermination(1) for q in queries]):
+                break
+        return [not q.isActive for q in queries]
     except Exception:
         for q in queries:
             if q.isActive:
