@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from zonetide.functions import columns as C
 from zonetide.functions import fixed_values as V
+from zonetide.operators.joins import lookup_join
 from zonetide.sources import schemas
 
 
@@ -117,13 +118,13 @@ def current_state(log: DataFrame, pk: str = "id", order: Sequence[str] = ("__sou
 def apply_updates(base: DataFrame, updates: DataFrame, key: str = "id") -> DataFrame:
     """Tip updates applied to trips: new tip, total recomputed from its parts, new updated_at; other rows unchanged.
 
-    The latest update of a key counts.
+    The latest update of a key counts. A checked small set of updates is broadcast, so the trips stay where they are.
     """
     parts = ("fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount")
     new = updates.groupBy(key).agg(
         F.max_by("tip_amount", "updated_at").alias("_tip"), F.max("updated_at").alias("_at"), F.lit(True).alias("_hit")
     )
-    joined = base.join(new, key, "left").withColumn("tip_amount", F.coalesce("_tip", "tip_amount"))
+    joined = lookup_join(base, new, [key]).withColumn("tip_amount", F.coalesce("_tip", "tip_amount"))
     present = [p for p in parts if p in base.columns]
     out = joined.withColumns(
         {

@@ -78,6 +78,75 @@ OUTPUT_TABLES = {
         "is_weekend boolean, load_date timestamp, year int, month int, day int",
         ("year", "month", "day"),
     ),
+    "demand_features_analytics": (
+        "location_id int, prediction_datetime timestamp, hour int, day_of_week int, is_weekend boolean, "
+        "is_holiday boolean, temperature_celsius double, weather_condition string, historical_demand_1h_ago bigint, "
+        "historical_demand_24h_ago bigint, historical_demand_168h_ago bigint, rolling_avg_demand_7d double, "
+        "rolling_avg_demand_30d double, zone_type string, is_tourist_area boolean, is_business_district boolean, "
+        "nearby_zones_demand bigint, weather_impact_factor double, event_factor double, load_date timestamp, "
+        "year int, month int",
+        ("year", "month"),
+    ),
+    "demand_features_ml": (
+        "location_id int, prediction_hour timestamp, target_demand bigint, hour_of_day int, day_of_week int, "
+        "day_of_month int, month int, is_weekend boolean, is_holiday boolean, temperature_celsius double, "
+        "humidity_percent double, wind_speed_kmh double, weather_condition_encoded double, demand_1h_ago bigint, "
+        "demand_24h_ago bigint, demand_168h_ago bigint, rolling_avg_7d double, rolling_avg_30d double, "
+        "rolling_std_7d double, zone_type_encoded double, is_tourist_area_flag int, is_business_district_flag int, "
+        "zone_popularity_score double, temp_hour_interaction double, weather_weekend_interaction double, "
+        "tourist_weekend_interaction double, demand_lag_2h bigint, demand_lag_3h bigint, "
+        "demand_same_hour_last_week bigint, created_at timestamp, feature_date date",
+        ("feature_date",),
+    ),
+    "fare_features": (
+        "trip_id string, fare_amount double, trip_distance double, trip_duration_minutes double, passenger_count int, "
+        "pickup_zone_id int, dropoff_zone_id int, pickup_borough_encoded double, dropoff_borough_encoded double, "
+        "zone_distance_km double, is_airport_trip boolean, is_cross_borough boolean, pickup_hour int, "
+        "pickup_day_of_week int, is_rush_hour boolean, is_weekend boolean, weather_condition_encoded double, "
+        "temperature_celsius double, is_bad_weather boolean, avg_fare_same_route_7d double, "
+        "avg_fare_pickup_zone_1h double, surge_factor double, distance_duration_ratio double, "
+        "weather_distance_interaction double, rush_hour_distance_interaction double, created_at timestamp, "
+        "feature_date date",
+        ("feature_date",),
+    ),
+    "daily_summary": (
+        "trip_date date, total_trips bigint, total_passengers bigint, avg_trip_distance double, "
+        "avg_fare_amount double, avg_tip_amount double, avg_total_amount double, last_updated timestamp, year int, "
+        "month int",
+        ("year", "month"),
+    ),
+    "trip_window_aggregates": (
+        "window_start timestamp, window_end timestamp, pickup_zone_id int, total_trips bigint, total_revenue double, "
+        "avg_trip_distance double, avg_fare_amount double, unique_vendors bigint, processed_at timestamp, "
+        "window_date date",
+        ("window_date",),
+    ),
+    "zone_activity": (
+        "zone_id int, activity_timestamp timestamp, pickup_count bigint, dropoff_count bigint, "
+        "revenue_last_hour double, avg_fare_last_hour double, top_destination_zone int, activity_score double, "
+        "processed_at timestamp, activity_hour timestamp",
+        ("activity_hour",),
+    ),
+    "change_trips": (
+        "id bigint, vendor_id int, pickup_datetime timestamp, dropoff_datetime timestamp, passenger_count int, "
+        "trip_distance decimal(8,2), pickup_longitude decimal(18,14), pickup_latitude decimal(18,14), "
+        "dropoff_longitude decimal(18,14), dropoff_latitude decimal(18,14), payment_type int, "
+        "fare_amount decimal(8,2), extra decimal(8,2), mta_tax decimal(8,2), tip_amount decimal(8,2), "
+        "tolls_amount decimal(8,2), total_amount decimal(8,2), created_at timestamp, updated_at timestamp, "
+        "__op string, __source_ts_ms bigint, __source_db string, __source_table string, pickup_date date",
+        ("pickup_date",),
+    ),
+    "change_payment_types": (
+        "id int, name string, description string, __op string, __source_ts_ms bigint, __source_db string, "
+        "__source_table string",
+        (),
+    ),
+    "change_vendors": (
+        "id int, name string, description string, __op string, __source_ts_ms bigint, __source_db string, "
+        "__source_table string",
+        (),
+    ),
+    "control": (CONTROL, ()),
     "trips": (CURATED_TRIPS, ("year", "month")),
     "zones": (ZONES, ()),
 }

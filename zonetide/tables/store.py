@@ -56,6 +56,11 @@ def write_table(
     (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
 
 
+def conform(df: DataFrame, schema: str) -> DataFrame:
+    """The columns of a declared schema, in its order and with its types; a column the frame lacks is an error."""
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in T.StructType.fromDDL(schema).fields])
+
+
 def append_evolving(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append rows that may have columns the table lacks, or lack some it has."""
     write_table(df, path, "append", partition_by)
