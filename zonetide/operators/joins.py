@@ -138,16 +138,27 @@ def join_weather_parts(
 
 # --- zones ----------------------------------------------------------------------------------------------------------
 
-def join_zone(df: DataFrame, zones: DataFrame, key: str, columns: list[str], how: str = "left", prefix: str = ""):
+def join_zone(
+    df: DataFrame,
+    zones: DataFrame,
+    key: str,
+    columns: list[str],
+    how: str = "left",
+    prefix: str = "",
+    rows: int | None = None,
+) -> DataFrame:
     """Fact joined to the zone dimension on `key`; zone columns get `prefix`."""
     side = zones.select(F.col("location_id").alias(key), *[F.col(c).alias(f"{prefix}{c}") for c in columns])
-    return lookup_join(df, side, [key], how)
+    return lookup_join(df, side, [key], how, rows)
 
 
-def join_both_zones(trips: DataFrame, zones: DataFrame, columns: list[str], how: str = "left") -> DataFrame:
-    """The zone dimension in two roles: pickup and drop-off."""
-    once = join_zone(trips, zones, "pickup_location_id", columns, how, "pickup_")
-    return join_zone(once, zones, "dropoff_location_id", columns, how, "dropoff_")
+def join_both_zones(
+    trips: DataFrame, zones: DataFrame, columns: list[str], how: str = "left", rows: int | None = None
+) -> DataFrame:
+    """The zone dimension in two roles, counted once: pickup and drop-off."""
+    rows = zones.select("location_id").count() if rows is None else rows
+    once = join_zone(trips, zones, "pickup_location_id", columns, how, "pickup_", rows)
+    return join_zone(once, zones, "dropoff_location_id", columns, how, "dropoff_", rows)
 
 
 def join_required(df: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
@@ -162,7 +173,13 @@ def join_pick_drop(pickups: DataFrame, dropoffs: DataFrame, keys=("location_id",
 
 
 def join_own_stats(df: DataFrame, stats: DataFrame, keys: list[str], rows: int | None = None) -> DataFrame:
-    """Fact with group statistics of itself."""
+    """Fact with group statistics of itself.
+
+    There are no more groups than fact rows, so a small fact bounds its statistics without computing them twice.
+    """
+    if rows is None:
+        n = df.count()
+        rows = n if n <= BROADCAST_ROWS else None
     return lookup_join(df, stats, keys, rows=rows)
 
 

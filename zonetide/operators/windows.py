@@ -66,7 +66,7 @@ def vs_group_mean(df: DataFrame, count_col: str, zone_col: str, name: str = "zon
 
 # --- ranks over everything ------------------------------------------------------------------------------------------
 
-SPLITS = 64
+SPLITS = 128
 
 
 def with_global_rank(df: DataFrame, value: str, tie: str, name: str = "rank") -> DataFrame:
@@ -77,12 +77,12 @@ def with_global_rank(df: DataFrame, value: str, tie: str, name: str = "rank") ->
     buckets follow the order, so a rank is the rows in earlier buckets plus the position within the bucket. The
     bucket table has at most (2 * SPLITS + 1) * SPLITS rows.
     """
-    at = [i / SPLITS for i in range(1, SPLITS)]
-    cuts = df.agg(
-        F.struct(
-            F.percentile_approx(value, at, 1000).alias("v"), F.percentile_approx(tie, at, 1000).alias("t")
-        ).alias("cuts")
-    ).scalar()
+    at = ", ".join(f"{i / SPLITS}D" for i in range(1, SPLITS))
+
+    def percentiles(column: str) -> str:
+        return f"percentile_approx(`{column}`, array({at}), 10000)"
+
+    cuts = df.agg(F.expr(f"struct({percentiles(value)} AS v, {percentiles(tie)} AS t)")).scalar()
     cut = df.withColumn("_cuts", cuts)
     v, t = F.col("_cuts.v"), F.col("_cuts.t")
     below = F.size(F.filter(v, lambda x: x < F.col(value)))

@@ -220,7 +220,7 @@ def fare_features(
 
     place = zones.withColumn("code", C.borough_code("borough"))
     t = P.positive(recent, ["fare_amount", "trip_distance"])
-    t = J.join_both_zones(t, place, ["borough", "zone_type", "latitude", "longitude", "code"], how="inner")
+    t = J.join_both_zones(t, place, ["borough", "zone_type", "latitude", "longitude", "code"], "inner", n_zones)
     t = t.withColumn("hour_timestamp", C.hour_of("pickup_datetime"))
     w = weather.withColumns(
         {

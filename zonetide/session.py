@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Timestamps are compared and truncated in UTC everywhere.
@@ -13,6 +11,8 @@ BUILD_CONF = {
     **RUNTIME_CONF,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Window and parse stages cost much more per byte than scans: keep their tasks small before using fewer of them.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
@@ -42,10 +42,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables: the cluster's `spark.checkpoint.dir` where it is set.
+def size_shuffles(spark: SparkSession, shuffled_bytes: int, per_task: int = 128 << 20) -> int:
+    """Set the shuffle partitions for the bytes a job is going to shuffle; adaptive planning merges what stays small.
 
-    A temporary folder is used only where the cluster names none, as in local tests.
+    Most queries here shuffle rollups and need nothing; joins of raw facts on their own keys do.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or tempfile.mkdtemp(prefix="zonetide-")
+    parts = max(spark.sparkContext.defaultParallelism, -(-shuffled_bytes // per_task))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    return parts
