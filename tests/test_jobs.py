@@ -82,6 +82,16 @@ def test_landing_twice_adds_nothing(spark, lake):
     assert made.read("zones").count() == roles.zones_c(spark, "/root/testdata/sf0.001").count()
 
 
+def test_a_run_that_ended_before_its_mark_is_not_repeated(spark, lake):
+    made, src = lake
+    n = made.spark.read.parquet(made.path("trips")).count()
+    old = spark.createDataFrame([("trips", dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 5))], schemas.CONTROL)
+    made.store("control", old, F.lit(True))
+    jobs.land_trips(made, f"{src}/trips", AS_OF)
+    assert made.spark.read.parquet(made.path("trips")).count() == n
+    assert made.published("control").first().last_processed_date > dt.datetime(2024, 1, 29)
+
+
 def test_refresh_is_idempotent_and_equals_the_direct_query(spark, lake):
     made, _ = lake
     refresh(made)

@@ -149,6 +149,18 @@ def test_change_filter_is_parenthesised_and_null_safe(spark):
     assert [r.offset for r in W.trip_rows(broker(spark, values)).orderBy("offset").collect()] == [0, 4]
 
 
+def test_zone_activity_takes_dropoffs_and_top_destination(spark):
+    value = '{"op":"c","ts_ms":1,"after":{"id":%d,"vendor_id":1,"pickup_location_id":%d,"dropoff_location_id":%d,' \
+            '"fare_amount":10,"total_amount":100}}'
+    routes = [(1, 5), (1, 5), (1, 3), (3, 1), (5, 5), (5, 1)]
+    rows = W.trip_rows(broker(spark, [value % (i, a, b) for i, (a, b) in enumerate(routes)]))
+    got = W.zone_activity(W.trip_window_aggs(rows), W.window_dropoffs(rows)).collect()
+    assert {r.zone_id: (r.pickup_count, r.dropoff_count, r.top_destination_zone) for r in got} == {
+        1: (3, 2, 5), 3: (1, 1, 1), 5: (2, 3, 1)
+    }
+    assert {r.zone_id: round(r.activity_score, 6) for r in got}[1] == round(3 * 0.4 + 300 / 100 * 0.4 + 0.2, 6)
+
+
 def test_deletes_keep_their_row_and_are_marked(spark):
     values = ['{"op":"d","ts_ms":1,"before":{"id":7,"fare_amount":3.5},"after":null,"source":{"db":"a","table":"b","ts_ms":9}}']
     r = X.flatten_change(X.parse_envelope(broker(spark, values))).first()

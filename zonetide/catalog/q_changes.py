@@ -74,7 +74,10 @@ def _route(s, d):
     frames = X.route(rows, [f"taxi_cdc.{t}" for t in roles.CHANGE_TABLES])
     return reduce(
         lambda a, b: a.unionByName(b),
-        [f.groupBy("target", "op").agg(A.n_rows().alias("cnt"), F.max("offset").alias("last_offset")) for f in frames.values()],
+        [
+            f.groupBy("target", "op").agg(A.n_rows().alias("cnt"), F.max("offset").alias("last_offset"))
+            for f in frames.values()
+        ],
     )
 
 

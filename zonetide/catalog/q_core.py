@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from zonetide.catalog.registry import (
-    ALL_EVENTS, AS_OF, DAY, EVENTS_FROM, EVENTS_TO, ORDERS_FROM, ORDERS_TO, register,
-)
+from zonetide.catalog.registry import ALL_EVENTS, AS_OF, DAY, EVENTS_FROM, EVENTS_TO, register
 from zonetide.catalog.role_sql import with_roles as q
 from zonetide.functions import columns as C
 from zonetide.operators import changes as X

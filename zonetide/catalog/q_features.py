@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from zonetide.catalog.q_rollups import ACTIVITY, DEMAND, HOUR, MINUTES, PATTERN, SERIES, SURGE
 from zonetide.catalog.registry import ALL_EVENTS, AS_OF, EVENTS_FROM, EVENTS_TO, register
 from zonetide.catalog.role_sql import r

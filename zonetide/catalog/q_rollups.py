@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from zonetide.catalog.q_core import DATE, DROPOFFS, HOUR, HOUR_NO, PICKUPS, VENDOR_STATS
-from zonetide.catalog.registry import (
-    ALL_EVENTS, AS_OF, DAY, EVENTS_FROM, EVENTS_TO, ORDER_DAY, ORDERS_FROM, ORDERS_TO, register,
-)
+from zonetide.catalog.registry import ALL_EVENTS, AS_OF, DAY, EVENTS_FROM, EVENTS_TO, register
 from zonetide.catalog.role_sql import r
 from zonetide.catalog.role_sql import with_roles as q
 from zonetide.operators import ordering as T
@@ -296,7 +294,9 @@ register(
 )
 register(
     "order_multi",
-    lambda s, d: T.order_multi(A.hourly_demand(roles.trips_e(s, d)), ["-demand_count", "hour_timestamp", "-location_id"]),
+    lambda s, d: T.order_multi(
+        A.hourly_demand(roles.trips_e(s, d)), ["-demand_count", "hour_timestamp", "-location_id"]
+    ),
     q("trips_e", DEMAND + " ORDER BY demand_count DESC, hour_timestamp, location_id DESC"),
 )
 register(
@@ -316,7 +316,8 @@ register(
 register(
     "sorted_rollup",
     lambda s, d: T.sorted_report(
-        roles.trips_o(s, d).groupBy("payment_type", "passenger_count").agg(A.n_rows().alias("n")), ["-n", "payment_type", "passenger_count"]
+        roles.trips_o(s, d).groupBy("payment_type", "passenger_count").agg(A.n_rows().alias("n")),
+        ["-n", "payment_type", "passenger_count"],
     ),
     q("trips_o", """SELECT payment_type, passenger_count, count(*) AS n FROM trips_o GROUP BY 1, 2
       ORDER BY n DESC, 1, 2"""),

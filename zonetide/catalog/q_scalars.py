@@ -29,7 +29,11 @@ register(
       CAST(month(pickup_datetime) AS INTEGER) AS month_part, CAST(day(pickup_datetime) AS INTEGER) AS day_part,
       CAST(dayofweek(pickup_datetime) + 1 AS INTEGER) AS day_of_week"""),
 )
-register("sc_trunc_hour", trips(lambda: {"hour_timestamp": C.hour_of("pickup_datetime")}), sql(f"{HOUR} AS hour_timestamp"))
+register(
+    "sc_trunc_hour",
+    trips(lambda: {"hour_timestamp": C.hour_of("pickup_datetime")}),
+    sql(f"{HOUR} AS hour_timestamp"),
+)
 register(
     "sc_duration",
     lambda s, d: roles.trips_o(s, d)
@@ -145,7 +149,8 @@ def _pairs(s, d):
     z = roles.zones_c(s, d)
     here = z.select("location_id", "latitude", "longitude", "zone_type", "borough")
     there = z.select(
-        (F.col("location_id") - 7).alias("location_id"), F.col("latitude").alias("lat2"), F.col("longitude").alias("lon2"),
+        (F.col("location_id") - 7).alias("location_id"),
+        F.col("latitude").alias("lat2"), F.col("longitude").alias("lon2"),
         F.col("zone_type").alias("type2"), F.col("borough").alias("boro2"),
     )
     return here.join(there, "location_id", "left")

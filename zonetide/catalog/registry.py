@@ -20,8 +20,6 @@ AS_OF = "2024-01-31 00:00:00"
 ALL_EVENTS = "30 days"
 EVENTS_FROM, EVENTS_TO = "2024-01-01 00:00:00", "2024-01-31 00:00:00"
 DAY = "2024-01-15"
-ORDERS_FROM, ORDERS_TO = "1990-01-01 00:00:00", "2010-01-01 00:00:00"
-ORDER_DAY = "1998-06-15"
 
 
 def register(key: str, run: Query, sql: str | None = None, doubles: str = "", digits: int = 4) -> None:

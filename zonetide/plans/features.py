@@ -82,7 +82,8 @@ def demand_features(
         rows = J.lookup_join(rows, holidays.select(F.col("day").alias("_day"), F.lit(True).alias("_hol")), ["_day"])
         holiday = F.coalesce("_hol", F.lit(False))
     if events is not None:
-        rows = J.lookup_join(rows, events.select(F.col("day").alias("_day"), F.col("event_factor").alias("_f")), ["_day"])
+        factors = events.select(F.col("day").alias("_day"), F.col("event_factor").alias("_f"))
+        rows = J.lookup_join(rows, factors, ["_day"])
         factor = F.coalesce("_f", C.num(1))
     parts = C.date_parts("hour_timestamp")
     return rows.select(

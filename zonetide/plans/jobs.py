@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +44,14 @@ class Lake:
     def read(self, table: str) -> DataFrame:
         return self.spark.read.schema(schemas.OUTPUT_TABLES[table][0]).parquet(self.path(table))
 
+    def newest(self, table: str, ts_col: str) -> datetime | None:
+        """The newest time in a table, none if it does not exist yet or is empty."""
+        try:
+            rows = self.read(table)
+        except AnalysisException:
+            return None
+        return rows.agg(F.max(ts_col)).first()[0]
+
     def trips(self, since: datetime, until: datetime) -> DataFrame:
         """Trips of a time range; months outside it are not read."""
         return readers.read_trips_between(self.spark, self.path("trips"), since, until, schemas.CURATED_TRIPS)
@@ -76,18 +85,26 @@ def whole_days(as_of: datetime, days: int) -> tuple[datetime, str]:
 # --- landing --------------------------------------------------------------------------------------------------------
 
 def land_trips(lake: Lake, raw_path: str, as_of: datetime) -> None:
-    """Raw trips past the high-water mark, cleaned and appended; then the mark moves to the newest landed pickup."""
+    """Raw trips past the high-water mark, cleaned and appended; then the mark moves to the newest landed pickup.
+
+    The stored trips count as a mark too, so a run that ended between the append and the new mark is not repeated.
+    Only rows up to the newest pickup seen at the start are landed: files that arrive meanwhile wait for the next run.
+    """
     spark = lake.spark
     control = lake.published("control")
     if control is None:
         control = spark.createDataFrame([], schemas.CONTROL)
+    stored = lake.newest("trips", "pickup_datetime")
+    marks = control if stored is None else K.upsert_marks(control, K.mark_row(spark, "trips", stored, as_of))
     curated = U.curate_trips(readers.read_trips(spark, raw_path, schemas.RAW_TRIPS), as_of)
-    fresh = readers.incremental(curated, control, "trips", "pickup_datetime", as_of, f"{HISTORY_DAYS} days")
+    fresh = readers.incremental(curated, marks, "trips", "pickup_datetime", as_of, f"{HISTORY_DAYS} days")
     newest = fresh.agg(F.max("pickup_datetime")).first()[0]
-    if newest is None:
-        return
-    K.write_table(K.conform(fresh, schemas.CURATED_TRIPS), lake.path("trips"), "append", ["year", "month"])
-    lake.store("control", K.advance_hwm(control, "trips", newest, as_of), F.lit(True))
+    if newest is not None:
+        landed = fresh.filter(F.col("pickup_datetime") <= F.lit(newest))
+        K.write_table(K.conform(landed, schemas.CURATED_TRIPS), lake.path("trips"), "append", ["year", "month"])
+    mark = newest or stored
+    if mark is not None:
+        lake.store("control", K.advance_hwm(control, "trips", mark, as_of), F.lit(True))
 
 
 def land_weather(lake: Lake, raw_path: str, as_of: datetime) -> None:

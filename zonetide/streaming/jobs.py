@@ -25,7 +25,8 @@ def start_append(
 
     Rows are clustered by the partition columns so each task writes few files.
     """
-    writer = df.writeStream.format(fmt).outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
+    writer = df.writeStream.format(fmt).outputMode("append")
+    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     trigger = {"processingTime": every} if every else {"availableNow": True}

@@ -142,14 +142,17 @@ def export_trips(trips: DataFrame, start, end, fmt: str, path: str) -> None:
 
 # --- high-water marks -----------------------------------------------------------------------------------------------
 
-def advance_hwm(control: DataFrame, name: str, mark, updated) -> DataFrame:
-    """Control rows after setting the mark of a table: updated if it has one, inserted if not."""
-    row = control.sparkSession.range(1).select(
+def mark_row(spark: SparkSession, name: str, mark, updated) -> DataFrame:
+    return spark.range(1).select(
         F.lit(name).alias("table_name"),
         C.moment(mark).alias("last_processed_date"),
         C.moment(updated).alias("last_updated"),
     )
-    return upsert_marks(control, row)
+
+
+def advance_hwm(control: DataFrame, name: str, mark, updated) -> DataFrame:
+    """Control rows after setting the mark of a table: updated if it has one, inserted if not."""
+    return upsert_marks(control, mark_row(control.sparkSession, name, mark, updated))
 
 
 def upsert_marks(control: DataFrame, marks: DataFrame) -> DataFrame:
