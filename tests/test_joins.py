@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import re
 
 import pytest
 from oracle import rows_of
@@ -47,11 +48,19 @@ def test_split_hot_join_on_two_keys(spark, skewed, dim):
     assert rows(J.split_hot_join(fact, side, ["k", "h"], "left", 0.05)) == rows(fact.join(side, ["k", "h"], "left"))
 
 
-def test_hot_rows_leave_the_shuffled_join_spread_out(spark, skewed, dim):
-    """The hot key's rows get many spread values, so no partition of the shuffled join holds them together."""
-    hot = skewed.filter("k = 1")
-    spread = hot.select(F.pmod(F.xxhash64(*hot.columns), F.lit(J.SPREAD)).alias("s")).distinct().count()
-    assert spread > hot.count() / 2
+def test_hot_rows_are_shuffled_by_their_spread_key(spark, skewed, dim):
+    """The spread is a key of the shuffle, and no partition of it holds the hot key's rows together."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = J.split_hot_join(skewed, dim, ["k"], "left", 0.05)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"SortMergeJoin \[k#\d+L, _spread#\d+L\], \[k#\d+L, _spread#\d+L\]", plan)
+        held = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(held) == 8 and max(r["count"] for r in held) < 6000 / 8 * 1.5
 
 
 def test_lookup_join_switches_by_checked_size(spark, skewed, dim):

@@ -71,9 +71,9 @@ def split_hot_join(
         any_null = any_null | F.col(key).isNull()
     away = F.coalesce(F.col("_hot"), F.lit(False)) | any_null
     spread = F.when(away, F.pmod(F.xxhash64(*fact.columns), F.lit(SPREAD)) + 1).otherwise(F.lit(0).cast("bigint"))
-    right = dim.select(
-        *keys, F.struct(*carried, F.lit(True).alias("_in")).alias("_cold"), F.lit(0).cast("bigint").alias("_spread")
-    )
+    # Always 0, but computed: a literal would be folded out of the join keys, and the rows shuffled by `keys` alone.
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint"))
+    right = dim.select(*keys, F.struct(*carried, F.lit(True).alias("_in")).alias("_cold"), zero.alias("_spread"))
     joined = marked.withColumn("_spread", spread).join(right, [*keys, "_spread"], "left")
     row = F.coalesce(F.col("_row"), F.col("_cold"))
     out = joined.withColumn("_match", row)
