@@ -6,9 +6,9 @@ import pytest
 from oracle import compare, oracle_connection
 
 import __spark_entry__ as entry
+from zonetide.catalog import ORACLES, QUERIES
 
 SF = os.environ.get("ORACLE_SF", "0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +25,11 @@ def test_query_equals_oracle(spark, con, key):
     assert compare(spark, con, QUERIES[key], ORACLES[key], SF) is None
 
 
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() > 0
