@@ -175,7 +175,7 @@ WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents
 ), w AS (
   SELECT rid, doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
-    list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d
 ), g AS (
   SELECT rid, i, concat_ws(' ', ws[i], ws[i + 1], ws[i + 2]) AS g FROM (
     SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)
@@ -186,7 +186,7 @@ WITH d AS (
   GROUP BY rid
 ), f AS (
   SELECT rid, doc_id, source, CAST(len(ws) AS BIGINT) AS n_words,
-    CAST(coalesce(list_sum(list_transform(ws, x -> length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
     CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(len(ls) AS BIGINT) AS n_lines,
     CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
