@@ -174,23 +174,31 @@ def round_trip(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
 
     A null text is empty: no ids, the digests of nothing. Null ids stay, repeated rows repeat.
     """
+    return _both_ways(docs, ranks, ids=False)
 
+
+def encode_and_check(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
+    """As `round_trip`, with the ids themselves."""
+    return _both_ways(docs, ranks, ids=True)
+
+
+def _both_ways(docs: DataFrame, ranks: str, ids: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks)
         for whole in batches:
             for batch in blocks(whole):
-                ids = c.encode_batch(batch.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        pa.array([len(i) for i in ids], pa.int64()),
-                        pa.array([hashlib.sha256(i.tobytes()).hexdigest() for i in ids], pa.string()),
-                        pa.array([hashlib.sha256(c.decode(i)).hexdigest() for i in ids], pa.string()),
-                    ],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+                found = c.encode_batch(batch.column(1).to_pylist())
+                columns = [
+                    batch.column(0),
+                    pa.array([len(i) for i in found], pa.int64()),
+                    pa.array([hashlib.sha256(i.tobytes()).hexdigest() for i in found], pa.string()),
+                    pa.array([hashlib.sha256(c.decode(i)).hexdigest() for i in found], pa.string()),
+                ]
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                if ids:
+                    columns, names = [*columns, _lists(found)], [*names, "ids"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(
-        texts(docs), run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    )
+    schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return map_batches(texts(docs), run, schema + (", ids array<int>" if ids else ""))

@@ -125,8 +125,8 @@ def bad_hosts(hosts: DataFrame, prior: BetaPrior, rate: float = BAD_RATE) -> Dat
     return hosts.withColumn("rate", shrunk).filter(F.col("rate") > rate)
 
 
-def judge(docs: DataFrame, host: str = "source") -> tuple[DataFrame, str, str]:
-    """The table with its figures and the verdict `kept`, and the names of these two columns.
+def judge(docs: DataFrame, host: str = "source", whole: bool = True) -> tuple[DataFrame, str, str]:
+    """The table (unless `whole`, without its texts) with its figures and the verdict `kept`, and the names of these two columns.
 
     A document fails by itself when the base rule says so. A document that breaks a soft rule is dropped only where its
     host's rate of failing documents, shrunk to the prior, is above BAD_RATE: a host condemns doubtful documents, never
@@ -136,7 +136,7 @@ def judge(docs: DataFrame, host: str = "source") -> tuple[DataFrame, str, str]:
     measured size allows; a shuffled join of them has no aggregate above it, so the adaptive planner may split a hot host.
     """
     out, figures = with_metrics(docs)
-    out = stored(out, "quality")
+    out = stored(out if whole else out.drop("text"), "quality")
     failed = base_failed(figures) | soft_failed(figures)
     hosts = stored(host_rates(out, host, failed), "hosts")
     bad = bad_hosts(hosts, fit_prior(hosts))
@@ -153,7 +153,7 @@ def quality(docs: DataFrame, host: str = "source") -> DataFrame:
     A null or empty text has no words and fails. A null id stays null, a null host is a host; repeated rows give repeated
     results and count each; an empty table gives an empty one; other columns are not read.
     """
-    out, f, kept = judge(docs.select("doc_id", "text", F.col(f"`{host}`").alias("host")), "host")
+    out, f, kept = judge(docs.select("doc_id", "text", F.col(f"`{host}`").alias("host")), "host", whole=False)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return out.select(
         "doc_id",

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonetide.llm import bpe, pii, quality, simhash, token_counts, urls
+from zonetide.llm import bpe, decontaminate, licences, pii, quality, simhash, token_counts, toxicity, urls
 from zonetide.llm.common import table
 from zonetide.session import prepare
 
@@ -19,11 +19,16 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_pii": _query(lambda s, d: pii.find_pii(table(s, d, "documents"))),
+    "op2_decontaminate": _query(
+        lambda s, d: decontaminate.find_contamination(table(s, d, "documents"), table(s, d, "benchmark"))
+    ),
     "op3_quality": _query(lambda s, d: quality.quality(table(s, d, "documents"))),
     "op5_urls": _query(lambda s, d: urls.filter_urls(table(s, d, "pages"), urls.RULES)),
+    "op6_licences": _query(lambda s, d: licences.scan(table(s, d, "documents"))),
     "op7_simhash": _query(lambda s, d: simhash.near_duplicates(table(s, d, "documents"))),
     "op8_bpe": _query(lambda s, d: bpe.round_trip(table(s, d, "documents"))),
     "op9_token_counts": _query(lambda s, d: token_counts.count_tokens(table(s, d, "documents"))),
+    "op10_toxicity": _query(lambda s, d: toxicity.toxicity(table(s, d, "documents"), table(s, d, "labels"))),
 }
 
 ORACLES: dict[str, str] = {"op3_quality": quality.ORACLE, "op5_urls": urls.ORACLE}
