@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -54,6 +55,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark clean what no frame refers to any more: it drops a finished step's shuffle files when the driver collects
+    its garbage, which a small driver that only plans does too seldom.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """As `cut`, but as a compressed columnar table, so that wide rows take less disk and readers prune columns."""
     spark = df.sparkSession

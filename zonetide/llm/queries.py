@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonetide.llm import bpe, decontaminate, licences, pii, quality, simhash, token_counts, toxicity, urls
+from zonetide.llm import bpe, decontaminate, licences, pii, quality, simhash, suffixes, token_counts, toxicity, urls
 from zonetide.llm.common import table
 from zonetide.session import prepare
 
@@ -23,6 +23,7 @@ QUERIES: dict[str, Query] = {
         lambda s, d: decontaminate.find_contamination(table(s, d, "documents"), table(s, d, "benchmark"))
     ),
     "op3_quality": _query(lambda s, d: quality.quality(table(s, d, "documents"))),
+    "op4_suffixes": _query(lambda s, d: suffixes.remove_repeats(table(s, d, "documents"))),
     "op5_urls": _query(lambda s, d: urls.filter_urls(table(s, d, "pages"), urls.RULES)),
     "op6_licences": _query(lambda s, d: licences.scan(table(s, d, "documents"))),
     "op7_simhash": _query(lambda s, d: simhash.near_duplicates(table(s, d, "documents"))),
