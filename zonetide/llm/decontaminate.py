@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from zonetide.llm.common import blocks, map_batches, texts
 
 WORDS = 5
-#: Share of an item's windows that a document must hold, and of its slots that must agree.
+#: Share of an item's windows that a document must hold, and of its slots that must fit.
 LEAST, CONSISTENT = 0.8, 0.85
 #: Items in one broadcast block, in characters: about 40 bytes of index a character, 80 MB at most.
 BLOCK_CHARS = 2_000_000
@@ -174,14 +174,15 @@ class Index:
             if len(held) < LEAST * len(item.places):
                 continue
             consistency, same = _slots(item, held, tokens, values, self.words)
-            if consistency >= CONSISTENT:
-                kind = "same" if same else "reparameterised"
+            if max(consistency, same) >= CONSISTENT:
+                kind = "same" if same >= CONSISTENT else "reparameterised"
                 out.append((item.item_id, len(item.places), len(held), consistency, kind))
         return out
 
 
-def _slots(item: Item, held: dict[int, list[int]], tokens, values, words: int) -> tuple[float, bool]:
-    """Share of the item's slots whose value maps as its other occurrences do, and whether every slot has its own value.
+def _slots(item: Item, held: dict[int, list[int]], tokens, values, words: int) -> tuple[float, float]:
+    """Two shares: of the slots whose value the item has more than once, those that map as most occurrences of the value
+    do; and of all slots, those that hold the item's own value.
 
     Where a window stands more than once, the occurrence counts that lies on the shift most windows share.
     """
@@ -194,13 +195,15 @@ def _slots(item: Item, held: dict[int, list[int]], tokens, values, words: int) -
                 if int(item.tokens[k + j]) in SLOTS:
                     slot_of.setdefault(k + j, int(values[best + j]))
     if not slot_of:
-        return 1.0, True
+        return 1.0, 1.0
     maps: dict[tuple[int, int], Counter] = defaultdict(Counter)
     for place, value in slot_of.items():
         maps[int(item.tokens[place]), int(item.values[place])][value] += 1
-    agreeing = sum(max(c.values()) for c in maps.values())
-    same = all(int(item.values[place]) == value for place, value in slot_of.items())
-    return round(agreeing / len(slot_of), 6), same
+    repeated = [c for c in maps.values() if sum(c.values()) > 1]
+    total = sum(sum(c.values()) for c in repeated)
+    agreeing = sum(max(c.values()) for c in repeated)
+    own = sum(int(item.values[place]) == value for place, value in slot_of.items())
+    return round(agreeing / total, 6) if total else 1.0, own / len(slot_of)
 
 
 def _blocks_of(spark: SparkSession, items: DataFrame) -> Iterator[list[tuple[object, str]]]:
@@ -221,8 +224,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, words: int = WORDS) ->
     item's template), `n_held` (those the document has), `consistency` and `kind` (`same`, or `reparameterised` when
     slots hold other values).
 
-    A document holds an item when it has at least 80 % of its five-word template windows, and at least 85 % of its
-    slots map each value of the item to one value. Items with equal texts count once, under their smallest id; items
+    A document holds an item when it has at least 80 % of its five-word template windows and the slots fit: at least 85 %
+    hold the item's own values, or, of those whose value the item repeats, map it to one value each time. Items with equal texts count once, under their smallest id; items
     with fewer than five words have no window and are never found; null texts are empty. Null ids stay, repeated
     documents repeat, an empty table on either side gives an empty result, other columns are not read.
 

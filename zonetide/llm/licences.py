@@ -82,7 +82,8 @@ KNOWN = (
     ("CC0-1.0", "Released under CC0 1.0."),
 )
 
-_COPYRIGHT = r"(?im)^\P{L}*(?:copyright\b|\(c\)\s|©|all rights reserved\b)[^\n]*$"
+#: Lines that name a holder or a year; licence texts themselves wrap before the word copyright.
+_COPYRIGHT = r"(?im)^\P{L}*(?:copyright\b[\t :]*(?:\(c\)|©|\d{4}|by\b)|\(c\)[\t ]|©|all rights reserved\b)[^\n]*$"
 
 
 def canonical(text: Column) -> Column:
