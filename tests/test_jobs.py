@@ -49,47 +49,84 @@ def lake(spark, tmp_path_factory):
     zones = roles.zones_c(spark, d).withColumnsRenamed({"latitude": "lat", "longitude": "lon"})
     array_of(zones.withColumn("created_at", F.lit("2025-08-03T09:25:21"))).write.text(f"{src}/zones")
 
-    made = jobs.Lake(spark, str(tmp_path_factory.mktemp("lake")), "jt_")
-    for until in (dt.datetime(2024, 1, 30), AS_OF):
-        jobs.land_trips(made, f"{src}/trips", until)
+    made = jobs.Lake(spark, str(tmp_path_factory.mktemp("lake")))
+    for _ in range(2):
+        jobs.land_trips(made, f"{src}/trips", AS_OF)
     jobs.land_weather(made, f"{src}/weather", AS_OF)
     for _ in range(2):
         jobs.land_zones(made, f"{src}/zones", AS_OF)
     return made, src
 
 
+def refresh_at(lake, as_of):
+    jobs.refresh_daily_summary(lake, as_of)
+    jobs.refresh_trip_weather(lake, as_of)
+    jobs.refresh_zone_performance(lake, as_of)
+    jobs.refresh_demand_features(lake, as_of)
+    jobs.refresh_demand_features_ml(lake, as_of)
+    jobs.refresh_fare_features(lake, as_of)
+
+
 def refresh(lake):
-    jobs.refresh_daily_summary(lake, AS_OF)
-    jobs.refresh_trip_weather(lake, AS_OF)
-    jobs.refresh_zone_performance(lake, AS_OF)
-    jobs.refresh_demand_features(lake, AS_OF)
-    jobs.refresh_demand_features_ml(lake, AS_OF)
-    jobs.refresh_fare_features(lake, AS_OF)
+    refresh_at(lake, AS_OF)
 
 
 def content(lake):
-    out = {n: rows(lake.published(n)) for n in DERIVED}
-    return out | {n: rows(lake.read(n)) for n in FEATURES}
+    return {n: rows(lake.read(n)) for n in (*DERIVED, *FEATURES)}
 
 
 def test_landing_twice_adds_nothing(spark, lake):
     made, src = lake
-    trips = made.spark.read.parquet(made.path("trips"))
+    trips = made.read("trips")
     valid = U.clean_trips(spark.read.schema(schemas.RAW_TRIPS).parquet(f"{src}/trips"))
-    assert trips.count() == valid.filter("tpep_pickup_datetime > '2023-12-31'").count() > 0
-    mark = made.published("control").first()
+    assert trips.count() == valid.distinct().count() > 0
+    mark = made.marks().first()
     assert mark.last_processed_date == trips.agg(F.max("pickup_datetime")).first()[0]
     assert made.read("zones").count() == roles.zones_c(spark, "/root/testdata/sf0.001").count()
 
 
-def test_a_run_that_ended_before_its_mark_is_not_repeated(spark, lake):
-    made, src = lake
-    n = made.spark.read.parquet(made.path("trips")).count()
-    old = spark.createDataFrame([("trips", dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 5))], schemas.CONTROL)
-    made.store("control", old, F.lit(True))
-    jobs.land_trips(made, f"{src}/trips", AS_OF)
-    assert made.spark.read.parquet(made.path("trips")).count() == n
-    assert made.published("control").first().last_processed_date > dt.datetime(2024, 1, 29)
+def raw_rows(spark, *pickups):
+    day = dt.timedelta(minutes=9)
+    rows_ = [
+        (1, p, p + day, 1, 2.0 + k, 1, "N", 10, 20, 1, 10.0, *[0.0] * 5, 12.0, 0.0, 0.0) for k, p in enumerate(pickups)
+    ]
+    return spark.createDataFrame(rows_, schemas.RAW_TRIPS).coalesce(1)
+
+
+def test_every_valid_trip_lands_once(spark, tmp_path, monkeypatch):
+    lake, src, at = jobs.Lake(spark, f"{tmp_path}/lake"), f"{tmp_path}/in", dt.datetime
+    stored = lambda: sorted(r.pickup_datetime for r in lake.read("trips").collect())
+
+    old, new = at(2019, 3, 1, 8), at(2024, 1, 20, 8)
+    raw_rows(spark, old, new, at(2098, 1, 1)).write.mode("append").parquet(src)
+    jobs.land_trips(lake, src, AS_OF)
+    assert stored() == [old, new]  # older than any interval, and not the impossible one
+    assert [r.tpep_pickup_datetime for r in lake.read("bad_trips").collect()] == [at(2098, 1, 1)]
+    assert lake.marks().first().last_processed_date == new
+
+    late = at(2023, 12, 31, 23)
+    raw_rows(spark, late).write.mode("append").parquet(src)
+    raw_rows(spark, old, new, at(2098, 1, 1)).write.mode("append").parquet(src)  # the same trips in another file
+    jobs.land_trips(lake, src, AS_OF)
+    assert stored() == [old, late, new]
+
+    # A run that ends between the append and the log of files.
+    last = at(2024, 1, 29, 1)
+    raw_rows(spark, last).write.mode("append").parquet(src)
+    append = jobs.Lake.append
+
+    def broken(self, table, rows_):
+        if table == "landed_files":
+            raise RuntimeError("lost")
+        append(self, table, rows_)
+
+    monkeypatch.setattr(jobs.Lake, "append", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        jobs.land_trips(lake, src, AS_OF)
+    monkeypatch.setattr(jobs.Lake, "append", append)
+    for _ in range(2):
+        jobs.land_trips(lake, src, AS_OF)
+    assert stored() == [old, late, new, last]
 
 
 def test_refresh_is_idempotent_and_equals_the_direct_query(spark, lake):
@@ -101,24 +138,46 @@ def test_refresh_is_idempotent_and_equals_the_direct_query(spark, lake):
     for name, found in once.items():
         assert found, name
 
-    since, length = jobs.whole_days(AS_OF, 1)
-    trips, weather = made.spark.read.parquet(made.path("trips")), made.read("hourly_weather")
-    direct = A.trip_weather(trips, weather, AS_OF, length)
-    assert rows(made.published("trip_weather_correlation").select(*direct.columns)) == rows(direct)
-    start, history = jobs.whole_days(AS_OF, 30)
-    direct = M.demand_features_ml(trips, weather, made.read("zones"), AS_OF, history, length)
-    assert made.read("demand_features_ml").count() == direct.count()
+    d = jobs.whole_days(AS_OF, 1)
+    trips, weather = made.read("trips"), made.read("hourly_weather")
+    direct = A.trip_weather(trips, weather, d.until, d.length)
+    assert rows(made.read("trip_weather_correlation").select(*direct.columns)) == rows(direct)
+    direct = M.demand_features_ml(trips, weather, made.read("zones"), d.until, None, d.length)
+    found = made.read("demand_features_ml").select("location_id", "prediction_hour", "rolling_avg_30d", "demand_168h_ago")
+    assert rows(found) == rows(direct.select(*found.columns))
+
+
+def test_a_backfill_keeps_later_days_and_empties_its_own(spark, lake):
+    made, _ = lake
+    refresh(made)
+    before = content(made)
+    for day in (dt.datetime(2024, 1, 10, 3), dt.datetime(2024, 1, 30, 1)):  # an earlier day; an earlier hour
+        refresh_at(made, day)
+    after = content(made)
+    for name, found in before.items():
+        missing = [r for r in found if r not in set(after[name])]
+        assert not [r for r in missing if "load" not in name and AS_OF.isoformat() not in repr(r)], name
+        assert len(after[name]) >= len(found), name
+    refresh(made)
+    # A day that has no trips any more has no rows any more.
+    empty = made.read("trip_weather_correlation").limit(0)
+    made.store_days("trip_weather_correlation", empty, jobs.Days(dt.date(2024, 1, 30), dt.date(2024, 1, 30)))
+    left = {r.trip_date for r in made.read("trip_weather_correlation").select("trip_date").distinct().collect()}
+    assert dt.date(2024, 1, 30) not in left and dt.date(2024, 1, 29) in left
+    wrong = made.read("trip_weather_correlation").filter("trip_date = '2024-01-29'")
+    with pytest.raises(Exception, match="outside"):
+        made.store_days("trip_weather_correlation", wrong, jobs.Days(dt.date(2024, 1, 10), dt.date(2024, 1, 10)))
 
 
 def test_a_later_day_keeps_the_earlier_ones(spark, lake):
     made, _ = lake
     refresh(made)
-    before = made.published("trip_weather_correlation").filter("trip_date = '2024-01-29'").count()
+    before = made.read("trip_weather_correlation").filter("trip_date = '2024-01-29'").count()
     features = made.read("fare_features").filter("feature_date = '2024-01-23'").count()
     later = dt.datetime(2024, 1, 31, 6, 0)
     jobs.refresh_trip_weather(made, later)
     jobs.refresh_fare_features(made, later)
-    assert made.published("trip_weather_correlation").filter("trip_date = '2024-01-29'").count() == before > 0
+    assert made.read("trip_weather_correlation").filter("trip_date = '2024-01-29'").count() == before > 0
     assert made.read("fare_features").filter("feature_date = '2024-01-23'").count() == features > 0
 
 

@@ -64,17 +64,18 @@ def test_hot_rows_are_shuffled_by_their_spread_key(spark, skewed, dim):
 
 
 def test_lookup_join_switches_by_checked_size(spark, skewed, dim):
-    assert J.fits(dim, limit=1000) and not J.fits(dim, limit=10) and not J.fits(dim, rows=10**9)
-    assert rows(J.lookup_join(skewed, dim, ["k"], limit=1000)) == rows(J.lookup_join(skewed, dim, ["k"], limit=10))
+    assert J.fits(dim, 1000) and not J.fits(dim, 1000, limit=10) and not J.fits(dim, 10**9) and not J.fits(dim, None)
+    plain = rows(skewed.join(dim, ["k"], "left"))
+    for options in ({"rows": 400}, {"rows": 10**9}, {}, {"own": True}):
+        assert rows(J.lookup_join(skewed, dim, ["k"], **options)) == plain
 
 
-def test_fare_features_are_the_same_beyond_the_broadcast_bound(spark, sf_dir, monkeypatch):
+def test_fare_features_are_the_same_beyond_the_broadcast_bound(spark, sf_dir):
     args = (
         roles.trips_e(spark, sf_dir), roles.weather_h(spark, sf_dir), roles.zones_c(spark, sf_dir),
         "2024-01-31 00:00:00", "30 days",
     )
-    small = rows(M.fare_features(*args))
-    monkeypatch.setattr(J, "BROADCAST_ROWS", 5)
+    small = rows(M.fare_features(*args, max_zones=500))
     assert rows(M.fare_features(*args)) == small
 
 

@@ -46,7 +46,7 @@ def test_all_window_features_share_one_sort(spark, sf_dir):
 def test_fare_features_do_not_shuffle_trips_for_lookups(spark, sf_dir):
     df = M.fare_features(
         roles.trips_e(spark, sf_dir), roles.weather_h(spark, sf_dir), roles.zones_c(spark, sf_dir),
-        "2024-01-31 00:00:00", "30 days",
+        "2024-01-31 00:00:00", "30 days", max_zones=500,
     )
     assert "SortMergeJoin" not in plan_of(df)
 

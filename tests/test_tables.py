@@ -35,29 +35,30 @@ def test_ensure_table_creates_once(spark, name):
     spark.sql(f"DROP TABLE t_{name}")
 
 
-def test_replace_range_twice_is_once(spark, curated, tmp_path):
-    first = f"{tmp_path}/v0"
-    K.write_table(curated, first, "errorifexists", ["year", "month"])
-    K.publish(spark, "published_trips", first)
-    before = spark.table("published_trips").count()
-    cond = F.col("pickup_datetime") >= C.moment("1999-06-15 00:00:00")
-    new = curated.withColumn("fare_amount", F.col("fare_amount") + 1)
-    K.replace_range(spark, "published_trips", str(tmp_path), new, cond, ["year", "month"])
-    once = rows(spark.table("published_trips").select("pickup_datetime", "fare_amount"))
-    K.replace_range(spark, "published_trips", str(tmp_path), new, cond, ["year", "month"])
-    assert rows(spark.table("published_trips").select("pickup_datetime", "fare_amount")) == once
-    want = curated.select("pickup_datetime", F.when(cond, F.col("fare_amount") + 1).otherwise(F.col("fare_amount")))
-    assert once == rows(want.toDF("pickup_datetime", "fare_amount"))
-    assert len(once) == before
-    spark.sql("DROP VIEW published_trips")
-
-
-def test_replacement_keeps_rows_with_an_unknown_key(spark):
+def test_replace_days_twice_is_once(spark, curated, tmp_path):
+    import datetime as dt
+
+    path = f"{tmp_path}/t"
+    t = curated.select("pickup_datetime", "fare_amount", F.to_date("pickup_datetime").alias("day"))
+    K.write_table(t, path, "errorifexists", ["day"])
+    first, last = dt.date(1998, 3, 1), dt.date(1998, 4, 30)
+    new = t.filter(F.col("day").between(F.lit(first), F.lit(last)) & (F.dayofmonth("day") != 7))
+    new = new.withColumn("fare_amount", F.col("fare_amount") + 1)
+    want = rows(t.filter(~F.col("day").between(F.lit(first), F.lit(last))).unionByName(new))
+    for _ in range(2):
+        K.replace_days(new, path, "day", first, last)
+        assert rows(spark.read.schema("pickup_datetime timestamp, fare_amount double, day date").parquet(path)) == want
+
+
+def test_new_rows_outside_the_replaced_range_are_an_error(spark):
     old = spark.createDataFrame([(1, 1.0), (None, 2.0), (9, 3.0)], "k int, v double")
-    new = spark.createDataFrame([(9, 4.0), (1, 5.0)], "k int, v double")
+    new = spark.createDataFrame([(9, 4.0)], "k int, v double")
     assert rows(K.replaced(old, new, F.col("k") > 5)) == rows(
         spark.createDataFrame([(1, 1.0), (None, 2.0), (9, 4.0)], "k int, v double")
     )
+    for bad in (1, None):
+        with pytest.raises(Exception, match="outside"):
+            K.replaced(old, spark.createDataFrame([(bad, 5.0)], "k int, v double"), F.col("k") > 5).collect()
 
 
 def test_replace_partitions_touches_only_its_own(spark, curated, tmp_path):
@@ -138,9 +139,9 @@ def test_high_water_mark_round(spark, sf_dir):
 
 def test_landing_the_same_rows_twice_adds_nothing(spark, sf_dir):
     t = roles.trips_e(spark, sf_dir)
-    stored = K.land_trips(t.union(t), None, ["trip_id"])
+    stored = K.not_stored(t.union(t), None, "pickup_datetime")
     assert stored.count() == t.count()
-    assert K.land_trips(t, stored, ["trip_id"]).count() == 0
+    assert K.not_stored(t, stored, "pickup_datetime").count() == 0
 
 
 def test_json_arrays_with_mixed_numbers(spark, tmp_path):

@@ -75,8 +75,8 @@ register(
 def _refresh_range(s, d):
     """The second half of the month is replaced by a reload with fares one higher; running it twice changes nothing."""
     old = roles.trips_e(s, d).select("trip_id", "pickup_datetime", "fare_amount")
-    new = old.withColumn("fare_amount", F.col("fare_amount") + 1)
     cond = F.col("pickup_datetime") >= C.moment("2024-01-16 00:00:00")
+    new = old.filter(cond).withColumn("fare_amount", F.col("fare_amount") + 1)
     return K.replaced(K.replaced(old, new, cond), new, cond)
 
 

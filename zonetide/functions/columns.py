@@ -22,7 +22,7 @@ def num(value: float) -> Column:
 
 def interval(text: str) -> Column:
     """An interval literal such as `30 days`."""
-    if not re.fullmatch(r"\s*\d+\s+(second|minute|hour|day|week)s?\s*", text, re.IGNORECASE):
+    if not re.fullmatch(r"\s*\d+\s+(microsecond|second|minute|hour|day|week)s?\s*", text, re.IGNORECASE):
         raise ValueError(f"not an interval: {text!r}")
     return F.expr(f"INTERVAL {text}")
 

@@ -1,8 +1,9 @@
 """Dimension joins.
 
-A right side is broadcast only when a bound on its rows is known: from the arguments (hours in an interval), or by
-counting it. Beyond the bound the join is shuffled, with the hot keys taken out first, so that one key holding a large
-share of the fact rows never becomes one task.
+A right side is broadcast here only when its rows are bounded by the arguments (hours in an interval, or a caller's own
+bound) and so are its bytes. Otherwise the adaptive planner chooses the join by measured bytes, and splits a hot key of the
+fact where both sides are plain exchanges. Statistics of the fact itself are no plain exchange: there the hot keys are taken
+out first. Nothing is counted while a query is built.
 """
 
 from __future__ import annotations
@@ -11,11 +12,12 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonetide.functions import columns as C
 from zonetide.functions import fixed_values as V
 
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 1e-5  # a key with more than this share of the fact rows is hot, so there are fewer than 100,000
 SPREAD = 4096  # partitions worth of spread for rows that need no shuffled match
 
@@ -23,14 +25,20 @@ SPREAD = 4096  # partitions worth of spread for rows that need no shuffled match
 def hours_in(length: str) -> int:
     """Whole hours touched by an interval: the most rows an hourly series can have in it."""
     n, unit = re.match(r"\s*(\d+)\s+(\w+?)s?\s*$", length).groups()
-    seconds = int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}[unit.lower()]
-    return seconds // 3600 + 2
+    seconds = int(n) * {"microsecond": 1e-6, "second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}[unit.lower()]
+    return int(seconds // 3600) + 2
 
 
-def fits(dim: DataFrame, rows: int | None = None, limit: int | None = None) -> bool:
-    """Whether a side may be broadcast: by its known bound, else by counting it."""
-    limit = BROADCAST_ROWS if limit is None else limit
-    return (dim.count() if rows is None else rows) <= limit
+def row_bytes(df: DataFrame) -> int:
+    """About the most a row takes in a broadcast table: a word a field, and 64 bytes for text and nested values."""
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return 32 + sum(8 if isinstance(f.dataType, fixed) else 72 for f in df.schema.fields)
+
+
+def fits(dim: DataFrame, rows: int | None, limit: int | None = None) -> bool:
+    """Whether a side may be broadcast by a known bound of its rows; never by counting them."""
+    limit = BROADCAST_BYTES if limit is None else limit
+    return rows is not None and rows * row_bytes(dim) <= limit
 
 
 def lookup_join(
@@ -40,14 +48,16 @@ def lookup_join(
     how: str = "left",
     rows: int | None = None,
     limit: int | None = None,
+    own: bool = False,
 ) -> DataFrame:
     """Fact joined (`left` or `inner`) to a side that has at most one row per key.
 
-    `rows` is a proven upper bound of the side's rows; without one the side is counted.
+    `rows` is a proven upper bound of the side's rows, `limit` the bytes a broadcast may have; `own` says that the side was
+    aggregated from the fact by these keys.
     """
     if fits(dim, rows, limit):
         return fact.join(F.broadcast(dim), keys, how)
-    return split_hot_join(fact, dim, keys, how)
+    return split_hot_join(fact, dim, keys, how) if own else fact.join(dim, keys, how)
 
 
 def split_hot_join(
@@ -155,8 +165,7 @@ def join_zone(
 def join_both_zones(
     trips: DataFrame, zones: DataFrame, columns: list[str], how: str = "left", rows: int | None = None
 ) -> DataFrame:
-    """The zone dimension in two roles, counted once: pickup and drop-off."""
-    rows = zones.select("location_id").count() if rows is None else rows
+    """The zone dimension in two roles: pickup and drop-off."""
     once = join_zone(trips, zones, "pickup_location_id", columns, how, "pickup_", rows)
     return join_zone(once, zones, "dropoff_location_id", columns, how, "dropoff_", rows)
 
@@ -173,14 +182,8 @@ def join_pick_drop(pickups: DataFrame, dropoffs: DataFrame, keys=("location_id",
 
 
 def join_own_stats(df: DataFrame, stats: DataFrame, keys: list[str], rows: int | None = None) -> DataFrame:
-    """Fact with group statistics of itself.
-
-    There are no more groups than fact rows, so a small fact bounds its statistics without computing them twice.
-    """
-    if rows is None:
-        n = df.count()
-        rows = n if n <= BROADCAST_ROWS else None
-    return lookup_join(df, stats, keys, rows=rows)
+    """Fact with group statistics of itself; `rows` is the most groups there can be, if that is known."""
+    return lookup_join(df, stats, keys, rows=rows, own=True)
 
 
 # --- shapes ---------------------------------------------------------------------------------------------------------

@@ -1,8 +1,10 @@
 """Feature tables for demand and fare models.
 
-Windows run over the whole history and the emitted interval is cut out afterwards, so lags and long means see the rows
-before it. `mode="rows"` counts offsets in hours that have trips; `mode="grid"` fills idle hours first, so offsets are
-clock hours.
+Windows run over the history and the emitted interval is cut out afterwards, so lags and long means see the rows before it.
+Unless said otherwise the history is the emitted interval and the longest frame before it, from a full hour on. With
+`mode="grid"` idle hours are filled first, so offsets are clock hours and every frame is whole. With `mode="rows"` offsets
+count hours that have trips: a zone with idle hours gets those of its last rows that lie in the history, and needs a longer
+`history` to fill a frame.
 """
 
 from __future__ import annotations
@@ -24,9 +26,24 @@ ROLLING = {
 }
 
 
+#: The longest frame, and the hour that the first emitted row stands in.
+FRAME_HOURS = V.MONTH_HOURS + 1
+FRAMES = "frames"
+
+
+def history_for(history: str | None, emit: str | None) -> str | None:
+    """The history to read: as given, or what the frames of the first emitted row reach back to."""
+    if history != FRAMES:
+        return history
+    return None if emit is None else f"{J.hours_in(emit) + FRAME_HOURS} hours"
+
+
 def demand_history(trips: DataFrame, as_of, history: str | None, mode: str = "rows", grid_start=None) -> DataFrame:
-    """Zone-hour demand up to `as_of`; in grid mode from `grid_start` on, idle hours included."""
-    demand = A.hourly_demand(P.trailing(trips, "pickup_datetime", as_of, history))
+    """Zone-hour demand up to `as_of`, from a full hour on; in grid mode from `grid_start` on, idle hours included."""
+    recent = P.trailing(trips, "pickup_datetime", as_of, None)
+    if history is not None:
+        recent = recent.filter(F.col("pickup_datetime") >= C.hour_of(C.moment(as_of) - C.interval(history)))
+    demand = A.hourly_demand(recent)
     if mode == "rows":
         return demand
     if mode != "grid":
@@ -43,7 +60,7 @@ def demand_features(
     weather: DataFrame,
     zones: DataFrame,
     as_of,
-    history: str | None = "30 days",
+    history: str | None = FRAMES,
     emit: str | None = "1 day",
     mode: str = "rows",
     holidays: DataFrame | None = None,
@@ -57,6 +74,7 @@ def demand_features(
     day; without them no day is a holiday and the event factor is 1. `nearby_km` turns the zone's own demand into the
     demand of the zones around it.
     """
+    history = history_for(history, emit)
     demand = demand_history(trips, as_of, history, mode, grid_start)
     rolled = W.add_rolling(
         W.add_lags(demand, (1, 24, 168)),
@@ -116,7 +134,7 @@ def demand_features_ml(
     weather: DataFrame,
     zones: DataFrame,
     as_of,
-    history: str | None = "30 days",
+    history: str | None = FRAMES,
     emit: str | None = "1 day",
     mode: str = "rows",
     grid_start=None,
@@ -126,6 +144,7 @@ def demand_features_ml(
 
     Lags, frames and the popularity join all work on the rollup partitioned by zone, so the rollup is shuffled once.
     """
+    history = history_for(history, emit)
     demand = demand_history(trips, as_of, history, mode, grid_start)
     lagged = W.add_rolling(W.add_lags(demand), ROLLING)
     popular = W.zone_popularity(demand).select("location_id", "popularity_decile")
@@ -191,37 +210,37 @@ def demand_features_ml(
 
 
 def fare_features(
-    trips: DataFrame, weather: DataFrame, zones: DataFrame, as_of, length: str | None = "7 days"
+    trips: DataFrame,
+    weather: DataFrame,
+    zones: DataFrame,
+    as_of,
+    length: str | None = "7 days",
+    max_zones: int | None = None,
 ) -> DataFrame:
     """Fare features of a trip between two known zones.
 
     Route and zone-hour means include the trip itself and all fares, valid or not, as the model's contract has it:
     knowingly a leak of the target.
 
-    Both statistics are looked up only for known zones. Their rows are then bounded by zones^2 and zones x hours, and
-    never exceed the trips; where that bound is small they are broadcast and the trips are not shuffled at all. Beyond
-    it the lookup is shuffled with its hot routes and zone-hours split off.
+    Both statistics are looked up only for known zones, so their rows are bounded by zones^2 and zones x hours. A caller that
+    knows `max_zones` gets broadcasts where these bounds are small, and the trips are not shuffled at all; otherwise the
+    lookup is shuffled with its hot routes and zone-hours split off.
     """
     recent = P.trailing(trips, "pickup_datetime", as_of, length)
     keys = zones.select("location_id")
-    n_zones = keys.count()
+    keys = F.broadcast(keys) if J.fits(keys, max_zones) else keys
     hours = None if length is None else J.hours_in(length)
-    small = n_zones <= J.BROADCAST_ROWS
-    z = F.broadcast(keys) if small else keys
 
     def known(df: DataFrame, column: str) -> DataFrame:
-        return df.join(z.withColumnRenamed("location_id", column), column, "left_semi")
+        return df.join(keys.withColumnRenamed("location_id", column), column, "left_semi")
 
     routes = known(known(A.route_history(recent), "pickup_location_id"), "dropoff_location_id").drop("route_frequency")
     surges = known(A.zone_hour_surge(recent), "pickup_location_id").drop("trips_in_hour")
-    bounds = [n_zones**2, n_zones * hours if hours else None]
-    if any(b is None or b > J.BROADCAST_ROWS for b in bounds):
-        n_trips = recent.count()
-        bounds = [n_trips if b is None else min(b, n_trips) for b in bounds]
+    bounds = [max_zones and max_zones**2, max_zones and hours and max_zones * hours]
 
     place = zones.withColumn("code", C.borough_code("borough"))
     t = P.positive(recent, ["fare_amount", "trip_distance"])
-    t = J.join_both_zones(t, place, ["borough", "zone_type", "latitude", "longitude", "code"], "inner", n_zones)
+    t = J.join_both_zones(t, place, ["borough", "zone_type", "latitude", "longitude", "code"], "inner", max_zones)
     t = t.withColumn("hour_timestamp", C.hour_of("pickup_datetime"))
     w = weather.withColumns(
         {

@@ -1,16 +1,15 @@
 """The batch jobs: land files, refresh the derived tables. Each can be run again for the same day without harm.
 
-Tables live under one root folder. Facts are parquet folders partitioned by date parts; small derived tables are
-published under a name that points at their current folder; feature tables are replaced by day partition.
+Tables are parquet folders under one root. Derived tables are partitioned by day; a refresh computes whole days and replaces
+exactly those, so a backfill leaves later days alone. Small logs (marks, landed files) are appended to.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonetide.functions import columns as C
@@ -20,98 +19,126 @@ from zonetide.plans import features as M
 from zonetide.sources import readers, schemas
 from zonetide.tables import store as K
 
-HISTORY_DAYS = 30
+#: Pickups before this, or more than a day after the load, are mistakes of the meter.
+EARLIEST = datetime(2000, 1, 1)
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the tables are; `prefix` keeps the published names of one lake apart from another's."""
+    """Where the tables are."""
 
     spark: SparkSession
     root: str
-    prefix: str = ""
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def name(self, table: str) -> str:
-        return f"{self.prefix}{table}"
-
-    def published(self, table: str) -> DataFrame | None:
-        name = self.name(table)
-        return self.spark.table(name) if self.spark.catalog.tableExists(name) else None
+    def exists(self, table: str) -> bool:
+        return K.exists(self.spark, self.path(table))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.schema(schemas.OUTPUT_TABLES[table][0]).parquet(self.path(table))
+        """A table with its declared columns, in their order; empty if it was never written."""
+        schema = schemas.OUTPUT_TABLES[table][0]
+        if not self.exists(table):
+            return self.spark.createDataFrame([], schema)
+        return K.conform(self.spark.read.schema(schema).parquet(self.path(table)), schema)
 
-    def newest(self, table: str, ts_col: str) -> datetime | None:
-        """The newest time in a table, none if it does not exist yet or is empty."""
-        try:
-            rows = self.read(table)
-        except AnalysisException:
-            return None
-        return rows.agg(F.max(ts_col)).first()[0]
+    def marks(self) -> DataFrame:
+        """The newest mark of each table out of the log of marks."""
+        return K.upsert_marks(self.spark.createDataFrame([], schemas.CONTROL), self.read("control"))
 
     def trips(self, since: datetime, until: datetime) -> DataFrame:
         """Trips of a time range; months outside it are not read."""
         return readers.read_trips_between(self.spark, self.path("trips"), since, until, schemas.CURATED_TRIPS)
 
-    def store(self, table: str, rows: DataFrame, condition: Column) -> None:
-        """Replace the rows of a published table under a condition."""
-        schema, parts = schemas.OUTPUT_TABLES[table]
-        rows = K.conform(rows, schema)
-        if self.published(table) is None:
-            first = f"{self.path(table)}/first"
-            K.write_table(rows, first, "overwrite", parts)
-            K.publish(self.spark, self.name(table), first)
-        else:
-            K.replace_range(self.spark, self.name(table), self.path(table), rows, condition, parts)
-
-    def store_days(self, table: str, rows: DataFrame) -> None:
-        """Replace the day partitions the rows fall into."""
+    def append(self, table: str, rows: DataFrame) -> None:
         schema, parts = schemas.OUTPUT_TABLES[table]
-        K.replace_partitions(K.conform(rows, schema), self.path(table), parts)
+        K.write_table(K.conform(rows, schema), self.path(table), "append", parts)
+
+    def store_days(self, table: str, rows: DataFrame, days: Days) -> None:
+        """Make the rows the table's content of these days."""
+        schema, (day_col,) = schemas.OUTPUT_TABLES[table]
+        K.replace_days(K.conform(rows, schema), self.path(table), day_col, days.first, days.last)
+
+
+@dataclass(frozen=True)
+class Days:
+    """Whole days, from the midnight before the first to the last moment of the last."""
+
+    first: date
+    last: date
 
+    @property
+    def since(self) -> datetime:
+        return datetime(self.first.year, self.first.month, self.first.day)
 
-def whole_days(as_of: datetime, days: int) -> tuple[datetime, str]:
-    """Midnight `days` days before the day of `as_of`, and the interval from there to `as_of`.
+    @property
+    def until(self) -> datetime:
+        return datetime(self.last.year, self.last.month, self.last.day) + timedelta(days=1, microseconds=-1)
 
-    What is computed and what is replaced then start at the same midnight.
+    @property
+    def length(self) -> str:
+        return f"{((self.last - self.first).days + 1) * 86_400_000_000 - 1} microseconds"
+
+
+def whole_days(as_of: datetime, days: int) -> Days:
+    """The day of `as_of` and the `days` days before it.
+
+    Days are computed whole whatever the hour of `as_of`: an earlier run for a day never replaces it by a part of it.
     """
-    since = datetime(as_of.year, as_of.month, as_of.day) - timedelta(days=days)
-    return since, f"{int((as_of - since).total_seconds())} seconds"
+    return Days(as_of.date() - timedelta(days=days), as_of.date())
 
 
 # --- landing --------------------------------------------------------------------------------------------------------
 
 def land_trips(lake: Lake, raw_path: str, as_of: datetime) -> None:
-    """Raw trips past the high-water mark, cleaned and appended; then the mark moves to the newest landed pickup.
+    """Every valid trip of the files not landed yet, once, however old its pickup is.
 
-    The stored trips count as a mark too, so a run that ended between the append and the new mark is not repeated.
-    Only rows up to the newest pickup seen at the start are landed: files that arrive meanwhile wait for the next run.
+    What was read is known by file and time of change, never by the trips' own times. Rows with an impossible pickup go to
+    the bad table. Trips that are stored already are left out by their content, compared within the months of the new
+    rows only; so a file that comes twice, and a run that ended between its append and its log, add nothing.
     """
     spark = lake.spark
-    control = lake.published("control")
-    if control is None:
-        control = spark.createDataFrame([], schemas.CONTROL)
-    stored = lake.newest("trips", "pickup_datetime")
-    marks = control if stored is None else K.upsert_marks(control, K.mark_row(spark, "trips", stored, as_of))
-    curated = U.curate_trips(readers.read_trips(spark, raw_path, schemas.RAW_TRIPS), as_of)
-    fresh = readers.incremental(curated, marks, "trips", "pickup_datetime", as_of, f"{HISTORY_DAYS} days")
-    newest = fresh.agg(F.max("pickup_datetime")).first()[0]
+    raw = readers.read_trips(spark, raw_path, schemas.RAW_TRIPS).select(
+        "*",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+    )
+    landed = lake.read("landed_files").select("file", "modified")
+    files = raw.select("file", "modified").distinct().join(landed, ["file", "modified"], "left_anti")
+    # Few and small rows; taken once, so that files that arrive meanwhile wait for the next run.
+    names = [(r.file, r.modified) for r in files.toLocalIterator()]
+    if not names:
+        return
+    chosen = spark.createDataFrame(names, "file string, modified timestamp")
+    fresh = raw.join(chosen, ["file", "modified"], "left_semi")
+
+    pickup = F.col("tpep_pickup_datetime")
+    wrong = (pickup < C.moment(EARLIEST)) | (pickup > C.moment(as_of + timedelta(days=1)))
+    stamp = C.moment(as_of)
+    # Files that landed in a run that ended early are read again: their bad rows are known by their file.
+    bad = fresh.filter(wrong).withColumn("load_date", stamp)
+    lake.append("bad_trips", bad.join(lake.read("bad_trips").select("file").distinct(), "file", "left_anti"))
+
+    curated = K.conform(U.curate_trips(fresh.filter(~wrong), as_of), schemas.CURATED_TRIPS)
+    months = [(r.year, r.month) for r in curated.select("year", "month").distinct().collect()]
+    stored = None
+    if months and lake.exists("trips"):
+        touched = F.lit(False)
+        for year, month in months:
+            touched = touched | ((F.col("year") == year) & (F.col("month") == month))
+        stored = lake.read("trips").filter(touched)
+    lake.append("trips", K.not_stored(curated, stored, "pickup_datetime", but=("load_date",)))
+    newest = curated.agg(F.max("pickup_datetime")).first()[0]
     if newest is not None:
-        landed = fresh.filter(F.col("pickup_datetime") <= F.lit(newest))
-        K.write_table(K.conform(landed, schemas.CURATED_TRIPS), lake.path("trips"), "append", ["year", "month"])
-    mark = newest or stored
-    if mark is not None:
-        lake.store("control", K.advance_hwm(control, "trips", mark, as_of), F.lit(True))
+        lake.append("control", K.mark_row(spark, "trips", newest, as_of))
+    lake.append("landed_files", chosen.withColumn("load_date", stamp))
 
 
 def land_weather(lake: Lake, raw_path: str, as_of: datetime) -> None:
     """Weather files appended as they come; repeated hours are resolved when the table is joined."""
     raw = readers.read_json_array(lake.spark, raw_path, schemas.RAW_WEATHER)
-    schema, parts = schemas.OUTPUT_TABLES["hourly_weather"]
-    K.write_table(K.conform(U.curate_weather(raw, as_of), schema), lake.path("hourly_weather"), "append", parts)
+    lake.append("hourly_weather", U.curate_weather(raw, as_of))
 
 
 def land_zones(lake: Lake, raw_path: str, as_of: datetime) -> None:
@@ -123,59 +150,62 @@ def land_zones(lake: Lake, raw_path: str, as_of: datetime) -> None:
 # --- derived tables -------------------------------------------------------------------------------------------------
 
 def refresh_daily_summary(lake: Lake, day: datetime) -> None:
-    start = datetime(day.year, day.month, day.day)
-    rows = A.daily_summary(lake.trips(start, start + timedelta(days=1)), start.date())
-    lake.store("daily_summary", rows, F.col("trip_date") == F.lit(start.date()))
+    days = whole_days(day, 0)
+    lake.store_days("daily_summary", A.daily_summary(lake.trips(days.since, days.until), days.first), days)
 
 
 def refresh_trip_weather(lake: Lake, as_of: datetime, days: int = 1) -> None:
-    since, length = whole_days(as_of, days)
-    rows = A.trip_weather(lake.trips(since, as_of), lake.read("hourly_weather"), as_of, length)
-    lake.store("trip_weather_correlation", U.with_load_date(rows, as_of), F.col("trip_date") >= F.lit(since.date()))
+    d = whole_days(as_of, days)
+    rows = A.trip_weather(lake.trips(d.since, d.until), lake.read("hourly_weather"), d.until, d.length)
+    lake.store_days("trip_weather_correlation", U.with_load_date(rows, as_of), d)
 
 
 def refresh_zone_performance(lake: Lake, as_of: datetime, days: int = 1) -> None:
-    since, length = whole_days(as_of, days)
+    d = whole_days(as_of, days)
     rows = A.zone_performance(
-        lake.trips(since, as_of), lake.read("hourly_weather"), lake.read("zones"), as_of, length
+        lake.trips(d.since, d.until), lake.read("hourly_weather"), lake.read("zones"), d.until, d.length
     )
-    lake.store("zone_performance_metrics", U.with_load_date(rows, as_of), F.col("trip_date") >= F.lit(since.date()))
+    lake.store_days("zone_performance_metrics", U.with_load_date(rows, as_of), d)
+
+
+def _with_history(lake: Lake, d: Days) -> DataFrame:
+    """Trips of the days and of the hours before them that the longest frame reaches back to."""
+    return lake.trips(d.since - timedelta(hours=M.FRAME_HOURS), d.until)
 
 
 def refresh_demand_features(lake: Lake, as_of: datetime, days: int = 1, **options) -> None:
-    since, emit = whole_days(as_of, days)
-    start, history = whole_days(as_of, HISTORY_DAYS)
+    d = whole_days(as_of, days)
     rows = M.demand_features(
-        lake.trips(start, as_of), lake.read("hourly_weather"), lake.read("zones"), as_of, history, emit, **options
+        _with_history(lake, d), lake.read("hourly_weather"), lake.read("zones"), d.until, emit=d.length, **options
     )
-    condition = F.col("prediction_datetime") >= C.moment(since)
-    lake.store("demand_features_analytics", U.with_load_date(rows, as_of), condition)
+    rows = U.with_load_date(rows, as_of).withColumn("prediction_date", F.to_date("prediction_datetime"))
+    lake.store_days("demand_features_analytics", rows, d)
 
 
 def refresh_demand_features_ml(lake: Lake, as_of: datetime, days: int = 1, mode: str = "rows") -> None:
-    _, emit = whole_days(as_of, days)
-    start, history = whole_days(as_of, HISTORY_DAYS)
+    d = whole_days(as_of, days)
     rows = M.demand_features_ml(
-        lake.trips(start, as_of), lake.read("hourly_weather"), lake.read("zones"), as_of, history, emit, mode
+        _with_history(lake, d), lake.read("hourly_weather"), lake.read("zones"), d.until, emit=d.length, mode=mode
     )
-    lake.store_days("demand_features_ml", rows.withColumn("created_at", C.moment(as_of)))
+    lake.store_days("demand_features_ml", rows.withColumn("created_at", C.moment(as_of)), d)
 
 
 def refresh_fare_features(lake: Lake, as_of: datetime, days: int = 7) -> None:
     """All days that are computed are replaced, not only the last one."""
-    since, length = whole_days(as_of, days)
-    rows = M.fare_features(lake.trips(since, as_of), lake.read("hourly_weather"), lake.read("zones"), as_of, length)
-    lake.store_days("fare_features", rows.withColumn("created_at", C.moment(as_of)))
+    d = whole_days(as_of, days)
+    rows = M.fare_features(
+        lake.trips(d.since, d.until), lake.read("hourly_weather"), lake.read("zones"), d.until, d.length
+    )
+    lake.store_days("fare_features", rows.withColumn("created_at", C.moment(as_of)), d)
 
 
 def reports(lake: Lake, as_of: datetime, days: int = 1) -> dict[str, DataFrame]:
     """The reports over the stored tables, by name."""
-    since, _ = whole_days(as_of, days)
-    day = since.date()
+    d = whole_days(as_of, days)
     return {
-        "summary_by_condition": A.summary_by_condition(lake.published("trip_weather_correlation"), day),
-        "top_zones_by_pickups": A.top_zones_by_pickups(lake.published("zone_performance_metrics"), day),
-        "condition_demand_impact": A.condition_demand_impact(lake.published("demand_features_analytics"), since),
-        "demand_stats": A.demand_stats(lake.read("demand_features_ml"), day),
-        "fare_stats": A.fare_stats(lake.read("fare_features"), day),
+        "summary_by_condition": A.summary_by_condition(lake.read("trip_weather_correlation"), d.first),
+        "top_zones_by_pickups": A.top_zones_by_pickups(lake.read("zone_performance_metrics"), d.first),
+        "condition_demand_impact": A.condition_demand_impact(lake.read("demand_features_analytics"), d.since),
+        "demand_stats": A.demand_stats(lake.read("demand_features_ml"), d.first),
+        "fare_stats": A.fare_stats(lake.read("fare_features"), d.first),
     }

@@ -7,6 +7,9 @@ from pyspark.sql import SparkSession
 # Timestamps are compared and truncated in UTC everywhere.
 RUNTIME_CONF = {"spark.sql.session.timeZone": "UTC"}
 
+# Adaptive planning merges partitions but never makes more: on a cluster, start with many, whatever the final number is.
+CLUSTER_CONF = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000"}
+
 BUILD_CONF = {
     **RUNTIME_CONF,
     "spark.sql.adaptive.enabled": "true",
@@ -28,7 +31,8 @@ def build_session(app: str = "zonetide", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {**BUILD_CONF, **{k.replace("__", "."): v for k, v in conf.items()}}
+    local = (master or "").startswith("local")
+    settings = {**BUILD_CONF, **({} if local else CLUSTER_CONF), **{k.replace("__", "."): v for k, v in conf.items()}}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -40,13 +44,3 @@ def prepare(spark: SparkSession) -> SparkSession:
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
-
-
-def size_shuffles(spark: SparkSession, shuffled_bytes: int, per_task: int = 128 << 20) -> int:
-    """Set the shuffle partitions for the bytes a job is going to shuffle; adaptive planning merges what stays small.
-
-    Most queries here shuffle rollups and need nothing; joins of raw facts on their own keys do.
-    """
-    parts = max(spark.sparkContext.defaultParallelism, -(-shuffled_bytes // per_task))
-    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-    return parts

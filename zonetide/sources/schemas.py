@@ -62,14 +62,14 @@ OUTPUT_TABLES = {
         "wind_speed_kmh double, total_trips bigint, avg_trip_distance double, avg_fare_amount double, "
         "avg_tip_amount double, avg_trip_duration_minutes double, pickup_zone_diversity int, load_date timestamp, "
         "day int, year int, month int",
-        ("year", "month"),
+        ("trip_date",),
     ),
     "zone_performance_metrics": (
         "location_id int, zone_name string, zone_type string, is_tourist_area boolean, is_business_district boolean, "
         "trip_date date, hour int, weather_condition string, total_pickups bigint, total_dropoffs bigint, "
         "avg_fare_per_pickup double, avg_tip_percentage double, avg_trip_distance double, peak_hour_factor double, "
         "weather_impact_score double, load_date timestamp, year int, month int, borough string",
-        ("year", "month", "borough"),
+        ("trip_date",),
     ),
     "hourly_weather": (
         "timestamp timestamp, location string, latitude double, longitude double, temperature_celsius double, "
@@ -84,8 +84,8 @@ OUTPUT_TABLES = {
         "historical_demand_24h_ago bigint, historical_demand_168h_ago bigint, rolling_avg_demand_7d double, "
         "rolling_avg_demand_30d double, zone_type string, is_tourist_area boolean, is_business_district boolean, "
         "nearby_zones_demand bigint, weather_impact_factor double, event_factor double, load_date timestamp, "
-        "year int, month int",
-        ("year", "month"),
+        "year int, month int, prediction_date date",
+        ("prediction_date",),
     ),
     "demand_features_ml": (
         "location_id int, prediction_hour timestamp, target_demand bigint, hour_of_day int, day_of_week int, "
@@ -113,7 +113,7 @@ OUTPUT_TABLES = {
         "trip_date date, total_trips bigint, total_passengers bigint, avg_trip_distance double, "
         "avg_fare_amount double, avg_tip_amount double, avg_total_amount double, last_updated timestamp, year int, "
         "month int",
-        ("year", "month"),
+        ("trip_date",),
     ),
     "trip_window_aggregates": (
         "window_start timestamp, window_end timestamp, pickup_zone_id int, total_trips bigint, total_revenue double, "
@@ -147,6 +147,8 @@ OUTPUT_TABLES = {
         (),
     ),
     "control": (CONTROL, ()),
+    "landed_files": ("file string, modified timestamp, load_date timestamp", ()),
+    "bad_trips": (f"{RAW_TRIPS}, file string, load_date timestamp", ()),
     "trips": (CURATED_TRIPS, ("year", "month")),
     "zones": (ZONES, ()),
 }

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
+from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,9 +76,18 @@ def union_evolving(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
+def _checked(df: DataFrame, test: Column, message: str) -> DataFrame:
+    """The rows, of which each that fails a test, or for which it is unknown, ends the job."""
+    return df.filter(F.when(test, F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean")))
+
+
 def replaced(old: DataFrame, new: DataFrame, condition: Column) -> DataFrame:
-    """Table content after the rows under `condition` gave way to new ones; rows where it is unknown stay."""
-    return old.filter(~F.coalesce(condition, F.lit(False))).unionByName(new.filter(condition))
+    """Table content after the rows under `condition` gave way to new ones; stored rows where it is unknown stay.
+
+    A new row outside the condition is an error: it would stand beside the row it was made to replace.
+    """
+    kept = old.filter(~F.coalesce(condition, F.lit(False)))
+    return kept.unionByName(_checked(new, condition, "a new row is outside the replaced range"))
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -92,24 +101,32 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     )
 
 
-def publish(spark: SparkSession, name: str, path: str) -> None:
-    """Point a name at a folder: one catalog step, so readers see the old content or the new, never a mix."""
-    spark.sql(f"CREATE OR REPLACE VIEW {_name(name)} AS SELECT * FROM parquet.`{path}`")
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at a path, in whatever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
-def replace_range(
-    spark: SparkSession, name: str, root: str, df: DataFrame, condition: Column, partition_by: Sequence[str] = ()
-) -> str:
-    """Replace the rows of a published table under `condition` by those of `df` under it; returns the new folder.
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
-    Kept and new rows go to a fresh folder under `root`, and the name is pointed at it afterwards: a failed write
-    leaves the table as it was, and a second run gives the same table. Older folders are left for a later clean-up.
+
+def replace_days(df: DataFrame, path: str, day_col: str, first: date, last: date) -> None:
+    """Make `df` the content of the days first to last of a table partitioned by day; other days are not touched.
+
+    Only the produced day partitions are written, in place, and days of the range that have no rows any more are
+    emptied. A row of another day, or of none, ends the job before anything is replaced.
     """
-    table = spark.table(name)
-    fresh = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
-    write_table(replaced(table, df.select(*table.columns), condition), fresh, "errorifexists", partition_by)
-    publish(spark, name, fresh)
-    return fresh
+    seen = Observation()
+    inside = F.col(day_col).between(F.lit(first), F.lit(last))
+    rows = _checked(df, inside, f"a row is outside {first} to {last}")
+    replace_partitions(rows.observe(seen, F.collect_set(day_col).alias("days")), path, [day_col])
+    produced = {str(d) for d in seen.get["days"] or []}
+    for n in range((last - first).days + 1):
+        day = str(first + timedelta(days=n))
+        if day not in produced:
+            _delete(df.sparkSession, f"{path.rstrip('/')}/{day_col}={day}")
 
 
 def full_refresh(df: DataFrame, path: str) -> None:
@@ -167,7 +184,16 @@ def upsert_marks(control: DataFrame, marks: DataFrame) -> DataFrame:
 
 # --- landing --------------------------------------------------------------------------------------------------------
 
-def land_trips(curated: DataFrame, stored: DataFrame | None, key: Sequence[str]) -> DataFrame:
-    """Curated rows that are not stored yet; repeated loads of one file add nothing."""
-    fresh = curated.dropDuplicates(list(key))
-    return fresh if stored is None else fresh.join(stored.select(*key), list(key), "left_anti")
+def not_stored(fresh: DataFrame, stored: DataFrame | None, ts_col: str, but: Sequence[str] = ()) -> DataFrame:
+    """Fresh rows, each once, that are not stored yet. A row is known by all its columns except `but`.
+
+    Its time and a digest of all columns are the join key, so neither nulls nor the number of columns matter, and no key
+    value is shared by many rows.
+    """
+    columns = [c for c in fresh.columns if c not in but]
+    key = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns])
+    once = fresh.withColumn("_key", key).dropDuplicates([ts_col, "_key"])
+    if stored is None:
+        return once.drop("_key")
+    known = stored.select(ts_col, key.alias("_key"))
+    return once.join(known, [ts_col, "_key"], "left_anti").drop("_key")
