@@ -114,22 +114,22 @@ register(
     q("changes", """SELECT CASE WHEN bad THEN '(bad)' ELSE op END AS op, count(*) AS cnt,
       CAST(sum("offset") AS BIGINT) AS offsets FROM changes GROUP BY 1"""),
 )
-_LATEST = "QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts_ms DESC, \"offset\" DESC) = 1"
+_LATEST = "QUALIFY row_number() OVER (PARTITION BY source_table, id ORDER BY ts_ms DESC, \"offset\" DESC) = 1"
 register(
     "latest_per_key",
-    lambda s, d: X.latest_per_key(flat(s, d), "id", ("__source_ts_ms", "offset")).select(
-        "id", "offset", "__op", "fare_amount"
+    lambda s, d: X.latest_per_key(flat(s, d), X.ROW_KEY, ("__source_ts_ms", "offset")).select(
+        "__source_table", "id", "offset", "__op", "fare_amount"
     ),
-    q("changes", f"""SELECT id, "offset", op AS __op, fare_amount FROM changes {_LATEST}"""),
+    q("changes", f"""SELECT source_table AS __source_table, id, "offset", op AS __op, fare_amount FROM changes {_LATEST}"""),
 )
 register(
     "cdc_current_state",
     lambda s, d: X.current_state(flat(s, d)).select(
-        "id", "vendor_id", "pickup_datetime", "pickup_location_id", "dropoff_location_id", "trip_distance",
+        "__source_table", "id", "vendor_id", "pickup_datetime", "pickup_location_id", "dropoff_location_id", "trip_distance",
         "fare_amount", "total_amount",
     ),
-    q("changes", f"""SELECT id, vendor_id, pickup_datetime, pickup_location_id, dropoff_location_id, trip_distance,
-      fare_amount, total_amount FROM (SELECT * FROM changes {_LATEST}) WHERE op <> 'd'"""),
+    q("changes", f"""SELECT source_table AS __source_table, id, vendor_id, pickup_datetime, pickup_location_id,
+      dropoff_location_id, trip_distance, fare_amount, total_amount FROM (SELECT * FROM changes {_LATEST}) WHERE op <> 'd'"""),
 )
 register(
     "cdc_op_distribution",

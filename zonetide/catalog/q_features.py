@@ -146,6 +146,15 @@ def m3(s, d, **more):
 
 
 register("demand_features_ml", m3, q(_ROLES, M3, **_ML), "rolling_avg_7d rolling_avg_30d rolling_std_7d")
+register(
+    "demand_features_one_day",
+    lambda s, d: M.demand_features_ml(
+        roles.trips_e(s, d), roles.weather_h(s, d), roles.zones_c(s, d), "2024-01-30 23:59:59", emit="1 day"
+    ),
+    q(_ROLES, """SELECT * FROM m3 WHERE prediction_hour BETWEEN TIMESTAMP '2024-01-29 23:59:59'
+      AND TIMESTAMP '2024-01-30 23:59:59'""", **_ML, m3=M3),
+    "rolling_avg_7d rolling_avg_30d rolling_std_7d",
+)
 register(
     "demand_feature_stats",
     lambda s, d: A.demand_stats(m3(s, d)),
@@ -244,8 +253,8 @@ FORECAST = f"""SELECT location_id, coalesce(zone, 'Unknown Zone') AS zone_name,
 _BY_DEMAND = " ORDER BY predicted_demand DESC, prediction_hour, location_id, hour_of_day, day_of_week"
 
 
-def forecast(s, d, top=1000):
-    return S.forecast(roles.trips_e(s, d), roles.zones_s(s, d), AS_OF, 24, MIN_N, top=top)
+def forecast(s, d, top=1000, since=None):
+    return S.forecast(roles.trips_e(s, d), roles.zones_s(s, d), AS_OF, 24, MIN_N, top=top, since=since)
 
 
 register(
@@ -260,15 +269,18 @@ register(
     "demand_forecast_seasonal",
     lambda s, d: S.forecast_seasonal(roles.trips_e(s, d), roles.zones_s(s, d), AS_OF, 168, 30),
     q("trips_e zones_s", f"""SELECT location_id, coalesce(zone, 'Unknown Zone') AS zone_name, prediction_hour,
-      {r("historical_count / (CAST(30 AS DOUBLE) / 7)", 3)} AS predicted_demand, historical_count,
+      {r("historical_count / CAST(dates AS DOUBLE)", 3)} AS predicted_demand, historical_count,
       {r("avg_fare", 2)} AS avg_fare
       FROM (SELECT TIMESTAMP '{AS_OF}' + to_hours(unnest(range(1, 169))) AS prediction_hour)
       JOIN pattern ON hour_of_day = hour(prediction_hour) AND day_of_week = dayofweek(prediction_hour) + 1
+      JOIN (SELECT dayofweek(d) + 1 AS dow, count(*) AS dates FROM
+        (SELECT unnest(range(TIMESTAMP '{EVENTS_FROM}', TIMESTAMP '{AS_OF}', INTERVAL 1 DAY)) AS d) GROUP BY 1)
+        ON dow = day_of_week
       LEFT JOIN zones_s USING (location_id)""", pattern=PATTERN),
 )
 register(
     "forecast_filter",
-    lambda s, d: S.future_rows(forecast(s, d, None), "2024-01-31 12:00:00"),
+    lambda s, d: S.future_rows(forecast(s, d, None, "2024-01-31 12:00:00"), "2024-01-31 12:00:00"),
     q("trips_e zones_s", """SELECT location_id, prediction_hour, predicted_demand, weather_impact_factor,
       confidence_score FROM f WHERE prediction_hour >= TIMESTAMP '2024-01-31 12:00:00'""",
       pattern=PATTERN, f=FORECAST),

@@ -80,49 +80,80 @@ def type_change(
     micros: Sequence[str] = (),
     texts: Sequence[str] = (),
 ) -> DataFrame:
-    """Loose JSON values to table types: money decimal(8,2), coordinates decimal(18,14), micros and text to times."""
-    casts = {c: F.col(c).cast("decimal(8,2)") for c in money}
-    casts |= {c: F.col(c).cast("decimal(18,14)") for c in coordinates}
+    """Loose JSON values to table types: money decimal(8,2), coordinates decimal(18,14), micros and text to times.
+
+    A value that does not fit its type becomes null, and the stream goes on.
+    """
+    casts = {c: F.col(c).try_cast("decimal(8,2)") for c in money}
+    casts |= {c: F.col(c).try_cast("decimal(18,14)") for c in coordinates}
     casts |= {c: F.timestamp_micros(c) for c in micros}
     casts |= {c: C.parse_ts(c) for c in texts}
     return rows.withColumns(casts)
 
 
 def split_bad(broker: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Good and bad broker rows: a bad one does not parse as an envelope or has no known operation."""
+    """Good and bad broker rows: a bad one does not parse as an envelope, has no known operation, or has no row in it.
+
+    The row is `after`, or `before` where that is missing, and must be a JSON object with an id.
+    """
     parsed = F.from_json(
-        F.col(col).cast("string"), "op string, _bad string", {"columnNameOfCorruptRecord": "_bad"}
+        F.col(col).cast("string"),
+        "op string, before string, after string, _bad string",
+        {"columnNameOfCorruptRecord": "_bad"},
+    )
+    payload = F.from_json(
+        F.coalesce("_after", "_before"), "id string, _bad string", {"columnNameOfCorruptRecord": "_bad"}
+    )
+    is_bad = (
+        F.col("_bad").isNotNull()
+        | ~F.coalesce(F.col("_op").isin(*V.ALL_OPS), F.lit(False))
+        | F.col("_row._bad").isNotNull()
+        | F.col("_row.id").isNull()
+    )
+    marked = (
+        broker.select("*", F.inline(F.array(parsed)).alias("_op", "_before", "_after", "_bad"))
+        .withColumn("_row", payload)
+        .withColumn("_is_bad", is_bad)
     )
-    is_bad = F.col("_bad").isNotNull() | ~F.coalesce(F.col("_op").isin(*V.ALL_OPS), F.lit(False))
-    marked = broker.select("*", F.inline(F.array(parsed)).alias("_op", "_bad")).withColumn("_is_bad", is_bad)
     good, bad = marked.filter(~F.col("_is_bad")), marked.filter("_is_bad")
     return good.select(*broker.columns), bad.select(*broker.columns)
 
 
-def latest_per_key(changes: DataFrame, pk: str, order: Sequence[str] = ("ts_ms", "offset")) -> DataFrame:
-    """Newest change per key.
+def latest_per_key(
+    changes: DataFrame, pk: str | Sequence[str], order: Sequence[str] = ("ts_ms", "offset")
+) -> DataFrame:
+    """Newest change per key, of one column or several.
 
     `max` of a struct keeps one row per key and task before the shuffle, where ranking all changes of a key would
     bring a hot key's whole history into one task. The order columns must be unique together within a key.
     """
-    rest = [c for c in changes.columns if c != pk and c not in order]
-    newest = changes.groupBy(pk).agg(F.max_by(F.struct(*order, *rest), F.struct(*order)).alias("_row"))
-    return newest.select(pk, "_row.*").select(*changes.columns)
+    keys = [pk] if isinstance(pk, str) else list(pk)
+    rest = [c for c in changes.columns if c not in keys and c not in order]
+    newest = changes.groupBy(*keys).agg(F.max_by(F.struct(*order, *rest), F.struct(*order)).alias("_row"))
+    return newest.select(*keys, "_row.*").select(*changes.columns)
+
 
+#: A log holds several tables, whose ids overlap.
+ROW_KEY = ("__source_table", "id")
 
-def current_state(log: DataFrame, pk: str = "id", order: Sequence[str] = ("__source_ts_ms", "offset")) -> DataFrame:
-    """The current table from a flattened change log: newest change per key, deleted keys left out."""
+
+def current_state(
+    log: DataFrame, pk: str | Sequence[str] = ROW_KEY, order: Sequence[str] = ("__source_ts_ms", "offset")
+) -> DataFrame:
+    """The current tables from a flattened change log: newest change per key, deleted keys left out."""
     return latest_per_key(log, pk, order).filter(~F.col("__deleted"))
 
 
 def apply_updates(base: DataFrame, updates: DataFrame, key: str = "id") -> DataFrame:
     """Tip updates applied to trips: new tip, total recomputed from its parts, new updated_at; other rows unchanged.
 
-    The latest update of a key counts. A checked small set of updates is broadcast, so the trips stay where they are.
+    The latest update of a key counts, and of several at one time the highest tip.
     """
     parts = ("fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount")
     new = updates.groupBy(key).agg(
-        F.max_by("tip_amount", "updated_at").alias("_tip"), F.max("updated_at").alias("_at"), F.lit(True).alias("_hit")
+        F.max_by("tip_amount", F.struct("updated_at", "tip_amount")).alias("_tip"),
+        F.max("updated_at").alias("_at"),
+        F.lit(True).alias("_hit"),
     )
     joined = lookup_join(base, new, [key]).withColumn("tip_amount", F.coalesce("_tip", "tip_amount"))
     present = [p for p in parts if p in base.columns]

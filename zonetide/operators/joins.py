@@ -188,11 +188,16 @@ def join_own_stats(df: DataFrame, stats: DataFrame, keys: list[str], rows: int |
 
 # --- shapes ---------------------------------------------------------------------------------------------------------
 
-def expand_hours(df: DataFrame, as_of, hours: int, name: str = "prediction_hour") -> DataFrame:
-    """Each row once per future hour 1..hours."""
+def expand_hours(df: DataFrame, as_of, hours: int, name: str = "prediction_hour", since=None) -> DataFrame:
+    """Each row once per future hour 1..hours; with `since`, only hours from then on are made."""
     start = C.moment(as_of)
+    first = start + C.interval("1 hour")
+    if since is not None:
+        ahead = F.ceil((C.moment(since).cast("double") - start.cast("double")) / 3600).cast("int")
+        first = start + F.make_dt_interval(F.lit(0), F.greatest(ahead, F.lit(1)), F.lit(0), F.lit(0))
+        df = df.filter(first <= start + C.interval(f"{hours} hours"))
     steps = F.sequence(
-        start + C.interval("1 hour"), start + C.interval(f"{hours} hours"), F.expr("INTERVAL 1 hour")
+        first, start + C.interval(f"{hours} hours"), F.expr("INTERVAL 1 hour")
     )
     return df.withColumn(name, F.explode(steps))
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonetide.functions import columns as C
 from zonetide.functions import fixed_values as V
@@ -27,25 +28,31 @@ def add_lags(demand: DataFrame, ks: Sequence[int] = V.LAG_HOURS, value: str = DE
 def add_rolling(demand: DataFrame, specs: dict[str, tuple[str, int]], value: str = DEMAND, hour_col: str = HOUR):
     """Means (`avg`) and sample deviations (`stddev`) of the previous n rows, one column per spec.
 
-    Frames are differences of running totals: the work per row does not depend on the frame length, where a sliding
-    frame of 720 rows would be summed again for each row. Totals are whole numbers, so the differences are exact.
+    Null values count for nothing. Whole numbers take differences of running totals: the work per row does not depend on
+    the frame length, where a sliding frame of 720 rows would be summed again for each row, and the differences are
+    exact. For other types they would not be, so those take sliding frames.
     """
     w = zone_series(hour_col)
+    whole = isinstance(demand.schema[value].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    made: dict[str, Column] = {}
+    if not whole:
+        for name, (kind, length) in specs.items():
+            made[name] = {"avg": F.avg, "stddev": F.stddev_samp}[kind](value).over(w.rowsBetween(-length, -1))
+        return demand.withColumns(made)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = demand.withColumns(
         {
-            "_n": F.row_number().over(w),
+            "_n": F.count(value).over(running),
             "_s": F.sum(value).over(running),
             "_q": F.sum((F.col(value) * F.col(value)).cast("decimal(28,0)")).over(running),
         }
     )
 
     def framed(name: str, length: int) -> Column:
-        return F.lag(name, 1).over(w) - F.coalesce(F.lag(name, length + 1).over(w), F.lit(0))
+        return F.coalesce(F.lag(name, 1).over(w), F.lit(0)) - F.coalesce(F.lag(name, length + 1).over(w), F.lit(0))
 
-    made = {}
     for name, (kind, length) in specs.items():
-        count = F.least(F.col("_n") - 1, F.lit(length))
+        count = framed("_n", length)
         total = framed("_s", length)
         if kind == "avg":
             made[name] = F.when(count > 0, total.cast("double") / count)

@@ -36,15 +36,23 @@ def forecast(
     min_n: int = 5,
     days: int | None = 30,
     seed: int | None = None,
-    top: int | None = V.FORECAST_CAP,
+    top: int | None = None,
+    since=None,
 ) -> DataFrame:
-    """Each active weekly pattern at each of the next hours, by demand, the first `top` rows.
+    """Each active weekly pattern at each of the next hours from `since` on; with `top`, the first so many by demand.
+
+    Without a seed demand does not depend on the hour. Then only patterns that can still be among the first, ties included,
+    are repeated for the hours.
 
     With a seed, demand varies by 0.8-1.2 and confidence lies in 0.7-0.95, decided by the row's key so a run repeats;
     without one, demand is the historical count and confidence the middle of its range.
     """
     patterns = P.min_activity(A.weekly_pattern(trips, as_of, days), "historical_count", min_n)
-    rows = J.expand_hours(_named(patterns, zones), as_of, P.check_bound("hours_ahead", hours))
+    P.check_bound("hours_ahead", hours)
+    if top is not None and seed is None and since is None:
+        least = patterns.orderBy(F.desc("historical_count")).limit(-(-top // hours)).agg(F.min("historical_count"))
+        patterns = patterns.filter(F.col("historical_count") >= least.scalar())
+    rows = J.expand_hours(_named(patterns, zones), as_of, hours, since=since)
     key = ("location_id", "hour_of_day", "day_of_week", "prediction_hour")
     mix = _seeded(0.0, 1.0, seed, 1.0, F.lit("factor"), *key)
     out = rows.select(
@@ -70,7 +78,9 @@ def forecast_seasonal(
 ) -> DataFrame:
     """Each future hour with the mean demand of the same zone, hour of day and weekday.
 
-    The future hours are a table of at most 168 rows that is broadcast; a pattern meets only the hours it belongs to.
+    The mean is over the times that hour of the week came up in the observed interval: the last `days`, or as much of
+    them as there are trips. Both tables of hours have at most 168 rows and are broadcast; a pattern meets only the hours
+    it belongs to.
     """
     patterns = P.min_activity(A.weekly_pattern(trips, as_of, days), "historical_count", min_n)
     one = trips.sparkSession.range(1)
@@ -79,13 +89,21 @@ def forecast_seasonal(
         F.hour("prediction_hour").alias("hour_of_day"),
         F.dayofweek("prediction_hour").alias("day_of_week"),
     )
-    matched = patterns.join(F.broadcast(future), ["hour_of_day", "day_of_week"])
-    weeks = C.num(days / 7)
+    recent = P.trailing(trips, "pickup_datetime", as_of, f"{days} days")
+    first = C.hour_of(recent.agg(F.min("pickup_datetime")).scalar())
+    until = C.hour_of(C.moment(as_of) - C.interval("1 microsecond"))
+    times = (
+        one.select(F.explode(F.sequence(first, until, F.expr("INTERVAL 1 hour"))).alias("_at"))
+        .groupBy(F.hour("_at").alias("hour_of_day"), F.dayofweek("_at").alias("day_of_week"))
+        .agg(A.n_rows().alias("_times"))
+    )
+    slots = future.join(F.broadcast(times), ["hour_of_day", "day_of_week"])
+    matched = patterns.join(F.broadcast(slots), ["hour_of_day", "day_of_week"])
     return _named(matched, zones).select(
         "location_id",
         "zone_name",
         "prediction_hour",
-        C.rnd(F.col("historical_count") / weeks, 3).alias("predicted_demand"),
+        C.rnd(F.col("historical_count") / F.col("_times"), 3).alias("predicted_demand"),
         "historical_count",
         C.rnd("avg_fare", 2).alias("avg_fare"),
     )
