@@ -8,9 +8,10 @@ from oracle import rows_of
 from pyspark.sql import functions as F
 
 from zonetide.operators import changes as X
-from zonetide.sources import readers, roles
+from zonetide.sources import readers, roles, schemas
 from zonetide.streaming import jobs
 from zonetide.streaming import windows as S
+from zonetide.tables import store as K
 
 BROKER = "topic string, offset bigint, timestamp timestamp, value string"
 COLUMNS = [
@@ -36,19 +37,34 @@ def test_closed_windows_equal_the_batch_result(spark, sf_dir, tmp_path):
     stream = readers.read_file_stream(spark, f"{tmp_path}/in", BROKER)
     wait(jobs.start_append(jobs.window_stream(stream), f"{tmp_path}/aggs", f"{tmp_path}/ck1", None, ["window_date"]))
 
-    stored = spark.read.parquet(f"{tmp_path}/aggs")
+    def declared(name, folder):
+        schema = schemas.OUTPUT_TABLES[name][0]
+        return K.conform(spark.read.schema(schema).parquet(f"{tmp_path}/{folder}"), schema)
+
+    stored = declared("trip_window_aggregates", "aggs")
     batch = S.trip_window_aggs(S.trip_rows(broker))
     newest = broker.agg(F.max("timestamp")).first()[0]
     closed = batch.filter(F.col("window_end") <= F.lit(newest - dt.timedelta(minutes=10)))
     assert rows(stored.select(*COLUMNS)) == rows(closed.select(*COLUMNS))
     assert 0 < stored.count() <= batch.count()
 
+    again = readers.read_file_stream(spark, f"{tmp_path}/in", BROKER)
+    wait(jobs.start_append(jobs.dropoff_stream(again), f"{tmp_path}/drop", f"{tmp_path}/ck3", None, ["window_date"]))
+    dropped = declared("window_dropoffs", "drop")
+    every = S.window_dropoffs(S.trip_rows(broker))
+    closed = every.filter(F.col("window_end") <= F.lit(newest - dt.timedelta(minutes=10)))
+    assert rows(dropped.select(*closed.columns)) == rows(closed)
+    assert dropped.filter("dropoff_count > 0").count() > 0
+
     # Second hop: the stored table read as a stream.
     schema = ", ".join(f"{n} {t}" for n, t in stored.dtypes)
     hop = readers.read_file_stream(spark, f"{tmp_path}/aggs", schema)
-    wait(jobs.start_append(jobs.activity_stream(hop), f"{tmp_path}/act", f"{tmp_path}/ck2", None, ["activity_hour"]))
-    activity = spark.read.parquet(f"{tmp_path}/act").drop("processed_at", "activity_hour")
-    assert rows(activity) == rows(S.zone_activity(stored).select(*activity.columns))
+    acts = jobs.activity_stream(hop, dropped)
+    wait(jobs.start_append(acts, f"{tmp_path}/act", f"{tmp_path}/ck2", None, ["activity_hour"]))
+    activity = declared("zone_activity", "act").drop("processed_at", "activity_hour")
+    sides = dropped.drop("processed_at", "window_date")
+    assert rows(activity) == rows(S.zone_activity(stored, sides).select(*activity.columns))
+    assert activity.filter("top_destination_zone IS NOT NULL").count() > 0
 
 
 def envelope(op, ts, key, zone=1, fare=10.0, vendor=1):
@@ -94,7 +110,7 @@ def test_state_follows_the_log(spark, tmp_path):
 
     def run():
         log = X.flatten_change(X.parse_envelope(readers.read_file_stream(spark, src, BROKER)))
-        wait(jobs.start_state(log, out, ck))
+        wait(jobs.start_state(log, out, ck, compact_every=2))
 
     land(spark, src, [(1, at(1), envelope("r", at(1), 1, fare=1.0)), (2, at(1), envelope("c", at(1), 2, fare=2.0)),
                       (3, at(2), envelope("u", at(2), 1, fare=3.0))], 1)
@@ -106,6 +122,38 @@ def test_state_follows_the_log(spark, tmp_path):
     got = {r.id: r.fare_amount for r in jobs.current_rows(spark, out).collect()}
     whole = X.current_state(X.flatten_change(X.parse_envelope(spark.read.schema(BROKER).parquet(src))))
     assert got == {1: 6.0} == {r.id: r.fare_amount for r in whole.collect()}
+    # The second batch merged the folders.
+    assert not list((tmp_path / "state/batches").glob("batch=*")) and (tmp_path / "state/merged/upto=1").exists()
+
+
+def test_changes_reach_their_mirror_tables(spark, tmp_path):
+    def record(table, row, op="c"):
+        body = {"op": op, "ts_ms": 5, "before": None, "after": row, "source": {"db": "shop", "table": table, "ts_ms": 5}}
+        return json.dumps(body)
+
+    trip = {
+        "id": 1, "vendor_id": 2, "pickup_datetime": 1706000000000000, "dropoff_datetime": "2024-01-23T09:10:00",
+        "passenger_count": 1, "trip_distance": "1.25", "pickup_longitude": -73.98765432, "pickup_latitude": 40.7,
+        "dropoff_longitude": None, "dropoff_latitude": None, "payment_type": 1, "fare_amount": 12.5, "extra": 0,
+        "mta_tax": 0.5, "tip_amount": 1, "tolls_amount": 0, "total_amount": "14.00", "created_at": None, "updated_at": None,
+    }
+    at = dt.datetime(2024, 1, 23)
+    values = [
+        record("trips", trip), record("trips", {**trip, "id": 2, "total_amount": 1_234_567.0}),
+        record("vendors", {"id": 1, "name": "A", "description": "a"}), record("payment_types", {"id": 1, "name": "cash"}),
+        record("vendors", "no object"), record("elsewhere", {"id": 9}), "{broken", record("trips", trip, "x"),
+    ]
+    land(spark, f"{tmp_path}/in", [(k, at, v) for k, v in enumerate(values)], 1)
+    for _ in range(2):
+        wait(jobs.start_mirrors(readers.read_file_stream(spark, f"{tmp_path}/in", BROKER), f"{tmp_path}/m", f"{tmp_path}/ck"))
+    trips = jobs.read_mirror(spark, f"{tmp_path}/m", "trips").collect()
+    assert [(r.id, str(r.total_amount), str(r.pickup_datetime), str(r.dropoff_datetime)) for r in trips] == [
+        (1, "14.00", "2024-01-23 08:53:20", "2024-01-23 09:10:00")
+    ]
+    assert [r.name for r in jobs.read_mirror(spark, f"{tmp_path}/m", "vendors").collect()] == ["A"]
+    assert [r.name for r in jobs.read_mirror(spark, f"{tmp_path}/m", "payment_types").collect()] == ["cash"]
+    bad = {r.value for r in spark.read.parquet(f"{tmp_path}/m/change_bad").collect()}
+    assert bad == {values[k] for k in (1, 4, 5, 6, 7)}
 
 
 def test_distinct_counts_are_exact_in_batch_only(spark, sf_dir, tmp_path):

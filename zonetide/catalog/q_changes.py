@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from zonetide.catalog.registry import register
@@ -47,12 +45,14 @@ register(
 register("cdc_payload", payloads, q("changes", f"SELECT {_META}, {_NO_ROW} FROM changes"))
 register(
     "cdc_filter",
-    lambda s, d: P.keep_ops(envelopes(s, d)).select("offset", "op", "ts_ms"),
+    lambda s, d: P.keep_ops(X.parse_envelope(roles.changes_e(s, d), fields=("op", "ts_ms"))).select(
+        "offset", "op", "ts_ms"
+    ),
     q("changes", """SELECT "offset", op, ts_ms FROM changes WHERE op IN ('c', 'u', 'r')"""),
 )
 register(
     "filter_ops",
-    lambda s, d: P.keep_ops(envelopes(s, d), ("c", "u")).select("offset", "op"),
+    lambda s, d: P.keep_ops(X.parse_envelope(roles.changes_e(s, d), fields=("op",)), ("c", "u")).select("offset", "op"),
     q("changes", """SELECT "offset", op FROM changes WHERE op IN ('c', 'u')"""),
 )
 register(
@@ -70,15 +70,10 @@ register(
 
 
 def _route(s, d):
-    rows = X.parse_envelope(roles.changes_e(s, d), keep=("topic", "offset"))
-    frames = X.route(rows, [f"taxi_cdc.{t}" for t in roles.CHANGE_TABLES])
-    return reduce(
-        lambda a, b: a.unionByName(b),
-        [
-            f.groupBy("target", "op").agg(A.n_rows().alias("cnt"), F.max("offset").alias("last_offset"))
-            for f in frames.values()
-        ],
-    )
+    """Every record is read and parsed once, whatever the number of targets."""
+    rows = X.parse_envelope(roles.changes_e(s, d), keep=("topic", "offset"), fields=("op",))
+    routed = X.with_target(rows).filter(F.col("target").isin(*[f"taxi_cdc.{t}" for t in roles.CHANGE_TABLES]))
+    return routed.groupBy("target", "op").agg(A.n_rows().alias("cnt"), F.max("offset").alias("last_offset"))
 
 
 register(
@@ -133,12 +128,14 @@ register(
 )
 register(
     "cdc_op_distribution",
-    lambda s, d: A.op_distribution(flat(s, d), "__op"),
+    lambda s, d: A.op_distribution(
+        X.parse_envelope(roles.changes_e(s, d), fields=("op",)).withColumnRenamed("op", "__op"), "__op"
+    ),
     q("changes", "SELECT op AS __op, count(*) AS cnt FROM changes GROUP BY 1"),
 )
 register(
     "dq_allowed_ops",
-    lambda s, d: D.ops_allowed(envelopes(s, d), ("c", "u", "d")),
+    lambda s, d: D.ops_allowed(X.parse_envelope(roles.changes_e(s, d), fields=("op",)), ("c", "u", "d")),
     q("changes", "SELECT op, count(*) AS cnt, op IN ('c', 'u', 'd') AS allowed FROM changes GROUP BY 1"),
 )
 

@@ -14,7 +14,7 @@ from zonetide.operators.joins import lookup_join
 from zonetide.sources import schemas
 
 
-def _fields_of(json_text: Column, schema: str) -> Column:
+def _fields_of(json_text: Column, schema: str | T.StructType) -> Column:
     """The fields of a JSON text as columns of their own, parsed once per row.
 
     A generator is a barrier: filters on the fields stay above it. As a plain projection, each filter would be pushed
@@ -23,22 +23,25 @@ def _fields_of(json_text: Column, schema: str) -> Column:
     return F.inline(F.array(F.from_json(json_text, schema)))
 
 
-def parse_envelope(broker: DataFrame, col: str = "value", keep: Sequence[str] = ("timestamp", "offset")) -> DataFrame:
-    """Broker rows to operation, source time, before/after text and source names.
+ENVELOPE_FIELDS = ("op", "ts_ms", "before", "after", "source")
 
-    An object read into a string field keeps its JSON text, so the payload schema is chosen later.
+
+def parse_envelope(
+    broker: DataFrame,
+    col: str = "value",
+    keep: Sequence[str] = ("timestamp", "offset"),
+    fields: Sequence[str] = ENVELOPE_FIELDS,
+) -> DataFrame:
+    """Broker rows to operation, source time, before/after text and source names, or to the asked `fields` of these.
+
+    An object read into a string field keeps its JSON text, so the payload schema is chosen later. Fields that are not
+    asked for are not parsed: nothing else would prune them behind the generator.
     """
     kept = [c for c in keep if c in broker.columns]
-    return broker.select(*kept, _fields_of(F.col(col).cast("string"), schemas.ENVELOPE)).select(
-        *kept,
-        "op",
-        "ts_ms",
-        "before",
-        "after",
-        F.col("source.db").alias("source_db"),
-        F.col("source.table").alias("source_table"),
-        F.col("source.ts_ms").alias("source_ts_ms"),
-    )
+    wanted = T.StructType([f for f in T.StructType.fromDDL(schemas.ENVELOPE).fields if f.name in fields])
+    plain = [f for f in fields if f != "source"]
+    source = [F.col(f"source.{f}").alias(f"source_{f}") for f in ("db", "table", "ts_ms")] if "source" in fields else []
+    return broker.select(*kept, _fields_of(F.col(col).cast("string"), wanted)).select(*kept, *plain, *source)
 
 
 def parse_payload(envelopes: DataFrame, schema: str = schemas.TRIP_PAYLOAD) -> DataFrame:
@@ -49,7 +52,7 @@ def parse_payload(envelopes: DataFrame, schema: str = schemas.TRIP_PAYLOAD) -> D
 
 def flatten_change(envelopes: DataFrame, schema: str = schemas.TRIP_PAYLOAD) -> DataFrame:
     """Current row plus `__` metadata; a delete keeps its last row and is marked."""
-    kept = [c for c in ("timestamp", "offset") if c in envelopes.columns]
+    kept = [c for c in ("timestamp", "offset", "value") if c in envelopes.columns]
     meta = {
         "__op": F.col("op"),
         "__source_ts_ms": F.col("source_ts_ms"),
@@ -91,6 +94,31 @@ def type_change(
     return rows.withColumns(casts)
 
 
+MONEY = ("trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "total_amount")
+PLACES = ("pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")
+TIMES = ("pickup_datetime", "dropoff_datetime", "created_at", "updated_at")
+
+
+def mirror_rows(envelopes: DataFrame, table: str) -> DataFrame:
+    """Changes of one source table as rows of its mirror, next to `_lost`: whether a value did not fit its type.
+
+    Times come as microseconds or as text.
+    """
+    payload = schemas.MIRROR_PAYLOADS[table]
+    rows = flatten_change(envelopes.filter(F.col("source_table") == table), payload)
+    names = T.StructType.fromDDL(payload).names
+    typed = {c: F.col(c).try_cast("decimal(8,2)") for c in MONEY if c in names}
+    typed |= {c: F.col(c).try_cast("decimal(18,14)") for c in PLACES if c in names}
+    typed |= {
+        c: F.coalesce(F.timestamp_micros(F.col(c).try_cast("bigint")), C.parse_ts(c)) for c in TIMES if c in names
+    }
+    lost = F.lit(False)
+    for c, value in typed.items():
+        lost = lost | (F.col(c).isNotNull() & value.isNull())
+    out = rows.withColumns({**typed, "_lost": lost})
+    return out.withColumn("pickup_date", F.to_date("pickup_datetime")) if "pickup_datetime" in names else out
+
+
 def split_bad(broker: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
     """Good and bad broker rows: a bad one does not parse as an envelope, has no known operation, or has no row in it.
 

@@ -121,6 +121,11 @@ OUTPUT_TABLES = {
         "window_date date",
         ("window_date",),
     ),
+    "window_dropoffs": (
+        "window_start timestamp, window_end timestamp, zone_id int, dropoff_count bigint, top_destination_zone int, "
+        "processed_at timestamp, window_date date",
+        ("window_date",),
+    ),
     "zone_activity": (
         "zone_id int, activity_timestamp timestamp, pickup_count bigint, dropoff_count bigint, "
         "revenue_last_hour double, avg_fare_last_hour double, top_destination_zone int, activity_score double, "
@@ -160,3 +165,15 @@ TRIP_PAYLOAD = (
     "id bigint, vendor_id int, pickup_datetime string, dropoff_datetime string, pickup_location_id bigint, "
     "dropoff_location_id bigint, trip_distance double, fare_amount double, total_amount double"
 )
+
+# Rows of the source tables as the capture sends them: decimals and times as text or numbers, typed afterwards.
+MIRROR_PAYLOADS = {
+    "trips": (
+        "id bigint, vendor_id int, pickup_datetime string, dropoff_datetime string, passenger_count int, "
+        "trip_distance string, pickup_longitude string, pickup_latitude string, dropoff_longitude string, "
+        "dropoff_latitude string, payment_type int, fare_amount string, extra string, mta_tax string, tip_amount string, "
+        "tolls_amount string, total_amount string, created_at string, updated_at string"
+    ),
+    "payment_types": "id int, name string, description string",
+    "vendors": "id int, name string, description string",
+}

@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from zonetide.operators import changes as X
+from zonetide.sources import schemas
 from zonetide.streaming import windows as S
+from zonetide.tables import store as K
+
+#: Tasks that one partition value of a micro-batch is written by.
+SPREAD = 8
+#: Micro-batches after which the state's folders are merged into one.
+COMPACT_EVERY = 50
 
 
 def start_append(
@@ -23,8 +30,12 @@ def start_append(
 ) -> StreamingQuery:
     """Append a stream to a table folder; `every` is a trigger interval, none means run what is there and stop.
 
-    Rows are clustered by the partition columns so each task writes few files.
+    Rows are clustered by the partition columns so each task writes few files; a spread keeps one large partition value
+    from becoming one task.
     """
+    if partition_by:
+        spread = F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD))
+        df = df.repartition(*partition_by, spread)
     writer = df.writeStream.format(fmt).outputMode("append")
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     if partition_by:
@@ -33,17 +44,72 @@ def start_append(
     return writer.trigger(**trigger).start()
 
 
+def _declared(df: DataFrame, table: str) -> DataFrame:
+    """The columns and types that the table is declared with."""
+    return K.conform(df, schemas.OUTPUT_TABLES[table][0])
+
+
 def window_stream(broker: DataFrame, duration: str = "5 minutes", delay: str = "10 minutes") -> DataFrame:
     """Change stream to window aggregates, with the day as partition column."""
     rows = S.watermarked(S.trip_rows(broker), "timestamp", delay)
     aggs = S.trip_window_aggs(rows, duration, exact=False)
-    return S.stamped(aggs).withColumn("window_date", F.to_date("window_start"))
+    return _declared(
+        S.stamped(aggs).withColumn("window_date", F.to_date("window_start")), "trip_window_aggregates"
+    )
+
+
+def dropoff_stream(broker: DataFrame, duration: str = "5 minutes", delay: str = "10 minutes") -> DataFrame:
+    """Change stream to drop-offs and top destinations per window and zone, with the day as partition column."""
+    rows = S.watermarked(S.trip_rows(broker), "timestamp", delay)
+    found = S.stamped(S.window_dropoffs(rows, duration))
+    return _declared(found.withColumn("window_date", F.to_date("window_start")), "window_dropoffs")
+
+
+def activity_stream(aggs: DataFrame, dropoffs: DataFrame | None = None) -> DataFrame:
+    """Second hop: stored window aggregates, read as a stream, to zone activity rows.
+
+    `dropoffs` is the stored table of `dropoff_stream`, read as a table: its stream is to run before this one.
+    """
+    if dropoffs is not None:
+        dropoffs = dropoffs.select("window_start", "window_end", "zone_id", "dropoff_count", "top_destination_zone")
+    rows = S.stamped(S.zone_activity(aggs, dropoffs))
+    return _declared(
+        rows.withColumn("activity_hour", F.date_trunc("hour", "activity_timestamp")), "zone_activity"
+    )
+
+
+def start_mirrors(broker: DataFrame, root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Append the changes of every source table to its mirror table, and what cannot be read or typed to `change_bad`.
+
+    A micro-batch is parsed from one stored copy of it and writes folders of its own number, which a second run of the
+    batch overwrites: nothing is appended twice. Values that do not fit put their row aside; the stream goes on.
+    """
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        good, bad = X.split_bad(batch)
+        envelopes = X.parse_envelope(good, keep=("timestamp", "offset", "value"))
+        aside = bad.select(F.col("value").cast("string").alias("value"))
+        known = F.coalesce(F.col("source_table").isin(*schemas.MIRROR_PAYLOADS), F.lit(False))
+        aside = aside.unionByName(envelopes.filter(~known).select(F.col("value").cast("string").alias("value")))
+        for table in schemas.MIRROR_PAYLOADS:
+            rows = X.mirror_rows(envelopes, table)
+            aside = aside.unionByName(rows.filter("_lost").select(F.col("value").cast("string").alias("value")))
+            schema, parts = schemas.OUTPUT_TABLES[f"change_{table}"]
+            kept = K.conform(rows.filter("NOT _lost"), schema)
+            K.write_table(kept, f"{root}/change_{table}/load={batch_id}", "overwrite", parts)
+        K.write_table(aside, f"{root}/change_bad/load={batch_id}", "overwrite")
+        batch.unpersist()
+
+    writer = broker.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.trigger(**trigger).start()
 
-def activity_stream(aggs: DataFrame) -> DataFrame:
-    """Second hop: stored window aggregates, read as a stream, to zone activity rows."""
-    rows = S.stamped(S.zone_activity(aggs))
-    return rows.withColumn("activity_hour", F.date_trunc("hour", "activity_timestamp"))
+
+def read_mirror(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A mirror table with its declared columns."""
+    schema = schemas.OUTPUT_TABLES[f"change_{table}"][0]
+    return K.conform(spark.read.schema(f"{schema}, load bigint").parquet(f"{root}/change_{table}"), schema)
 
 
 def await_all(queries: Sequence[StreamingQuery], timeout: float) -> list[bool]:
@@ -66,16 +132,24 @@ def await_all(queries: Sequence[StreamingQuery], timeout: float) -> list[bool]:
 
 
 def start_state(
-    log: DataFrame, path: str, checkpoint: str, pk: str = "id", every: str | None = None
+    log: DataFrame,
+    path: str,
+    checkpoint: str,
+    pk: str | Sequence[str] = X.ROW_KEY,
+    every: str | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Keep the newest row per key of a flattened change stream.
 
     The newest row is a plain aggregate, so Spark's state store holds it. Each micro-batch writes the keys it changed
-    to its own folder; a batch that is run again overwrites that folder, so nothing is written twice.
+    to its own folder; a batch that is run again overwrites that folder, so nothing is written twice. At intervals the
+    folders are merged, so that neither their number nor the rows in them follow the length of the log.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/batches/batch={batch_id}")
+        if batch_id % compact_every == compact_every - 1:
+            compact_state(batch.sparkSession, path, batch_id, pk)
 
     newest = X.latest_per_key(log, pk, ("__source_ts_ms", "offset"))
     writer = newest.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -83,6 +157,27 @@ def start_state(
     return writer.trigger(**trigger).start()
 
 
-def current_rows(spark: SparkSession, path: str, pk: str = "id") -> DataFrame:
+def _state(spark: SparkSession, path: str) -> DataFrame:
+    """All stored versions; some may stand in a merged folder and in a batch's at once, which changes no newest row."""
+    folders = [
+        folder
+        for part, name in (("batches", "batch"), ("merged", "upto"))
+        for folder in K.numbered(spark, f"{path}/{part}", name).values()
+    ]
+    return spark.read.parquet(*folders)
+
+
+def compact_state(spark: SparkSession, path: str, upto: int, pk: str | Sequence[str] = X.ROW_KEY) -> None:
+    """Merge what is stored into one folder of the newest rows, then drop the folders it replaces, `upto` included.
+
+    Until the old folders are gone rows stand twice, which is harmless; a run that ends in between is made good by the next.
+    """
+    newest = X.latest_per_key(_state(spark, path), pk, ("__source_ts_ms", "offset"))
+    newest.write.mode("overwrite").parquet(f"{path}/merged/upto={upto}")
+    K.drop_older(spark, f"{path}/merged", "upto", upto - 1)
+    K.drop_older(spark, f"{path}/batches", "batch", upto)
+
+
+def current_rows(spark: SparkSession, path: str, pk: str | Sequence[str] = X.ROW_KEY) -> DataFrame:
     """The current table from what `start_state` wrote: the newest row per key without the deleted keys."""
-    return X.current_state(spark.read.parquet(path).drop("batch"), pk)
+    return X.current_state(_state(spark, path), pk)

@@ -84,23 +84,13 @@ def window_dropoffs(rows: DataFrame, duration: str = "5 minutes", ts: str = "tim
 
     Trips are counted per route and window first, so the second step sees one row per route however busy it is.
     """
-    w = F.window(ts, duration)
-    routes = (
-        rows.groupBy(w.alias("window"), "pickup_location_id", "dropoff_location_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            "pickup_location_id",
-            "dropoff_location_id",
-            "n",
-        )
+    # The window itself stays a column, so that on a stream the second step knows the rows' time and closes as the first.
+    routes = rows.groupBy(F.window(ts, duration).alias("window"), "pickup_location_id", "dropoff_location_id").agg(
+        F.count(F.lit(1)).alias("n")
     )
-    keys = ("window_start", "window_end", "zone_id")
     # Each route row gives one row to its pickup zone (a destination) and one to its drop-off zone (an arrival).
     sides = routes.select(
-        "window_start",
-        "window_end",
+        "window",
         F.explode(
             F.array(
                 F.struct(
@@ -117,10 +107,17 @@ def window_dropoffs(rows: DataFrame, duration: str = "5 minutes", ts: str = "tim
                 ),
             )
         ).alias("_s"),
-    ).select("window_start", "window_end", "_s.*")
+    ).select("window", "_s.*")
     best = F.max_by("destination", F.when(F.col("destination").isNotNull(), F.struct("weight", -F.col("destination"))))
     return (
         sides.filter(F.col("zone_id").isNotNull())
-        .groupBy(*keys)
+        .groupBy(F.window(F.window_time("window"), duration).alias("window"), "zone_id")
         .agg(F.sum("arrivals").alias("dropoff_count"), best.alias("top_destination_zone"))
+        .select(
+            F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
+            "zone_id",
+            "dropoff_count",
+            "top_destination_zone",
+        )
     )

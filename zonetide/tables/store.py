@@ -112,6 +112,25 @@ def _delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def numbered(spark: SparkSession, path: str, name: str) -> dict[int, str]:
+    """The folders `<name>=<number>` under a path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for status in files.listStatus(place) if files.exists(place) else ():
+        key, _, number = status.getPath().getName().partition("=")
+        if key == name and number.isdigit():
+            found[int(number)] = status.getPath().toString()
+    return found
+
+
+def drop_older(spark: SparkSession, path: str, name: str, upto: int) -> None:
+    """Drop the numbered folders up to `upto`."""
+    for number, folder in numbered(spark, path, name).items():
+        if number <= upto:
+            _delete(spark, folder)
+
+
 def replace_days(df: DataFrame, path: str, day_col: str, first: date, last: date) -> None:
     """Make `df` the content of the days first to last of a table partitioned by day; other days are not touched.
 
