@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from zonetide.catalog import QUERIES
 from zonetide.functions import columns as C
 from zonetide.operators import filters as P
 from zonetide.operators import joins as J
@@ -17,9 +18,9 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_python_and_no_cross_join(spark, sf_dir, key):
-    plan = plan_of(entry.queries()[key](spark, sf_dir))
+    plan = plan_of(QUERIES[key](spark, sf_dir))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan
 
@@ -69,3 +70,15 @@ def test_recent_rows_are_taken_without_a_full_sort(spark, sf_dir):
 def test_hour_of_keeps_expressions_native(spark, sf_dir):
     df = roles.trips_e(spark, sf_dir).select(C.hour_of("pickup_datetime"))
     assert "*(1) Project" in plan_of(df)
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
+def test_building_a_query_runs_no_job(spark, sf_dir, key):
+    context = spark.sparkContext
+    group = f"build-{key}"
+    context.setJobGroup(group, "while a query is built")
+    try:
+        QUERIES[key](spark, sf_dir)
+        assert list(context.statusTracker().getJobIdsForGroup(group)) == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)

@@ -14,7 +14,7 @@ from zonetide.operators import joins as J
 from zonetide.operators import ordering as T
 from zonetide.operators import quality as D
 from zonetide.operators import rollups as A
-from zonetide.sources import readers, roles
+from zonetide.sources import readers, roles, schemas
 from zonetide.tables import store as K
 
 HOUR = """CAST(date_trunc('hour', pickup_datetime) AS TIMESTAMP)"""
@@ -25,10 +25,8 @@ HOUR_NO = "CAST(hour(pickup_datetime) AS INTEGER)"
 
 register(
     "src_parquet",
-    lambda s, d: readers.read_trips(s, f"{d}/events.parquet").select(
-        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value"
-    ),
-    "SELECT event_id, ts, user_id, event_type, value FROM events",
+    lambda s, d: readers.read_trips(s, f"{d}/events.parquet", schemas.TABLES["events"]),
+    "SELECT event_id, ts, user_id, event_type, value, props FROM events",
 )
 
 

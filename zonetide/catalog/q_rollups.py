@@ -313,6 +313,17 @@ register(
       3 AS page, 50 AS page_size, CAST(ceil((SELECT count(*) FROM trips_e) / 50) AS BIGINT) AS total_pages
       FROM trips_e ORDER BY pickup_datetime DESC, trip_id DESC LIMIT 50 OFFSET 100"""),
 )
+register(
+    "paginate_after",
+    lambda s, d: T.page_after(
+        roles.trips_e(s, d).select("trip_id", "pickup_datetime", "fare_amount"), "pickup_datetime", "trip_id",
+        ("2024-01-15 00:00:00", 1000), 50,
+    ),
+    q("trips_e", """SELECT trip_id, pickup_datetime, fare_amount FROM trips_e
+      WHERE pickup_datetime < TIMESTAMP '2024-01-15 00:00:00'
+      OR (pickup_datetime = TIMESTAMP '2024-01-15 00:00:00' AND trip_id < 1000)
+      ORDER BY pickup_datetime DESC, trip_id DESC LIMIT 50"""),
+)
 register(
     "sorted_rollup",
     lambda s, d: T.sorted_report(

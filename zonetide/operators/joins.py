@@ -236,8 +236,8 @@ def nearby_demand(demand: DataFrame, zones: DataFrame, km: float, value: str = "
     """Demand of the other zones within `km` in the same hour, for each zone-hour.
 
     Zones at one place count as one point. Space is cut into cells of a quarter radius: cells wholly inside the circle
-    of a point are answered by their cell total, and only points in cells on its rim are compared one by one. A dense
-    cluster therefore costs one row per cell, not one per pair.
+    of a point are answered by their cell total, so a dense cluster inside the circle costs one row per cell. Points in cells
+    on the rim are compared one by one: two dense clusters just `km` apart still cost a row per pair of their points.
     """
     radius = km / V.KM_PER_DEGREE
     size = radius / CELLS_PER_RADIUS
