@@ -2,7 +2,6 @@
 
 import datetime as dt
 import math
-import re
 
 import pytest
 from oracle import rows_of
@@ -34,33 +33,34 @@ def dim(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("share", [0.05, 1e-9, 1.0])
-def test_split_hot_join_equals_a_plain_join(spark, skewed, dim, how, share):
-    plain = skewed.join(dim, ["k"], how)
-    split = J.split_hot_join(skewed, dim, ["k"], how, share)
+def test_splittable_join_equals_a_plain_join(spark, skewed, dim, how):
+    side = dim.groupBy("k").agg(F.max("v").alias("v"), F.max("w").alias("w"))
+    plain, split = skewed.join(side, ["k"], how), J.splittable_join(skewed, side, ["k"], how)
     assert split.columns == plain.columns
     assert rows(split) == rows(plain)
 
 
-def test_split_hot_join_on_two_keys(spark, skewed, dim):
-    fact = skewed.withColumn("h", F.col("row") % 2)
-    side = dim.withColumn("h", F.lit(0).cast("bigint"))
-    assert rows(J.split_hot_join(fact, side, ["k", "h"], "left", 0.05)) == rows(fact.join(side, ["k", "h"], "left"))
-
-
-def test_hot_rows_are_shuffled_by_their_spread_key(spark, skewed, dim):
-    """The spread is a key of the shuffle, and no partition of it holds the hot key's rows together."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_a_hot_key_of_the_fact_is_split(spark, skewed):
+    """Statistics of the fact joined back to it: the adaptive planner cuts the hot key's partition."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    wide = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 400).alias("k"), F.rand(1).alias("x"))
+    stats = wide.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    for key, value in small.items():
+        spark.conf.set(key, value)
     try:
-        joined = J.split_hot_join(skewed, dim, ["k"], "left", 0.05)
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert re.search(r"SortMergeJoin \[k#\d+L, _spread#\d+L\], \[k#\d+L, _spread#\d+L\]", plan)
-        held = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        joined = J.join_own_stats(wide, stats, ["k"])
+        got = joined.groupBy("k").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n")).filter("m <> n").count()
+        joined.collect()
+        assert got == 0 and "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    assert len(held) == 8 and max(r["count"] for r in held) < 6000 / 8 * 1.5
+        for key in small:
+            spark.conf.unset(key)
 
 
 def test_lookup_join_switches_by_checked_size(spark, skewed, dim):

@@ -2,8 +2,8 @@
 
 A right side is broadcast here only when its rows are bounded by the arguments (hours in an interval, or a caller's own
 bound) and so are its bytes. Otherwise the adaptive planner chooses the join by measured bytes, and splits a hot key of the
-fact where both sides are plain exchanges. Statistics of the fact itself are no plain exchange: there the hot keys are taken
-out first. Nothing is counted while a query is built.
+fact where both sides are plain exchanges; statistics of the fact itself are made one. Nothing is counted while a query is
+built.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ from zonetide.functions import columns as C
 from zonetide.functions import fixed_values as V
 
 BROADCAST_BYTES = 64 << 20
-HOT_SHARE = 1e-5  # a key with more than this share of the fact rows is hot, so there are fewer than 100,000
-SPREAD = 4096  # partitions worth of spread for rows that need no shuffled match
 
 
 def hours_in(length: str) -> int:
@@ -57,40 +55,20 @@ def lookup_join(
     """
     if fits(dim, rows, limit):
         return fact.join(F.broadcast(dim), keys, how)
-    return split_hot_join(fact, dim, keys, how) if own else fact.join(dim, keys, how)
+    return splittable_join(fact, dim, keys, how) if own else fact.join(dim, keys, how)
 
 
-def split_hot_join(
-    fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "left", hot_share: float = HOT_SHARE
-) -> DataFrame:
-    """Shuffled lookup join whose hot keys are answered by a broadcast.
+def splittable_join(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """A join whose hot keys the adaptive planner can split although one side is an aggregate by the same keys.
 
-    Hot keys hold more than `hot_share` of the fact rows each, so fewer than 1 / hot_share exist: that bounds the
-    broadcast. Rows it answers, and rows with a null key, leave the shuffled join by a spread key of their own.
+    It splits a key only between two plain exchanges, and an aggregate that is dealt out by the keys already would get none. A
+    further key, always 0 but computed, asks for one: it carries one row per group, and the fact's hot partitions are then
+    cut by measured size. If the groups prove small, they are broadcast instead.
     """
-    carried = [c for c in dim.columns if c not in keys]
-    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    everything = counts.agg(F.sum("_n")).scalar()
-    hot = counts.filter(F.col("_n") > everything * hot_share).select(*keys)
-    known = dim.join(F.broadcast(hot), keys).select(*keys, F.struct(*carried, F.lit(True).alias("_in")).alias("_row"))
-    answered = hot.join(F.broadcast(known), keys, "left").withColumn("_hot", F.lit(True))
-
-    marked = fact.join(F.broadcast(answered), keys, "left")
-    any_null = F.lit(False)
-    for key in keys:
-        any_null = any_null | F.col(key).isNull()
-    away = F.coalesce(F.col("_hot"), F.lit(False)) | any_null
-    spread = F.when(away, F.pmod(F.xxhash64(*fact.columns), F.lit(SPREAD)) + 1).otherwise(F.lit(0).cast("bigint"))
-    # Always 0, but computed: a literal would be folded out of the join keys, and the rows shuffled by `keys` alone.
     zero = F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint"))
-    right = dim.select(*keys, F.struct(*carried, F.lit(True).alias("_in")).alias("_cold"), zero.alias("_spread"))
-    joined = marked.withColumn("_spread", spread).join(right, [*keys, "_spread"], "left")
-    row = F.coalesce(F.col("_row"), F.col("_cold"))
-    out = joined.withColumn("_match", row)
-    if how == "inner":
-        out = out.filter(F.col("_match._in"))
+    joined = fact.withColumn("_zero", zero).join(dim.withColumn("_zero", zero), [*keys, "_zero"], how)
     rest = [c for c in fact.columns if c not in keys]
-    return out.select(*keys, *rest, *[F.col(f"_match.{c}").alias(c) for c in carried])
+    return joined.select(*keys, *rest, *[c for c in dim.columns if c not in keys])
 
 
 # --- weather --------------------------------------------------------------------------------------------------------

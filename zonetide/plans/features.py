@@ -224,7 +224,7 @@ def fare_features(
 
     Both statistics are looked up only for known zones, so their rows are bounded by zones^2 and zones x hours. A caller that
     knows `max_zones` gets broadcasts where these bounds are small, and the trips are not shuffled at all; otherwise the
-    lookup is shuffled with its hot routes and zone-hours split off.
+    lookup is shuffled so that hot routes and zone-hours can be split.
     """
     recent = P.trailing(trips, "pickup_datetime", as_of, length)
     keys = zones.select("location_id")
