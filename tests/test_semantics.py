@@ -168,10 +168,14 @@ def test_deletes_keep_their_row_and_are_marked(spark):
 
 
 def test_bad_records_are_set_aside(spark):
-    values = ['{"op":"c","ts_ms":1}', '{"op":"c","ts', "[]", "null", None, '{"op":"x"}', '{"ts_ms":2}', '{"op":"r"}']
+    row = '"after":{"id":1,"fare_amount":2}'
+    values = [
+        '{"op":"c","ts_ms":1,%s}' % row, '{"op":"c","ts', "[]", "null", None, '{"op":"x",%s}' % row, '{"ts_ms":2,%s}' % row,
+        '{"op":"d","before":{"id":1},"after":null}', '{"op":"r"}', '{"op":"c","after":"no object"}', '{"op":"u","after":{"x":1}}',
+    ]
     good, bad = X.split_bad(broker(spark, values))
     assert sorted(r.offset for r in good.collect()) == [0, 7]
-    assert sorted(r.offset for r in bad.collect()) == [1, 2, 3, 4, 5, 6]
+    assert sorted(r.offset for r in bad.collect()) == [1, 2, 3, 4, 5, 6, 8, 9, 10]
     assert good.columns == bad.columns == ["offset", "timestamp", "value"]
 
 
@@ -180,7 +184,7 @@ def test_same_millisecond_is_decided_by_offset(spark):
         [(1, 5, 10, "c", 1.0), (1, 5, 11, "u", 2.0), (1, 4, 12, "u", 3.0), (2, 1, 1, "c", 4.0), (2, 2, 2, "d", 4.0)],
         "id int, __source_ts_ms bigint, offset bigint, __op string, fare double",
     ).withColumn("__deleted", F.col("__op") == "d")
-    assert [(r.id, r.fare) for r in X.current_state(log).collect()] == [(1, 2.0)]
+    assert [(r.id, r.fare) for r in X.current_state(log, "id").collect()] == [(1, 2.0)]
 
 
 def test_updates_recompute_the_total(spark):
