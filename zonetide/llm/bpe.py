@@ -18,10 +18,10 @@ from tokenizers import Tokenizer, decoders, models, pre_tokenizers
 from zonetide.llm.common import blocks, map_batches, texts
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-#: Pieces whose ids a task remembers; when full, it starts afresh.
-REMEMBERED = 400_000
+#: Pieces whose ids a worker remembers; when full, it keeps those of the texts at hand.
+REMEMBERED = 200_000
 #: Pieces given to the library at once.
-PIECES = 20_000
+PIECES = 4_000
 
 
 def byte_characters() -> dict[int, str]:
@@ -64,24 +64,23 @@ class Codec:
         self.memory: dict[str, tuple[int, ...]] = {}
 
     def learn(self, pieces: set[str]) -> None:
-        """Encode pieces not met before."""
-        if len(self.memory) + len(pieces) > REMEMBERED:
-            self.memory.clear()
-        todo = list(pieces)
+        """Encode pieces not met before. What is forgotten is what these texts do not use, so common pieces stay."""
+        known = self.memory
+        new = pieces.difference(known)
+        if len(known) + len(new) > REMEMBERED:
+            kept = {p: known[p] for p in pieces if p in known}
+            known.clear()
+            known.update(kept)
+        todo = list(new)
         for k in range(0, len(todo), PIECES):
             part = todo[k : k + PIECES]
             for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.memory[piece] = tuple(found.ids)
+                known[piece] = tuple(found.ids)
 
     def encode_batch(self, many: list[str]) -> list[np.ndarray]:
         """Ids of each text, unsigned and little-endian."""
         split = [self.split(text) for text in many]
-        known = self.memory
-        new = {p for pieces in split for p in pieces if p not in known}
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                new = {p for pieces in split for p in pieces}
-            self.learn(new)
+        self.learn(set().union(*split))
         get = self.memory.__getitem__
         out = []
         for pieces in split:

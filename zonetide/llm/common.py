@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts handled at once by a Python task; a longer text makes a batch of its own.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
+BATCH_ROWS = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,8 +89,13 @@ def ship(spark: SparkSession) -> None:
 def map_batches(
     df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema
 ) -> DataFrame:
-    """Rows through a function over Arrow batches, where Spark partitions the work and streams it through."""
+    """Rows through a function over Arrow batches, where Spark partitions the work and streams it through.
+
+    Batches of Spark's usual 10,000 rows would be tens of megabytes of text, held on both sides of the pipe.
+    """
     ship(df.sparkSession)
+    if int(df.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(run, schema)
 
 

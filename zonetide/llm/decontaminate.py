@@ -23,7 +23,7 @@ LEAST, CONSISTENT = 0.8, 0.85
 #: Items in one broadcast block, in characters: about 40 bytes of index a character, 80 MB at most.
 BLOCK_CHARS = 2_000_000
 #: Words whose template a task remembers; when full, it starts afresh.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 #: Units that follow a number, as words or joined to it.
 UNITS = frozenset(

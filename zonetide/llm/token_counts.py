@@ -20,9 +20,9 @@ from zonetide.llm.common import blocks, cut, map_batches, shared_folder, texts
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 1024
-#: Pieces whose counts a task remembers; when full, it starts afresh.
-REMEMBERED = 500_000
-PIECES = 20_000
+#: Pieces whose counts a worker remembers; when full, it keeps those of the texts at hand.
+REMEMBERED = 300_000
+PIECES = 4_000
 
 CACHE_SCHEMA = "digest binary, n_tokens bigint, tokenizer string"
 
@@ -83,10 +83,12 @@ class Counter:
         plain = [self.odd(t) is None for t in many]
         split = [self.split(t) if p else None for t, p in zip(many, plain)]
         known = self.memory
-        new = {x for pieces in split if pieces for x in pieces if x not in known}
+        needed = set().union(*[pieces for pieces in split if pieces])
+        new = needed.difference(known)
         if len(known) + len(new) > REMEMBERED:
+            kept = {p: known[p] for p in needed if p in known}
             known.clear()
-            new = {x for pieces in split if pieces for x in pieces}
+            known.update(kept)
         todo = list(new)
         for k in range(0, len(todo), PIECES):
             part = todo[k : k + PIECES]
