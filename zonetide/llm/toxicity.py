@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,27 +15,52 @@ from zonetide.llm.common import blocks, map_batches, texts
 
 #: Documented bounds of the training sample: rows of each class and characters in all. They bound the driver's memory.
 ROWS_PER_CLASS = 4_000
-MAX_CHARS = 30_000_000
+MAX_CHARS = 20_000_000
 
 GRAMS = (3, 5)
 BUCKETS = 1 << 17
 WIDTH = 8
-EPOCHS, BATCH, RATE, DECAY = 12, 512, 0.05, 1e-5
+EPOCHS, BATCH, RATE, DECAY = 10, 256, 0.05, 1e-5
+#: Words whose buckets are made at once.
+WORDS_AT_ONCE = 20_000
 #: A few words among hundreds decide, so the mean is scaled before the softmax.
 SCALE = 20.0
 #: Words whose score a task remembers; when full, it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 _EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»“”„‘’¿¡…–—"
 
 
-def grams(word: str) -> list[int]:
-    """Buckets of the word and of its character n-grams with its ends marked; misspellings share most of them."""
-    marked = f"<{word}>"
-    low, high = GRAMS
-    found = {marked}
-    for n in range(low, high + 1):
-        found.update(marked[k : k + n] for k in range(len(marked) - n + 1))
-    return [zlib.crc32(g.encode()) % BUCKETS for g in sorted(found)]
+_FACTOR = 0x9E3779B97F4A7C15
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((h ^ (h >> np.uint64(29))) % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of many words' character n-grams, with the words' ends marked, and of the words as wholes; and for each
+    bucket the number of its word. Misspellings share most of them.
+    """
+    marked = [f"<{w}>" for w in words]
+    codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    size = np.fromiter(map(len, marked), dtype=np.int64, count=len(marked))
+    begin, owner = np.cumsum(size) - size, np.repeat(np.arange(len(marked)), size)
+    powers = np.full(int(size.max(initial=1)), _FACTOR, dtype=np.uint64)
+    powers[0] = 1
+    powers = np.multiply.accumulate(powers)
+    whole = codes * powers[np.arange(len(codes)) - begin[owner]]
+    found = [_mix(np.add.reduceat(whole, begin)) if len(marked) else np.array([], np.int64)]
+    owners = [np.arange(len(marked))]
+    for n in range(GRAMS[0], GRAMS[1] + 1):
+        m = max(0, len(codes) - n + 1)
+        h = np.full(m, n, dtype=np.uint64)
+        for k in range(n):
+            h = h * np.uint64(_FACTOR) + codes[k : k + m]
+        inside = owner[:m] == owner[n - 1 : n - 1 + m]
+        found.append(_mix(h[inside]))
+        owners.append(owner[:m][inside])
+    return np.concatenate(found), np.concatenate(owners)
 
 
 def words_of(text: str) -> list[str]:
@@ -49,8 +74,10 @@ class Model:
     value: np.ndarray
     bias: float
 
-    def word(self, word: str) -> float:
-        return float(self.value[grams(word)].mean())
+    def words(self, many: list[str]) -> np.ndarray:
+        """The mean of each word's buckets."""
+        bucket, owner = grams(many)
+        return np.bincount(owner, self.value[bucket], len(many)) / np.maximum(np.bincount(owner, minlength=len(many)), 1)
 
 
 @dataclass
@@ -73,10 +100,14 @@ def _bags(many: list[str]) -> _Bags:
         words.append(np.asarray(names, dtype=np.int32))
         shares.append(np.asarray(counts, dtype=np.float32) / max(len(own), 1))
         doc_begin.append(doc_begin[-1] + len(names))
-    rows = [grams(w) for w in place]
-    begin = np.cumsum([0, *map(len, rows)])
-    flat = np.fromiter((b for r in rows for b in r), dtype=np.int32, count=int(begin[-1]))
-    return _Bags(begin, flat, np.array(doc_begin), np.concatenate(words), np.concatenate(shares))
+    flat, size, every = [np.array([], np.int32)], [np.array([], np.int64)], list(place)
+    for at in range(0, len(every), WORDS_AT_ONCE):
+        part = every[at : at + WORDS_AT_ONCE]
+        bucket, owner = grams(part)
+        flat.append(bucket[np.argsort(owner, kind="stable")].astype(np.int32))
+        size.append(np.bincount(owner, minlength=len(part)))
+    begin = np.concatenate([[0], np.cumsum(np.concatenate(size))])
+    return _Bags(begin, np.concatenate(flat), np.array(doc_begin), np.concatenate(words), np.concatenate(shares))
 
 
 def _ranges(begin: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,12 +224,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     if len(known) + len(new) > REMEMBERED:
                         known.clear()
                         new = set(raw)
-                    for r in new:
-                        w = r.strip(_EDGES)
-                        known[r] = (m.word(w), 1) if w else (0.0, 0)
-                    found = list(map(known.__getitem__, raw))
-                    n = sum(f[1] for f in found)
-                    logits.append(m.bias + (sum(f[0] for f in found) / n if n else 0.0))
+                    bare = {r: w for r in new if (w := r.strip(_EDGES))}
+                    known.update(dict.fromkeys(new, math.nan))
+                    known.update(zip(bare, m.words(list(bare.values())).tolist()))
+                    found = np.fromiter(map(known.__getitem__, raw), dtype=np.float64, count=len(raw))
+                    found = found[~np.isnan(found)]
+                    logits.append(m.bias + (float(found.mean()) if len(found) else 0.0))
                 scores = 1 / (1 + np.exp(-np.clip(np.array(logits), -500, 500)))
                 yield pa.RecordBatch.from_arrays(
                     [
