@@ -96,14 +96,18 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(plain, F.lit(" +"), F.lit(" ")))
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(canonical(text), 256)
+def _start(text: Column) -> Column:
+    """The first letters of a text, at most three: equivalent spellings share them."""
+    return F.lower(F.regexp_extract(text, r"^[^\p{L}\p{N}]*([\p{L}\p{N}]{1,3})", 1))
 
 
 def known_digests(licences: DataFrame) -> DataFrame:
-    """One row per canonical digest; of several licences with one text the first by name. Texts without words have none."""
+    """One row per canonical digest, with the text's first letters; of several licences with one text the first by name.
+    Texts without words have none."""
     canon = licences.select("licence", canonical(F.coalesce("text", F.lit(""))).alias("canon")).filter("canon != ''")
-    return canon.groupBy(F.sha2("canon", 256).alias("digest")).agg(F.min("licence").alias("licence"))
+    return canon.groupBy(F.sha2("canon", 256).alias("digest"), _start(F.col("canon")).alias("start")).agg(
+        F.min("licence").alias("licence")
+    )
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
@@ -111,35 +115,45 @@ def known_licences(spark: SparkSession) -> DataFrame:
 
 
 def scan(docs: DataFrame, licences: DataFrame | None = None) -> DataFrame:
-    """`doc_id`, `digest` of the canonical whole text, `licence` whose text the whole text is (null: none), `notices`: the
-    licences, sorted and comma-joined, whose whole text one of its paragraphs or lines is, and `n_notices`, the number of
-    different such parts.
+    """`doc_id`, `licence` whose text the whole text is (null: none), `notices`: the licences, sorted and comma-joined, whose
+    whole text one of its paragraphs or lines is, and `n_notices`, the number of different such parts.
 
     A null or empty text, and one of copyright lines alone, is no licence. Null ids stay, repeated rows give repeated
     results, an empty table gives an empty one, other columns are not read.
 
-    Parts are looked up where they are read and only those found go on, by the digest of their text, so that copies
-    collapse before the shuffle. Known digests and findings are joined without a hint: their measured size decides the
-    kind of join, and no aggregate stands above it that would keep the planner from splitting a text that many rows share.
+    A text and its parts are entire texts to look up. One whose first letters, copyright lines aside, begin no known licence
+    is none, and is not normalised further; the others are, and their digests are joined to the known ones. What is found
+    goes on by the digest of its document's text, so that copies collapse before the shuffle. Known digests and findings are
+    joined without a hint: their measured size decides the kind of join, and no aggregate stands above it that would keep
+    the planner from splitting a text that many rows share.
     """
     known = cut(known_digests(known_licences(docs.sparkSession) if licences is None else licences))
+    starts = cut(known.select("start").distinct())
     read = texts(docs).withColumn("content", F.sha2("text", 256))
-    cuts = F.concat(F.split("text", r"\n", -1), F.split("text", r"\n[\x20\t\r]*\n", -1))
-    parts = read.select("content", F.explode(F.array_distinct(cuts)).alias("part"))
-    found = parts.select("content", digest(F.col("part")).alias("digest")).join(known, "digest")
-    notices = cut(
-        found.groupBy("content", "digest").agg(F.min("licence").alias("licence"))
-        .groupBy("content").agg(F.sort_array(F.collect_set("licence")).alias("names"), F.count(F.lit(1)).alias("n"))
-    )
-    whole = read.select("doc_id", "content", digest(F.col("text")).alias("digest"))
-    return (
-        whole.join(known, "digest", "left")
-        .join(notices, "content", "left")
-        .select(
-            "doc_id",
-            "digest",
-            "licence",
-            F.coalesce(F.array_join("names", ","), F.lit("")).alias("notices"),
-            F.coalesce("n", F.lit(0)).cast("long").alias("n_notices"),
+    paragraphs = F.split("text", r"\n[\x20\t\r]*\n", -1)
+    blocks = F.transform(
+        F.concat(F.array("text"), F.when(F.size(paragraphs) > 1, paragraphs).otherwise(F.array().cast("array<string>"))),
+        lambda x: F.struct(F.regexp_replace(x, F.lit(_COPYRIGHT), F.lit(" ")).alias("part"), (x == F.col("text")).alias("whole")),
+    )
+    lines = F.transform(F.split("text", r"\n", -1), lambda x: F.struct(x.alias("part"), (x == F.col("text")).alias("whole")))
+    parts = read.select("content", F.explode(F.concat(blocks, lines)).alias("p")).select(
+        "content", "p.*", _start(F.col("p.part")).alias("start")
+    )
+    likely = parts.join(starts, "start", "left_semi")
+    found = likely.select("content", "whole", F.sha2(canonical(F.col("part")), 256).alias("digest")).join(known, "digest")
+    once = found.groupBy("content", "digest").agg(
+        F.min("licence").alias("licence"), F.max("whole").alias("whole"), F.max(~F.col("whole")).alias("inside")
+    )
+    by_content = cut(
+        once.groupBy("content").agg(
+            F.max(F.when(F.col("whole"), F.col("licence"))).alias("licence"),
+            F.sort_array(F.collect_set(F.when(F.col("inside"), F.col("licence")))).alias("names"),
+            F.sum(F.when(F.col("inside"), 1).otherwise(0)).alias("n"),
         )
     )
+    return read.select("doc_id", "content").join(by_content, "content", "left").select(
+        "doc_id",
+        "licence",
+        F.coalesce(F.array_join("names", ","), F.lit("")).alias("notices"),
+        F.coalesce("n", F.lit(0)).cast("long").alias("n_notices"),
+    )
