@@ -82,6 +82,8 @@ KNOWN = (
     ("CC0-1.0", "Released under CC0 1.0."),
 )
 
+#: Starts of known licences that may be broadcast, at some 40 bytes each; beyond, parts are shuffled.
+MAX_STARTS = 100_000
 #: Lines that name a holder or a year; licence texts themselves wrap before the word copyright.
 _COPYRIGHT = r"(?im)^\P{L}*(?:copyright\b[\t :]*(?:\(c\)|©|\d{4}|by\b)|\(c\)[\t ]|©|all rights reserved\b)[^\n]*$"
 
@@ -129,6 +131,8 @@ def scan(docs: DataFrame, licences: DataFrame | None = None) -> DataFrame:
     """
     known = cut(known_digests(known_licences(docs.sparkSession) if licences is None else licences))
     starts = cut(known.select("start").distinct())
+    # Counted: a stored table has no size that the planner knows, and would have all parts shuffled to find none of them.
+    starts = F.broadcast(starts) if starts.count() <= MAX_STARTS else starts
     read = texts(docs).withColumn("content", F.sha2("text", 256))
     paragraphs = F.split("text", r"\n[\x20\t\r]*\n", -1)
     blocks = F.transform(
