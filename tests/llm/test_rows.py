@@ -266,3 +266,24 @@ def test_odd_rows_and_empty_tables(odd, make):
     for run in (pii.find_pii, quality.quality, bpe.round_trip, token_counts.count_tokens):
         assert run(odd).count() == odd.count()
         assert run(empty).count() == 0
+
+
+def test_account_numbers_of_every_length_before_any_word(make):
+    def number(country, length, k):
+        body = "".join("0123456789"[(7 * i + k) % 10] for i in range(length - 4))
+        digits = "".join(str(int(c, 36)) for c in f"{body}{country}00")
+        return f"{country}{98 - int(digits) % 97:02d}{body}"
+
+    rows, want = [], []
+    for length, country in enumerate("NO BE XX DK SI AT CH DE GB ES PT TR FR PL BR KW MT LC RU XY".split(), 15):
+        for form in (str, lambda v: " ".join(v[k : k + 4] for k in range(0, len(v), 4))):
+            for after in ("", " Please pay", " The bank", " IS", " A", " now", " 12", ", Then", f" {number('DE', 22, 1)}"):
+                text = form(number(country, length, len(rows)))
+                rows.append((len(rows), f"é {text}{after}", "s"))
+                want.append([text] + ([number("DE", 22, 1)] if "DE" in after else []))
+    got = {r.doc_id: r.spans for r in pii.find_pii(make(rows)).collect()}
+    for (i, text, _), values in zip(rows, want):
+        spans = [s.split(":") for s in got[i].split(",") if s.startswith("iban:")]
+        assert [text[int(b) : int(e)] for _, b, e in spans] == values, text
+    known = [(1, "ES91 2100 0418 4502 0005 1332 Please pay", "s"), (2, "BE68 5390 0754 7034 The bank", "s")]
+    assert [r.text for r in pii.redact(make(known)).orderBy("doc_id").collect()] == ["<IBAN> Please pay", "<IBAN> The bank"]

@@ -20,6 +20,8 @@ class Kind:
     `pattern` never matches the empty text and, started anywhere else inside a run it failed on, would fail again:
     possessive repeats and the look-behind only save the search from trying. `valid` is SQL over `x.v` (the match) and
     `x.d` (its digits). `certain` marks kinds whose valid matches always count; the others need the least score.
+    With `head`, the pattern takes only so many characters and group 1 looks ahead at what may follow; `value` is then SQL
+    over `w` (that group) for the text of the span, empty if there is none. So no match hides the start of another.
     """
 
     name: str
@@ -30,6 +32,32 @@ class Kind:
     certain: bool = True
     start: float = 0.5
     needs: str = "[0-9]"
+    head: int = 0
+    value: str = "w"
+
+
+#: Rearranged and with letters as two digits, the number leaves remainder 1; taken digit by digit, so it never grows.
+_MOD97 = (
+    "aggregate(split(concat(substr(replace({v}, ' ', ''), 5), substr(replace({v}, ' ', ''), 1, 4)), ''), 0, "
+    "(a, c) -> if(c = '', a, if(c between '0' and '9', (a * 10 + ascii(c) - 48) % 97, (a * 100 + ascii(c) - 55) % 97)))"
+)
+#: Characters of an account number, and the countries that have so many.
+_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_LENGTH = "map({})".format(", ".join(f"'{c}', {n}" for n, cs in _LENGTHS.items() for c in cs.split()))
+#: Every end of the run that no letter or digit follows is tried: the end at the country's length counts if its check holds,
+#: else the last whose check holds.
+_IBAN = (
+    "aggregate(filter(transform(sequence(15, char_length(w)), n -> if(substr(w, n + 1, 1) rlike '[A-Za-z0-9]', '', left(w, n))), "
+    "y -> y rlike '^[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?$' "
+    "and char_length(replace(y, ' ', '')) between 15 and 34 and " + _MOD97.replace("{v}", "y") + " = 1), '', "
+    "(a, y) -> if(a != '' and char_length(replace(a, ' ', '')) = "
+    "coalesce(try_element_at(" + _LENGTH + ", left(w, 2)), 0), a, y))"
+)
 
 
 # \G: right after the last match, where a run may go on that the look-behind would hide.
@@ -56,9 +84,9 @@ KINDS = (
     ),
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])",
-        "length(replace(x.v, ' ', '')) between 15 and 34 and {mod97} = 1", True, "iban|account|bank|konto|transfer",
-        certain=False, needs="[A-Z]{2}[0-9]{2}",
+        r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+[A-Za-z0-9]?))[A-Z]{2}[0-9]{2}",
+        "x.v != ''", True, "iban|account|bank|konto|transfer",
+        certain=False, needs="[A-Z]{2}[0-9]{2}", head=4, value=_IBAN,
     ),
     Kind(
         "ssn",
@@ -72,11 +100,6 @@ CHECKED, NEARBY, LEAST = 0.4, 0.3, 0.5
 #: Characters before a span in which a context word counts.
 REACH = 48
 
-#: Rearranged and with letters as two digits, the number leaves remainder 1; taken digit by digit, so it never grows.
-_MOD97 = (
-    "aggregate(split(concat(substr(replace(x.v, ' ', ''), 5), substr(replace(x.v, ' ', ''), 1, 4)), ''), 0, "
-    "(a, c) -> if(c = '', a, if(c between '0' and '9', (a * 10 + ascii(c) - 48) % 97, (a * 100 + ascii(c) - 55) % 97)))"
-)
 #: Sums of runs this long are kept, so that a place's offset never adds up all lengths before it.
 _RUN = 256
 
@@ -93,7 +116,7 @@ def with_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str
     none = F.expr("cast(array() as array<string>)")
     out = docs.withColumns(
         {
-            own[k.name][0]: F.when(t.rlike(k.needs), F.regexp_extract_all(t, F.lit(k.pattern), F.lit(0))).otherwise(none)
+            own[k.name][0]: F.when(t.rlike(k.needs), F.regexp_extract_all(t, F.lit(k.pattern), F.lit(1 if k.head else 0))).otherwise(none)
             for k in KINDS
         }
     )
@@ -103,8 +126,9 @@ def with_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str
     steps, runs, begins, spans = {}, {}, {}, {}
     for k in KINDS:
         m, g, step, run, begin = own[k.name]
+        length = str(k.head) if k.head else f"char_length(`{m}`[greatest(i - 1, 0)])"
         steps[step] = F.expr(
-            f"transform(`{m}`, (x, i) -> bigint(char_length(`{g}`[i]) + if(i = 0, 0, char_length(`{m}`[greatest(i - 1, 0)]))))"
+            f"transform(`{m}`, (x, i) -> bigint(char_length(`{g}`[i]) + if(i = 0, 0, {length})))"
         )
         runs[run] = F.expr(
             f"if(size(`{m}`) = 0, cast(array() as array<bigint>), transform(sequence(0, (size(`{m}`) - 1) div {_RUN}), "
@@ -118,11 +142,11 @@ def with_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str
             f"round({k.start} + {CHECKED if k.checked else 0.0} + if(lower(right(`{g}`[i], {REACH})) rlike "
             f"'(?<![a-z])(?:{k.context})', {NEARBY}, 0.0D), 2)"
         )
-        valid = k.valid.replace("{mod97}", _MOD97)
-        keep = valid if k.certain else f"({valid}) and x.score >= {LEAST}"
+        keep = k.valid if k.certain else f"({k.valid}) and x.score >= {LEAST}"
         spans[names[k.name]] = F.expr(
-            f"filter(transform(`{m}`, (w, i) -> struct(`{begin}`[i] as s, `{begin}`[i] + char_length(w) as e, w as v, "
-            f"regexp_replace(w, '[^0-9]', '') as d, least(1.0D, double({score})) as score)), x -> {keep})"
+            f"filter(transform(transform(`{m}`, w -> {k.value}), (v, i) -> struct(`{begin}`[i] as s, "
+            f"`{begin}`[i] + char_length(v) as e, v, "
+            f"regexp_replace(v, '[^0-9]', '') as d, least(1.0D, double({score})) as score)), x -> {keep})"
         )
     for columns in (steps, runs, begins, spans):
         out = out.withColumns(columns)
@@ -139,7 +163,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
     Counts per kind, all spans as `kind:start:end` (code points, end exclusive; by kind, then start), the digest of the
     base kinds' spans, and the scores in the same order. Base kinds are all matches that pass their check. The other
-    kinds, account numbers (mod 97) and social security numbers, count at a score of 0.5: a passed checksum adds 0.4, a
+    kinds, account numbers (mod 97 at some end of the run; two readings may overlap) and social security numbers, count at a score of 0.5: a passed checksum adds 0.4, a
     context word within 48 characters before the span 0.3.
 
     A null text counts as empty: counts 0 and an empty list. A null id stays null; repeated rows give repeated results;
