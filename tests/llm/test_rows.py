@@ -287,3 +287,25 @@ def test_account_numbers_of_every_length_before_any_word(make):
         assert [text[int(b) : int(e)] for _, b, e in spans] == values, text
     known = [(1, "ES91 2100 0418 4502 0005 1332 Please pay", "s"), (2, "BE68 5390 0754 7034 The bank", "s")]
     assert [r.text for r in pii.redact(make(known)).orderBy("doc_id").collect()] == ["<IBAN> Please pay", "<IBAN> The bank"]
+
+
+def test_context_reaches_over_earlier_matches(make):
+    one, two, three = "123-45-6789", "234-56-7890", "345-67-8901"
+    rows = [
+        (1, f"SSN {one} and {two}", "s"),
+        (2, f"SSN: {one}, {two}, {three}", "s"),
+        (3, f"SSN {one}{' ' * 45}{two}", "s"),
+        (4, f"parts {one} and {two}", "s"),
+        (5, "bank DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32", "s"),
+        (6, f"{'x ' * 40}tax id\n{one}\n{two}\n666-12-3456 {three}", "s"),
+        (7, "mail " + " ".join(["a@b.c"] * 8) + " " + "m" * 60 + "@b.c z@b.c", "s"),
+    ]
+    got = {r.doc_id: r for r in pii.find_pii(make(rows)).collect()}
+    assert [got[i].n_ssn for i in range(1, 8)] == [2, 3, 1, 0, 0, 3, 0]
+    for i, text, _ in rows:
+        spans = [s.split(":") for s in got[i].spans.split(",") if s]
+        for (kind, begin, _), score in zip(spans, got[i].scores.split(",")):
+            k = next(k for k in pii.KINDS if k.name == kind)
+            near = re.search(f"(?<![a-z])(?:{k.context})", text[max(0, int(begin) - pii.REACH) : int(begin)].lower())
+            assert float(score) == round(min(1.0, k.start + 0.4 * k.checked + 0.3 * bool(near)), 2), (i, begin)
+    assert pii.redact(make(rows[:1])).first().text == "SSN <SSN> and <SSN>"

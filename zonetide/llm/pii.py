@@ -100,6 +100,8 @@ CHECKED, NEARBY, LEAST = 0.4, 0.3, 0.5
 #: Characters before a span in which a context word counts.
 REACH = 48
 
+#: Matches before a span that may lie within REACH: none takes fewer than four characters.
+_EARLIER = -(-REACH // 4)
 #: Sums of runs this long are kept, so that a place's offset never adds up all lengths before it.
 _RUN = 256
 
@@ -111,7 +113,7 @@ def with_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str
     matches in turn add up to offsets in code points.
     """
     names = {k.name: spare(docs, f"spans_{k.name}") for k in KINDS}
-    own = {k.name: [spare(docs, f"{p}_{k.name}") for p in ("match", "gap", "step", "run", "begin")] for k in KINDS}
+    own = {k.name: [spare(docs, f"{p}_{k.name}") for p in ("match", "gap", "step", "run", "begin", "end", "piece")] for k in KINDS}
     t = F.col(f"`{text}`")
     none = F.expr("cast(array() as array<string>)")
     out = docs.withColumns(
@@ -123,9 +125,9 @@ def with_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str
     out = out.withColumns(
         {own[k.name][1]: F.when(F.size(own[k.name][0]) > 0, F.split(t, k.pattern, -1)).otherwise(none) for k in KINDS}
     )
-    steps, runs, begins, spans = {}, {}, {}, {}
+    steps, runs, begins, ends, pieces, spans = {}, {}, {}, {}, {}, {}
     for k in KINDS:
-        m, g, step, run, begin = own[k.name]
+        m, g, step, run, begin, end, piece = own[k.name]
         length = str(k.head) if k.head else f"char_length(`{m}`[greatest(i - 1, 0)])"
         steps[step] = F.expr(
             f"transform(`{m}`, (x, i) -> bigint(char_length(`{g}`[i]) + if(i = 0, 0, {length})))"
@@ -138,8 +140,16 @@ def with_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str
             f"transform(`{step}`, (x, i) -> aggregate(slice(`{run}`, 1, int(i div {_RUN})), 0L, (a, y) -> a + y) + "
             f"aggregate(slice(`{step}`, int(i div {_RUN}) * {_RUN} + 1, i % {_RUN} + 1), 0L, (a, y) -> a + y))"
         )
+        # What stands before a match: its gap's end and, where the gap is short, the matches and gaps before that.
+        took = f"left(x, {k.head})" if k.head else f"right(x, {REACH})"
+        ends[end] = F.expr(f"transform(`{g}`, x -> right(x, {REACH}))")
+        pieces[piece] = F.expr(f"transform(`{m}`, (x, i) -> right(concat(`{end}`[i], {took}), {REACH}))")
+        before = (
+            f"if(i = 0 or char_length(`{end}`[i]) = {REACH}, `{end}`[i], right(concat(array_join(slice(`{piece}`, "
+            f"greatest(i - {_EARLIER}, 0) + 1, least(i, {_EARLIER})), ''), `{end}`[i]), {REACH}))"
+        )
         score = (
-            f"round({k.start} + {CHECKED if k.checked else 0.0} + if(lower(right(`{g}`[i], {REACH})) rlike "
+            f"round({k.start} + {CHECKED if k.checked else 0.0} + if(lower({before}) rlike "
             f"'(?<![a-z])(?:{k.context})', {NEARBY}, 0.0D), 2)"
         )
         keep = k.valid if k.certain else f"({k.valid}) and x.score >= {LEAST}"
@@ -148,7 +158,7 @@ def with_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str
             f"`{begin}`[i] + char_length(v) as e, v, "
             f"regexp_replace(v, '[^0-9]', '') as d, least(1.0D, double({score})) as score)), x -> {keep})"
         )
-    for columns in (steps, runs, begins, spans):
+    for columns in (steps, runs, begins, ends, pieces, spans):
         out = out.withColumns(columns)
     return out.drop(*[c for cs in own.values() for c in cs]), names
 
