@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from itertools import product
 
 import numpy as np
 import pytest
@@ -232,3 +233,35 @@ def test_licences(spark, make, odd):
     }
     assert licences.scan(odd).count() == odd.count()
     assert licences.scan(make([])).count() == 0
+
+
+JANET = (
+    "Janet has 16 eggs. Janet eats three eggs each morning. Janet sells the rest for 2 dollars each. "
+    "How much does Janet make"
+)
+
+
+def test_names_that_begin_sentences(make, spark):
+    maria = JANET.replace("Janet", "Maria").replace("16", "20").replace("three", "five").replace("2", "4")
+    mixed = JANET.replace("Janet has", "Maria has").replace("Janet eats", "Olga eats").replace("Janet sells", "Tom sells")
+    inside = "We know that " + maria.replace(". ", ", while ")
+    rows = [(1, JANET, "s"), (2, maria, "s"), (3, "So: " + inside, "s"), (4, mixed, "s"), (5, JANET.lower(), "s")]
+    rows += [(6, maria.replace("five", "5"), "s"), (7, "They sold eggs. They ate the rest each morning. How much was it", "s")]
+    items = spark.createDataFrame([(10, JANET)], "item_id bigint, text string")
+    got = {r.doc_id: (r.n_windows, r.n_held, r.kind) for r in decontaminate.find_contamination(make(rows), items).collect()}
+    assert got[1] == (19, 19, "same") and got[2] == (19, 19, "reparameterised") == got[6]
+    assert set(got) >= {1, 2, 6} and not set(got) & {4, 7}
+    assert sorted(r.doc_id for r in decontaminate.keep_clean(make(rows), items).collect()) == sorted(set(range(1, 8)) - set(got))
+
+
+def test_every_reading_of_a_window():
+    words = "Ann. Bob. Cy dines. Dee said Eve ran. Flo and Gus".split()
+    tokens, values, unsure = decontaminate.Templates().read(" ".join(words))
+    digests, places = decontaminate.windows(tokens, unsure)
+    want = []
+    for k in range(len(tokens) - 4):
+        ways = [[t, decontaminate.NAME] if u else [t] for t, u in zip(tokens[k : k + 5], unsure[k : k + 5])]
+        for way in product(*ways):
+            one, _ = decontaminate.windows(np.array(way, dtype=np.uint64), np.zeros(5, dtype=bool))
+            want.append((k, int(one[0])))
+    assert sorted(zip(places.tolist(), digests.tolist())) == sorted(want) and unsure.sum() == 5

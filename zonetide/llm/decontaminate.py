@@ -31,6 +31,14 @@ UNITS = frozenset(
     "s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years mph kmh "
     "percent dollar dollars cent cents euro euros pound pounds degree degrees".split()
 )
+#: Numbers as words; tens and ones may be joined by a hyphen.
+_ONES = "one two three four five six seven eight nine".split()
+_TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+NUMBER_WORDS = frozenset(
+    ["zero", *_ONES, *_TENS, *(f"{t}-{o}" for t in _TENS for o in _ONES)]
+    + "ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
+    + "dozen hundred thousand million billion".split()
+)
 _NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,:/]*(%|[A-Za-z]{1,7})?")
 _NAME = re.compile(r"[^\W\d_][\w'’-]*")
 _EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»“”„‘’¿¡…–—"
@@ -52,7 +60,7 @@ def _template(raw: str) -> tuple[int, int, int, bool, bool]:
     """Of a word: its token as the first of a sentence, its token elsewhere, the digest of its value, whether a sentence
     ends with it, and whether it counts at all.
     """
-    if raw.isalpha() and raw.islower() and raw not in UNITS:
+    if raw.isalpha() and raw.islower() and raw not in UNITS and raw not in NUMBER_WORDS:
         value = _digest(raw)
         return value, value, value, False, True
     word = raw.lstrip(_BEFORE).rstrip(_AFTER)
@@ -61,7 +69,7 @@ def _template(raw: str) -> tuple[int, int, int, bool, bool]:
         return 0, 0, 0, ends, False
     low = word.lower()
     value = _digest(low)
-    if not word.isalpha() and _NUMBER.fullmatch(word):
+    if low in NUMBER_WORDS or not word.isalpha() and _NUMBER.fullmatch(word):
         return NUMBER, NUMBER, value, ends, True
     if low in UNITS:
         return UNIT, UNIT, value, ends, True
@@ -95,27 +103,59 @@ class Templates:
                 table[k : k + len(new)] = column
         return np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
 
-    def read(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens and values; a unit only counts as one after a number, and a line begins a sentence."""
+    def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens, values, and which words may also be a name: a capital that begins a sentence does not tell. A unit only
+        counts as one after a number, and a line begins a sentence.
+        """
         at = self._learn(text.replace("\n", f" {BREAK} ").split())
         at = at[self.ends[at] | self.counts[at]]
         begins = np.concatenate([[True], self.ends[at[:-1]]]) if len(at) else np.array([], dtype=bool)
         tokens = np.where(begins, self.first[at], self.elsewhere[at])
         counts = self.counts[at]
+        unsure = (begins & (self.elsewhere[at] == NAME))[counts]
         tokens, values = tokens[counts], self.value[at][counts]
         after = np.concatenate([[0], tokens[:-1]]).astype(np.uint64) if len(tokens) else tokens
-        return np.where((tokens == UNIT) & (after != NUMBER), values, tokens), values
+        return np.where((tokens == UNIT) & (after != NUMBER), values, tokens), values, unsure
 
 
-def windows(tokens: np.ndarray, words: int = WORDS) -> np.ndarray:
-    """A digest of every window."""
+def windows(tokens: np.ndarray, unsure: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """A digest of every window and its place, first as the tokens are, then in each further reading of its unsure words
+    as names.
+    """
     n = len(tokens) - words + 1
     if n < 1:
-        return np.array([], dtype=np.uint64)
+        return np.array([], dtype=np.uint64), np.array([], dtype=np.int64)
     out = np.zeros(n, dtype=np.uint64)
     for k in range(words):
         out = out * _FACTOR + tokens[k : k + n]
-    return out ^ (out >> np.uint64(29))
+    digests, places = [out], [np.arange(n)]
+    at = np.nonzero(unsure)[0]
+    if len(at):
+        power = np.array([pow(int(_FACTOR), words - 1 - j, 1 << 64) for j in range(words)], dtype=np.uint64)
+        change = NAME - tokens[at]
+        # The digest is linear in the tokens. One word read as a name first, then a later one of the same window besides.
+        inside = np.arange(words)
+        place = (at[:, None] - inside).ravel()
+        which, inside = np.repeat(np.arange(len(at)), words), np.tile(inside, len(at))
+        fits = (place >= 0) & (place < n)
+        place, which, inside = place[fits], which[fits], inside[fits]
+        read = out[place] + change[which] * power[inside]
+        while len(place):
+            digests.append(read)
+            places.append(place)
+            more = []
+            if not (at[1:] - at[:-1] < words).any():
+                break
+            for ahead in range(1, words):
+                later = np.minimum(which + ahead, len(at) - 1)
+                fits = (which + ahead < len(at)) & (at[later] < place + words)
+                if not fits.any():
+                    break
+                p, w = place[fits], later[fits]
+                more.append((p, w, read[fits] + change[w] * power[at[w] - p]))
+            place, which, read = (np.concatenate(x) for x in zip(*more)) if more else ([], [], [])
+    out = np.concatenate(digests)
+    return out ^ (out >> np.uint64(29)), np.concatenate(places)
 
 
 @dataclass
@@ -123,8 +163,11 @@ class Item:
     item_id: object
     tokens: np.ndarray
     values: np.ndarray
+    unsure: np.ndarray
     #: Digest of each distinct window and the places where the item has it.
     places: dict[int, list[int]]
+    #: Digest of each reading of a window and the windows that may be read so.
+    readings: dict[int, list[int]]
 
 
 class Index:
@@ -135,14 +178,19 @@ class Index:
         self.items: list[Item] = []
         self.of: dict[int, list[int]] = defaultdict(list)
         for item_id, text in items:
-            tokens, values = read.read(text)
+            tokens, values, unsure = read.read(text)
             places: dict[int, list[int]] = defaultdict(list)
-            for k, digest in enumerate(windows(tokens, words).tolist()):
-                places[digest].append(k)
+            readings: dict[int, set[int]] = defaultdict(set)
+            digests, at = (x.tolist() for x in windows(tokens, unsure, words))
+            for place, digest in enumerate(digests[: max(0, len(tokens) - words + 1)]):
+                places[digest].append(place)
+            for place, digest in zip(at, digests):
+                readings[digest].add(digests[place])
             if places:
-                for digest in places:
+                for digest in readings:
                     self.of[digest].append(len(self.items))
-                self.items.append(Item(item_id, tokens, values, dict(places)))
+                some = {digest: sorted(own) for digest, own in readings.items()}
+                self.items.append(Item(item_id, tokens, values, unsure, dict(places), some))
         self.sorted = np.sort(np.fromiter(self.of, dtype=np.uint64, count=len(self.of)))
         # A bit for each value of the low 20 bits lets most of a text's windows pass by without a search.
         self.low = np.zeros(1 << 20, dtype=bool)
@@ -158,16 +206,16 @@ class Index:
 
     def find(self, text: str, templates: Templates) -> list[tuple[object, int, int, float, str]]:
         """(item, windows, windows held, slot consistency, kind) of the items that the text holds."""
-        tokens, values = templates.read(text)
-        digests = windows(tokens, self.words)
-        places = self.hits(digests)
-        if not len(places):
+        tokens, values, unsure = templates.read(text)
+        digests, places = windows(tokens, unsure, self.words)
+        hits = self.hits(digests)
+        if not len(hits):
             return []
-        where: dict[int, dict[int, list[int]]] = defaultdict(dict)
-        for at in places.tolist():
-            digest = int(digests[at])
+        where: dict[int, dict[int, dict[int, None]]] = defaultdict(dict)
+        for at, digest in sorted(zip(places[hits].tolist(), digests[hits].tolist())):
             for number in self.of[digest]:
-                where[number].setdefault(digest, []).append(at)
+                for own in self.items[number].readings[digest]:
+                    where[number].setdefault(own, {})[at] = None
         out = []
         for number, held in where.items():
             item = self.items[number]
@@ -180,11 +228,12 @@ class Index:
         return out
 
 
-def _slots(item: Item, held: dict[int, list[int]], tokens, values, words: int) -> tuple[float, float]:
+def _slots(item: Item, held: dict[int, dict[int, None]], tokens, values, words: int) -> tuple[float, float]:
     """Two shares: of the slots whose value the item has more than once, those that map as most occurrences of the value
     do; and of all slots, those that hold the item's own value.
 
-    Where a window stands more than once, the occurrence counts that lies on the shift most windows share.
+    Where a window stands more than once, the occurrence counts that lies on the shift most windows share. A capitalised
+    word that begins a sentence is a slot where its value does not stay the same throughout.
     """
     shifts = Counter(at - k for digest, ats in held.items() for k in item.places[digest] for at in ats)
     slot_of: dict[int, int] = {}
@@ -192,13 +241,16 @@ def _slots(item: Item, held: dict[int, list[int]], tokens, values, words: int) -
         for k in item.places[digest]:
             best = max(ats, key=lambda at: (shifts[at - k], -at))
             for j in range(words):
-                if int(item.tokens[k + j]) in SLOTS:
+                if int(item.tokens[k + j]) in SLOTS or item.unsure[k + j]:
                     slot_of.setdefault(k + j, int(values[best + j]))
+    changed = {int(item.values[place]) for place, value in slot_of.items() if int(item.values[place]) != value}
+    slot_of = {p: v for p, v in slot_of.items() if not item.unsure[p] or int(item.values[p]) in changed}
     if not slot_of:
         return 1.0, 1.0
     maps: dict[tuple[int, int], Counter] = defaultdict(Counter)
     for place, value in slot_of.items():
-        maps[int(item.tokens[place]), int(item.values[place])][value] += 1
+        token = int(NAME if item.unsure[place] else item.tokens[place])
+        maps[token, int(item.values[place])][value] += 1
     repeated = [c for c in maps.values() if sum(c.values()) > 1]
     total = sum(sum(c.values()) for c in repeated)
     agreeing = sum(max(c.values()) for c in repeated)
@@ -225,7 +277,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, words: int = WORDS) ->
     slots hold other values).
 
     A document holds an item when it has at least 80 % of its five-word template windows and the slots fit: at least 85 %
-    hold the item's own values, or, of those whose value the item repeats, map it to one value each time. Items with equal texts count once, under their smallest id; items
+    hold the item's own values, or, of those whose value the item repeats, map it to one value each time. A capitalised word
+    that begins a sentence is read both as a name and as itself, on either side. Items with equal texts count once, under their smallest id; items
     with fewer than five words have no window and are never found; null texts are empty. Null ids stay, repeated
     documents repeat, an empty table on either side gives an empty result, other columns are not read.
 
