@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from itertools import product
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -265,3 +266,30 @@ def test_every_reading_of_a_window():
             one, _ = decontaminate.windows(np.array(way, dtype=np.uint64), np.zeros(5, dtype=bool))
             want.append((k, int(one[0])))
     assert sorted(zip(places.tolist(), digests.tolist())) == sorted(want) and unsure.sum() == 5
+
+
+def test_licences_of_several_paragraphs(spark, make):
+    mit, isc = licences.KNOWN[0][1], licences.KNOWN[1][1]
+    held = "Copyright (c) 2020 Somebody"
+    rows = [
+        (1, f"MIT License\n\n{held}\n\n{mit}\n", "s"), (2, f"The MIT License (MIT)\n\n{held}\n\n{mit}", "s"),
+        (3, f"About this.\n\n{held}\n\n{mit}\n\nThe end.", "s"), (4, f"{isc}\n\nand\n\n{mit}\n\nand\n\n{isc}", "s"),
+        (5, "x\n\n" + mit.replace("free of charge", "for money"), "s"), (6, "x\n\n" + mit.rsplit("\n\n", 1)[0], "s"),
+        (7, f"ISC License\n\n{isc}", "s"),
+    ]
+    got = {r.doc_id: (r.licence, r.notices, r.n_notices) for r in licences.scan(make(rows)).collect()}
+    assert [got[i][0] for i in range(1, 8)] == ["MIT", "MIT", None, None, None, None, "ISC"]
+    assert [got[i][1:] for i in (1, 2, 7)] == [("", 0)] * 3
+    assert [got[i][1:] for i in range(3, 7)] == [("MIT", 1), ("ISC,MIT", 2), ("", 0), ("", 0)]
+
+
+def test_long_licences(spark, make):
+    folder = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0"}
+    if not all((folder / n).exists() for n in names):
+        pytest.skip("no licence texts on this machine")
+    rows = [(k, (folder / n).read_text(), "s") for k, n in enumerate(names)]
+    rows += [(k + 10, f"Some words.\n\n{t}\n\nMore words.", "s") for k, t, _ in rows]
+    got = {r.doc_id: (r.licence, r.notices) for r in licences.scan(make(rows)).collect()}
+    for k, name in enumerate(names.values()):
+        assert got[k][0] == name and name in got[k + 10][1].split(",")

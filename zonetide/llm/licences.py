@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonetide.llm.common import cut, texts
+from zonetide.llm.licence_digests import DIGESTS
 
 #: Spellings and wordings that licence texts use for one another, the second form being the canonical one.
 EQUIVALENT = (
@@ -45,7 +46,8 @@ EQUIVALENT = (
     ("http", "https"),
 )
 
-#: Short licence texts and notices, each whole; longer ones are passed in as a table of the same columns.
+#: Short licence texts and notices, each whole; DIGESTS holds longer ones. A table
+#: of the same columns may be passed in instead.
 KNOWN = (
     (
         "MIT",
@@ -88,6 +90,10 @@ MAX_STARTS = 100_000
 _COPYRIGHT = r"(?im)^\P{L}*(?:copyright\b[\t :]*(?:\(c\)|©|\d{4}|by\b)|\(c\)[\t ]|©|all rights reserved\b)[^\n]*$"
 
 
+#: A title above a licence text, which names it and is no part of it.
+_TITLE = r"(?i)^\s*(?:the\s+)?(?:mit|isc)\s+licen[cs]e(?:\s+\((?:mit|isc)\))?\s*\n(?=\s*\n)"
+
+
 def canonical(text: Column) -> Column:
     """Lower case, copyright lines out, punctuation and space to single spaces, equivalent spellings to one."""
     plain = F.regexp_replace(text, F.lit(_COPYRIGHT), F.lit(" "))
@@ -104,21 +110,42 @@ def _start(text: Column) -> Column:
 
 
 def known_digests(licences: DataFrame) -> DataFrame:
-    """One row per canonical digest, with the text's first letters; of several licences with one text the first by name.
-    Texts without words have none."""
-    canon = licences.select("licence", canonical(F.coalesce("text", F.lit(""))).alias("canon")).filter("canon != ''")
+    """One row per canonical digest, with the text's first letters and the sizes it has in paragraphs; of several licences
+    with one text the first by name. Texts without words have none."""
+    text = F.coalesce("text", F.lit(""))
+    canon = licences.select(
+        "licence", canonical(text).alias("canon"), F.size(_paragraphs(text)).alias("size")
+    ).filter("canon != ''")
     return canon.groupBy(F.sha2("canon", 256).alias("digest"), _start(F.col("canon")).alias("start")).agg(
-        F.min("licence").alias("licence")
+        F.min("licence").alias("licence"), F.collect_set("size").alias("sizes")
     )
 
 
+def _paragraphs(text: Column) -> Column:
+    """The paragraphs that have words besides copyright lines, without a title."""
+    plain = F.regexp_replace(F.regexp_replace(text, F.lit(_COPYRIGHT), F.lit(" ")), F.lit(_TITLE), F.lit(" "))
+    return F.filter(F.split(plain, r"\n[\x20\t\r]*\n", -1), lambda x: x.rlike(r"[\p{L}\p{N}]"))
+
+
+def _runs(sizes: str) -> Column:
+    """Of the column `paragraphs`, the runs of several that begin like a known licence and are as many as it has."""
+    at = lambda x, i: F.transform(
+        F.filter(
+            F.coalesce(F.try_element_at(F.col(sizes), _start(x)), F.array().cast("array<int>")),
+            lambda n: i + n <= F.size("paragraphs"),
+        ),
+        lambda n: F.array_join(F.slice("paragraphs", i + 1, n), "\n\n"),
+    )
+    return F.flatten(F.transform("paragraphs", at))
+
+
 def known_licences(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(KNOWN), "licence string, text string")
 
 
 def scan(docs: DataFrame, licences: DataFrame | None = None) -> DataFrame:
     """`doc_id`, `licence` whose text the whole text is (null: none), `notices`: the licences, sorted and comma-joined, whose
-    whole text one of its paragraphs or lines is, and `n_notices`, the number of different such parts.
+    whole text one of its paragraphs, lines or runs of paragraphs is (a title above the text aside), and `n_notices`, the number of different such parts.
 
     A null or empty text, and one of copyright lines alone, is no licence. Null ids stay, repeated rows give repeated
     results, an empty table gives an empty one, other columns are not read.
@@ -129,18 +156,35 @@ def scan(docs: DataFrame, licences: DataFrame | None = None) -> DataFrame:
     joined without a hint: their measured size decides the kind of join, and no aggregate stands above it that would keep
     the planner from splitting a text that many rows share.
     """
-    known = cut(known_digests(known_licences(docs.sparkSession) if licences is None else licences))
+    spark = docs.sparkSession
+    known = known_digests(known_licences(spark) if licences is None else licences)
+    if licences is None:
+        long = spark.createDataFrame(list(DIGESTS), "digest string, start string, licence string, sizes array<int>")
+        known = known.unionByName(long)
+    known = cut(known)
     starts = cut(known.select("start").distinct())
     # Counted: a stored table has no size that the planner knows, and would have all parts shuffled to find none of them.
     starts = F.broadcast(starts) if starts.count() <= MAX_STARTS else starts
+    several = known.select("start", F.explode("sizes").alias("size")).filter("size > 1").groupBy("start").agg(
+        F.collect_set("size").alias("sizes")
+    )
+    # One row, of at most as many entries as there are starts.
+    sizes = several.agg(F.map_from_entries(F.collect_list(F.struct("start", "sizes"))).alias("known_sizes"))
+    known = known.drop("sizes")
     read = texts(docs).withColumn("content", F.sha2("text", 256))
     paragraphs = F.split("text", r"\n[\x20\t\r]*\n", -1)
     blocks = F.transform(
         F.concat(F.array("text"), F.when(F.size(paragraphs) > 1, paragraphs).otherwise(F.array().cast("array<string>"))),
-        lambda x: F.struct(F.regexp_replace(x, F.lit(_COPYRIGHT), F.lit(" ")).alias("part"), (x == F.col("text")).alias("whole")),
+        lambda x: F.struct(F.regexp_replace(F.regexp_replace(x, F.lit(_COPYRIGHT), F.lit(" ")), F.lit(_TITLE), F.lit(" ")).alias("part"), (x == F.col("text")).alias("whole")),
     )
     lines = F.transform(F.split("text", r"\n", -1), lambda x: F.struct(x.alias("part"), (x == F.col("text")).alias("whole")))
-    parts = read.select("content", F.explode(F.concat(blocks, lines)).alias("p")).select(
+    # The run of all paragraphs is the whole text, which is looked up as such.
+    full = F.array_join("paragraphs", "\n\n")
+    runs = F.transform(
+        F.filter(_runs("known_sizes"), lambda x: x != full), lambda x: F.struct(x.alias("part"), F.lit(False).alias("whole"))
+    )
+    held = read.withColumn("paragraphs", _paragraphs(F.col("text"))).crossJoin(F.broadcast(sizes))
+    parts = held.select("content", F.explode(F.concat(blocks, lines, runs)).alias("p")).select(
         "content", "p.*", _start(F.col("p.part")).alias("start")
     )
     likely = parts.join(starts, "start", "left_semi")
