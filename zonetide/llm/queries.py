@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonetide.llm import bpe, decontaminate, licences, negatives, pii, quality, simhash, suffixes, token_counts, toxicity, urls
+from zonetide.llm import (
+    bpe,
+    decontaminate,
+    languages,
+    licences,
+    negatives,
+    pii,
+    quality,
+    simhash,
+    suffixes,
+    token_counts,
+    toxicity,
+    urls,
+)
 from zonetide.llm.common import table
 from zonetide.session import prepare
 
@@ -31,6 +44,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_counts": _query(lambda s, d: token_counts.count_tokens(table(s, d, "documents"))),
     "op10_toxicity": _query(lambda s, d: toxicity.toxicity(table(s, d, "documents"), table(s, d, "labels"))),
     "op12_negatives": _query(lambda s, d: negatives.hard_negatives(table(s, d, "embeddings"))),
+    "op13_languages": _query(lambda s, d: languages.language_id(table(s, d, "documents"))),
 }
 
 ORACLES: dict[str, str] = {"op3_quality": quality.ORACLE, "op5_urls": urls.ORACLE, "op12_negatives": negatives.ORACLE}
