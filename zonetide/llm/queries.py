@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from zonetide.llm import (
+    alignment,
     bpe,
     decontaminate,
     languages,
@@ -43,6 +44,7 @@ QUERIES: dict[str, Query] = {
     "op8_bpe": _query(lambda s, d: bpe.round_trip(table(s, d, "documents"))),
     "op9_token_counts": _query(lambda s, d: token_counts.count_tokens(table(s, d, "documents"))),
     "op10_toxicity": _query(lambda s, d: toxicity.toxicity(table(s, d, "documents"), table(s, d, "labels"))),
+    "op11_alignment": _query(lambda s, d: alignment.align(table(s, d, "documents"))),
     "op12_negatives": _query(lambda s, d: negatives.hard_negatives(table(s, d, "embeddings"))),
     "op13_languages": _query(lambda s, d: languages.language_id(table(s, d, "documents"))),
 }
