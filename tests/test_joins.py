@@ -2,12 +2,14 @@
 
 import datetime as dt
 import math
+import random
 
 import pytest
 from oracle import rows_of
 from pyspark.sql import functions as F
 
 from zonetide.operators import joins as J
+from zonetide.operators import quality as D
 from zonetide.operators import rollups as A
 from zonetide.plans import features as M
 from zonetide.sources import roles
@@ -132,6 +134,49 @@ def test_nearby_demand_against_brute_force(spark):
     assert len(got) == len(demand)
 
 
+def test_two_clusters_a_radius_apart_cost_cells_and_not_pairs(spark):
+    """Places of one cluster lie on the rim of the other's circles: comparing places would cost the square."""
+    radius = 1.5 / 111
+    rnd = random.Random(8)
+
+    def cost(n):
+        spots = [(40 + rnd.random() * radius / 3, -74 + side * radius + rnd.random() * radius / 3) for side in (0, 1) for _ in range(n)]
+        places = spark.createDataFrame(spots, "lat double, lon double")
+        around = J.neighbourhood(places, radius)
+        got = around.groupBy("level").count().collect()
+        return sum(r["count"] for r in got)
+
+    small, large = cost(250), cost(1_000)
+    assert large < 2.2 * 4 * small  # pairs would be 16 times as many
+    assert large < 0.15 * 2 * 1_000 * 1_000
+
+
+def test_reconciliation_of_equal_tables_moves_no_row(spark):
+    a = spark.range(20_000).select("id", (F.col("id") * 2).cast("double").alias("v"), F.lit("x").alias("w")).repartition(4)
+    assert rows_of(*flat(D.field_diff(a, a.repartition(3), "id", ["v", "w"]))) == rows_of(
+        ["field", "n_rows"], [("v", 0), ("w", 0), ("(missing in copy)", 0), ("(missing in source)", 0)]
+    )
+    left, right = D.suspects(a, a.repartition(3), "id", ["v", "w"])
+    assert left.count() == right.count() == 0
+    other = a.withColumn("v", F.when(F.col("id") == 77, -1.0).otherwise(F.col("v"))).filter("id <> 99")
+    left, right = D.suspects(a, other, "id", ["v", "w"])
+    found = {r.id for r in left.select("id").collect()}
+    assert {77, 99} <= found and len(found) < 20
+    assert rows_of(*flat(D.field_diff(a, other, "id", ["v", "w"]))) == rows_of(
+        ["field", "n_rows"], [("v", 1), ("w", 0), ("(missing in copy)", 1), ("(missing in source)", 0)]
+    )
+    assert D.same_rows(a, a.repartition(2)) and not D.same_rows(a, other) and not D.same_rows(a, a.unionAll(a.filter("id = 5")))
+    plan = D.field_diff(a, other, "id", ["v", "w"])
+    plan.collect()
+    # What is shuffled by key comes out of the join with the broadcast buckets.
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join FullOuter" in text and "Join LeftSemi" in text
+
+
+def flat(df):
+    return df.columns, [tuple(r) for r in df.collect()]
+
+
 def test_reconciliation_finds_rows_missing_on_either_side(spark):
     a = spark.createDataFrame([(1, 1.0, "x"), (2, 2.0, None), (3, 3.0, "z")], "id int, v double, w string")
     b = spark.createDataFrame([(1, 1.0, "x"), (2, 2.5, None), (4, 4.0, "q")], "id int, v double, w string")

@@ -191,14 +191,10 @@ register(
 )
 register(
     "filter_trailing",
-    lambda s, d: roles.union_all(
-        [
-            P.trailing(roles.trips_e(s, d), "pickup_datetime", AS_OF, length).select(
-                F.lit(length).alias("length"), "trip_id", "pickup_datetime"
-            )
-            for length in ("240 minutes", "24 hours", "1 day", "7 days", "30 days")
-        ]
-    ),
+    lambda s, d: P.trailing_each(
+        roles.trips_e(s, d).select("trip_id", "pickup_datetime"), "pickup_datetime", AS_OF,
+        ("240 minutes", "24 hours", "1 day", "7 days", "30 days"),
+    ).select("length", "trip_id", "pickup_datetime"),
     q("trips_e", f"""SELECT len AS "length", trip_id, pickup_datetime FROM trips_e JOIN lens
       ON pickup_datetime >= TIMESTAMP '{AS_OF}' - iv AND pickup_datetime <= TIMESTAMP '{AS_OF}'""",
       lens="""SELECT * FROM (VALUES ('240 minutes', INTERVAL 240 MINUTE), ('24 hours', INTERVAL 24 HOUR),

@@ -301,17 +301,15 @@ register(
 )
 register(
     "realtime_activity",
-    lambda s, d: S.activity_report(A.zone_activity_recent(roles.trips_e(s, d), AS_OF, ALL_EVENTS), roles.zones_s(s, d)),
+    lambda s, d: S.activity_report(A.zone_activity_recent(roles.trips_e(s, d), AS_OF, ALL_EVENTS), roles.zones_s(s, d), AS_OF),
     q("trips_e zones_s", f"""SELECT zone_id, coalesce(zone, 'Unknown Zone') AS zone_name,
-      {r("least(pickup_count * 10 + revenue_last_hour / 10, 100)", 4)} AS activity_score, pickup_count,
+      TIMESTAMP '{AS_OF}' AS activity_timestamp, {r("least(pickup_count * 10 + revenue_last_hour / 10, 100)", 4)} AS activity_score, pickup_count,
       {r("revenue_last_hour", 2)} AS revenue_last_hour, {r("avg_trip_duration", 1)} AS avg_wait_time
       FROM act LEFT JOIN zones_s ON zone_id = location_id WHERE pickup_count > 0""", act=ACTIVITY),
 )
 register(
     "time_series",
-    lambda s, d: roles.union_all(
-        [S.time_series(roles.trips_e(s, d), m, AS_OF, 30) for m in ("trip_count", "revenue", "avg_fare")]
-    ),
+    lambda s, d: S.all_series(roles.trips_e(s, d), AS_OF, 30),
     q("trips_e", """SELECT 'trip_count' AS metric_name, 'count' AS unit, "hour" AS "timestamp",
       CAST(trip_count AS DOUBLE) AS value FROM series
       UNION ALL SELECT 'revenue', 'currency', "hour", total_revenue FROM series

@@ -22,8 +22,16 @@ EVENTS_FROM, EVENTS_TO = "2024-01-01 00:00:00", "2024-01-31 00:00:00"
 DAY = "2024-01-15"
 
 
-def register(key: str, run: Query, sql: str | None = None, doubles: str = "", digits: int = 4) -> None:
+#: Queries that run a job of several steps (a stream, a stored merge) and return what it stored.
+JOBS: set[str] = set()
+
+
+def register(
+    key: str, run: Query, sql: str | None = None, doubles: str = "", digits: int = 4, job: bool = False
+) -> None:
     """A query and its oracle; the named double columns are rounded on both sides before they are compared."""
+    if job:
+        JOBS.add(key)
     if key in QUERIES:
         raise ValueError(f"registered twice: {key}")
     names = doubles.split()

@@ -99,24 +99,83 @@ PLACES = ("pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_l
 TIMES = ("pickup_datetime", "dropoff_datetime", "created_at", "updated_at")
 
 
-def mirror_rows(envelopes: DataFrame, table: str) -> DataFrame:
-    """Changes of one source table as rows of its mirror, next to `_lost`: whether a value did not fit its type.
+def _mirror_columns() -> dict[str, dict[str, T.DataType]]:
+    """For each field of the source tables its type as it is sent, by table."""
+    out: dict[str, dict[str, T.DataType]] = {}
+    for table, payload in schemas.MIRROR_PAYLOADS.items():
+        for field in T.StructType.fromDDL(payload).fields:
+            out.setdefault(field.name, {})[table] = field.dataType
+    return out
 
+
+def mirrored(broker: DataFrame, col: str = "value") -> DataFrame:
+    """Broker rows as rows of all mirror tables at once, with the columns of `mirror_schema`; `target` names the table.
+
+    The text is parsed once, into a variant; every field is taken from it. A record that is no envelope, has no known
+    operation or table, no object with an id, or a value that does not fit its type has the target `bad` and only its text.
     Times come as microseconds or as text.
     """
-    payload = schemas.MIRROR_PAYLOADS[table]
-    rows = flatten_change(envelopes.filter(F.col("source_table") == table), payload)
-    names = T.StructType.fromDDL(payload).names
-    typed = {c: F.col(c).try_cast("decimal(8,2)") for c in MONEY if c in names}
-    typed |= {c: F.col(c).try_cast("decimal(18,14)") for c in PLACES if c in names}
-    typed |= {
-        c: F.coalesce(F.timestamp_micros(F.col(c).try_cast("bigint")), C.parse_ts(c)) for c in TIMES if c in names
+    text = F.col(col).cast("string")
+    parsed = broker.select(
+        text.alias("value"), F.inline(F.array(F.struct(F.try_parse_json(text).alias("_all"))))
+    )
+    take = lambda path, kind: F.try_variant_get("_all", path, kind)
+    heads = {
+        "__op": take("$.op", "string"),
+        "__source_ts_ms": take("$.source.ts_ms", "bigint"),
+        "__source_db": take("$.source.db", "string"),
+        "__source_table": take("$.source.table", "string"),
     }
-    lost = F.lit(False)
-    for c, value in typed.items():
-        lost = lost | (F.col(c).isNotNull() & value.isNull())
-    out = rows.withColumns({**typed, "_lost": lost})
-    return out.withColumn("pickup_date", F.to_date("pickup_datetime")) if "pickup_datetime" in names else out
+    # A delete has its last row before the change.
+    after = take("$.after", "variant")
+    row = F.when(after.isNull() | F.is_variant_null(after), take("$.before", "variant")).otherwise(after)
+    rows = parsed.select("value", *[c.alias(n) for n, c in heads.items()], row.alias("_row"))
+    fields, lost = {}, F.lit(False)
+    for name, kinds in _mirror_columns().items():
+        widest = "bigint" if "bigint" in {k.simpleString() for k in kinds.values()} else next(iter(kinds.values())).simpleString()
+        raw = F.try_variant_get("_row", f"$.{name}", widest)
+        typed = raw
+        if name in MONEY:
+            typed = raw.try_cast("decimal(8,2)")
+        elif name in PLACES:
+            typed = raw.try_cast("decimal(18,14)")
+        elif name in TIMES:
+            typed = F.coalesce(F.timestamp_micros(raw.try_cast("bigint")), C.parse_ts(raw))
+        here = F.col("__source_table").isin(*kinds)
+        narrow = [t for t, k in kinds.items() if k.simpleString() == "int" and widest == "bigint"]
+        if typed is not raw:
+            lost = lost | (here & raw.isNotNull() & typed.isNull())
+        if narrow:
+            lost = lost | (F.col("__source_table").isin(*narrow) & raw.isNotNull() & raw.try_cast("int").isNull())
+        fields[name] = F.when(here, typed)
+    known = F.col("__op").isin(*V.ALL_OPS) & F.col("__source_table").isin(*schemas.MIRROR_PAYLOADS)
+    fits = known & F.try_variant_get("_row", "$.id", "string").isNotNull() & ~F.coalesce(lost, F.lit(False))
+    typed_rows = rows.select("value", *heads, *[c.alias(n) for n, c in fields.items()], F.coalesce(fits, F.lit(False)).alias("_fits"))
+    good = {n: F.when(F.col("_fits"), F.col(n)).alias(n) for n in (*fields, *heads)}
+    return typed_rows.select(
+        F.when(~F.col("_fits"), F.col("value")).alias("value"),
+        *good.values(),
+        F.when(F.col("_fits"), F.to_date("pickup_datetime")).alias("pickup_date"),
+        F.when(F.col("_fits"), F.col("__source_table")).otherwise("bad").alias("target"),
+    )
+
+
+def _mirror_type(name: str, kinds: dict[str, T.DataType]) -> str:
+    if name in MONEY:
+        return "decimal(8,2)"
+    if name in PLACES:
+        return "decimal(18,14)"
+    if name in TIMES:
+        return "timestamp"
+    names = {k.simpleString() for k in kinds.values()}
+    return "bigint" if "bigint" in names else names.pop()
+
+
+def mirror_schema() -> str:
+    """What `mirrored` returns: the fields of all source tables and the change's metadata."""
+    fields = ", ".join(f"{n} {_mirror_type(n, kinds)}" for n, kinds in _mirror_columns().items())
+    meta = "__op string, __source_ts_ms bigint, __source_db string, __source_table string"
+    return f"value string, {fields}, {meta}, pickup_date date, target string"
 
 
 def split_bad(broker: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -172,10 +231,11 @@ def current_state(
     return latest_per_key(log, pk, order).filter(~F.col("__deleted"))
 
 
-def apply_updates(base: DataFrame, updates: DataFrame, key: str = "id") -> DataFrame:
+def apply_updates(base: DataFrame, updates: DataFrame, key: str = "id", only_newer: bool = False) -> DataFrame:
     """Tip updates applied to trips: new tip, total recomputed from its parts, new updated_at; other rows unchanged.
 
-    The latest update of a key counts, and of several at one time the highest tip.
+    The latest update of a key counts, and of several at one time the highest tip. With `only_newer` an update from before
+    the stored row's own last change is left out, so that batches give one result in whatever order they come.
     """
     parts = ("fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount")
     new = updates.groupBy(key).agg(
@@ -183,7 +243,13 @@ def apply_updates(base: DataFrame, updates: DataFrame, key: str = "id") -> DataF
         F.max("updated_at").alias("_at"),
         F.lit(True).alias("_hit"),
     )
-    joined = lookup_join(base, new, [key]).withColumn("tip_amount", F.coalesce("_tip", "tip_amount"))
+    joined = lookup_join(base, new, [key])
+    if only_newer:
+        hit = F.coalesce(F.col("_hit") & (F.col("updated_at").isNull() | (F.col("_at") >= F.col("updated_at"))), F.lit(False))
+        joined = joined.withColumns(
+            {"_hit": hit, "_tip": F.when(hit, F.col("_tip")), "_at": F.when(hit, F.col("_at"))}
+        )
+    joined = joined.withColumn("tip_amount", F.coalesce("_tip", "tip_amount"))
     present = [p for p in parts if p in base.columns]
     out = joined.withColumns(
         {

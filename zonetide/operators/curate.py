@@ -7,13 +7,9 @@ from pyspark.sql import functions as F
 
 from zonetide.functions import columns as C
 from zonetide.functions import fixed_values as V
+from zonetide.sources import schemas
 
-CURATED_ORDER = (
-    "vendor_id", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance", "rate_code_id",
-    "store_and_fwd_flag", "pickup_location_id", "dropoff_location_id", "payment_type", "fare_amount", "extra",
-    "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount", "congestion_surcharge",
-    "airport_fee", "load_date", "year", "month", "day",
-)
+CURATED_ORDER = tuple(column.split()[0] for column in schemas.CURATED_TRIPS.split(", "))
 
 
 def rename_trips(raw: DataFrame) -> DataFrame:

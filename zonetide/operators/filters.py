@@ -31,6 +31,18 @@ def trailing(df: DataFrame, ts_col: str, as_of, length: str | None) -> DataFrame
     return out if length is None else out.filter(F.col(ts_col) >= until - interval(length))
 
 
+def trailing_each(df: DataFrame, ts_col: str, as_of, lengths: Sequence[str]) -> DataFrame:
+    """For each length the rows that `trailing` keeps, marked with it in `length`: one scan, cut at the longest."""
+    until = moment(as_of)
+    inside = F.filter(
+        F.array(*[F.struct(F.lit(n).alias("length"), (until - interval(n)).alias("since")) for n in lengths]),
+        lambda x: F.col(ts_col) >= x["since"],
+    )
+    since = F.least(*[until - interval(n) for n in lengths]) if len(lengths) > 1 else until - interval(lengths[0])
+    recent = df.filter((F.col(ts_col) <= until) & (F.col(ts_col) >= since))
+    return recent.select("*", F.explode(inside).alias("_l")).withColumn("length", F.col("_l.length")).drop("_l")
+
+
 def in_range(df: DataFrame, ts_col: str, start, end) -> DataFrame:
     """Closed range."""
     return df.filter(F.col(ts_col).between(moment(start), moment(end)))

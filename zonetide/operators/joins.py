@@ -9,6 +9,7 @@ built.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -207,69 +208,113 @@ def diff_by_key(a: DataFrame, b: DataFrame, key: str, cols: list[str]) -> DataFr
 
 # --- neighbourhood --------------------------------------------------------------------------------------------------
 
-CELLS_PER_RADIUS = 4
+#: Cells of the coarsest level along a radius, levels, and how many cells of a level lie along one of the level above.
+CELLS_PER_RADIUS, LEVELS, FINER = 4, 4, 4
+#: A cell on the rim that holds this few places is not refined: its places are compared themselves.
+FEW_PLACES = 4
+#: The level of single places, whose node is the place itself.
+SINGLE = -1
+
+
+def _cells(places: DataFrame, radius: float) -> DataFrame:
+    """Places with their cell on every level, as `cells`: level and cell numbers; coarse cells are unions of finer ones."""
+    finest = radius / (CELLS_PER_RADIUS * FINER ** (LEVELS - 1))
+    at = [F.floor(F.col(c) / F.lit(finest)) for c in ("lat", "lon")]
+    levels = [
+        F.struct(
+            F.lit(level).alias("level"),
+            *[F.floor(x / FINER ** (LEVELS - 1 - level)).cast("double").alias(n) for x, n in zip(at, ("kx", "ky"))],
+        )
+        for level in range(LEVELS)
+    ]
+    return places.withColumn("cells", F.array(*levels))
+
+
+def neighbourhood(places: DataFrame, radius: float) -> DataFrame:
+    """For each place (`lat`, `lon`) the nodes that together are the places within `radius`: `level`, `kx`, `ky`.
+
+    Whole coarse cells come first. Only cells on the rim of the circle are looked at on the next finer level, as long as they hold
+    more than a few places; what is left on the rim is compared place by place. A dense cluster on the rim so costs its cells
+    along the rim, not its places.
+    """
+    slack = 1e-9
+    numbered = _cells(places, radius)
+    cells = numbered.select(F.inline("cells")).groupBy("level", "kx", "ky").agg(F.count(F.lit(1)).alias("n_places"))
+
+    def judged(pairs: DataFrame, level: int) -> DataFrame:
+        """Pairs of a place and a cell that the circle touches, and whether the cell lies inside it."""
+        size = radius / (CELLS_PER_RADIUS * FINER**level)
+        near, far = F.lit(0.0), F.lit(0.0)
+        for p, k in (("lat", "kx"), ("lon", "ky")):
+            low, high = F.col(k) * size, (F.col(k) + 1) * size
+            gap = F.greatest(low - F.col(p), F.col(p) - high, F.lit(0.0))
+            reach = F.greatest(F.abs(F.col(p) - low), F.abs(F.col(p) - high))
+            near, far = near + gap * gap, far + reach * reach
+        return pairs.withColumn("inside", F.sqrt(far) < radius * (1 - slack)).filter(
+            F.sqrt(near) <= radius * (1 + slack)
+        )
+
+    around = F.sequence(F.lit(-CELLS_PER_RADIUS - 1), F.lit(CELLS_PER_RADIUS + 1))
+    coarse = F.element_at("cells", 1)
+    probes = numbered.select("lat", "lon", coarse["kx"].alias("cx"), coarse["ky"].alias("cy"))
+    probes = probes.withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around))
+    probes = probes.select("lat", "lon", (F.col("cx") + F.col("dx")).alias("kx"), (F.col("cy") + F.col("dy")).alias("ky"))
+    pairs = judged(probes, 0).join(cells.filter("level = 0").drop("level"), ["kx", "ky"])
+    whole, rims = [], []
+    for level in range(LEVELS):
+        tagged = pairs.withColumn("level", F.lit(level))
+        whole.append(tagged.filter("inside").select("lat", "lon", "level", "kx", "ky"))
+        last = level == LEVELS - 1
+        few = F.lit(True) if last else F.col("n_places") <= FEW_PLACES
+        rims.append(tagged.filter(~F.col("inside") & few).select("lat", "lon", "level", "kx", "ky"))
+        if not last:
+            finer = cells.filter(F.col("level") == level + 1).select(
+                F.floor(F.col("kx") / FINER).cast("double").alias("px"),
+                F.floor(F.col("ky") / FINER).cast("double").alias("py"),
+                F.col("kx").alias("x"), F.col("ky").alias("y"), F.col("n_places").alias("n"),
+            )
+            open_ = pairs.filter(~F.col("inside") & ~few).select("lat", "lon", F.col("kx").alias("px"), F.col("ky").alias("py"))
+            children = open_.join(finer, ["px", "py"]).select(
+                "lat", "lon", F.col("x").alias("kx"), F.col("y").alias("ky"), F.col("n").alias("n_places")
+            )
+            pairs = judged(children, level + 1)
+    others = numbered.select(F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), F.inline("cells"))
+    near = union_frames(rims).join(others, ["level", "kx", "ky"]).filter(
+        C.planar_distance("lat", "lon", "lat2", "lon2") <= radius * V.KM_PER_DEGREE
+    )
+    single = near.select("lat", "lon", F.lit(SINGLE).alias("level"), F.col("lat2").alias("kx"), F.col("lon2").alias("ky"))
+    return union_frames([*whole, single])
+
+
+def union_frames(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
 def nearby_demand(demand: DataFrame, zones: DataFrame, km: float, value: str = "demand_count") -> DataFrame:
     """Demand of the other zones within `km` in the same hour, for each zone-hour.
 
-    Zones at one place count as one point. Space is cut into cells of a quarter radius: cells wholly inside the circle
-    of a point are answered by their cell total, so a dense cluster inside the circle costs one row per cell. Points in cells
-    on the rim are compared one by one: two dense clusters just `km` apart still cost a row per pair of their points.
+    Zones at one place count as one. A place's `neighbourhood` is made once, whatever the number of hours; demand is added up
+    per node and hour, and a place's hour asks the nodes for that hour. Node and hour are the key, so a dense cell is
+    spread over its hours, and what is asked for very often within one can be split.
     """
     radius = km / V.KM_PER_DEGREE
-    size = radius / CELLS_PER_RADIUS
-    cell = lambda c: F.floor(F.col(c) / F.lit(size))
     place = zones.select("location_id", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
     at = lookup_join(demand.select("location_id", "hour_timestamp", value), place, ["location_id"])
-    spots = (
-        at.filter(F.col("lat").isNotNull())
-        .groupBy("lat", "lon", "hour_timestamp")
-        .agg(F.sum(value).alias("_v"))
-        .withColumns({"cx": cell("lat"), "cy": cell("lon")})
-    )
+    spots = at.filter(F.col("lat").isNotNull()).groupBy("lat", "lon", "hour_timestamp").agg(F.sum(value).alias("_v"))
     # Only places with demand can ask or answer.
-    points = spots.select("lat", "lon").distinct()
-    reach = CELLS_PER_RADIUS + 1
-    around = F.sequence(F.lit(-reach), F.lit(reach))
-    probes = points.withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around))
-    probes = probes.withColumns({"cx": cell("lat") + F.col("dx"), "cy": cell("lon") + F.col("dy")})
-
-    def gaps(low: Column, high: Column, p: Column) -> tuple[Column, Column]:
-        near = F.greatest(low - p, p - high, F.lit(0.0))
-        far = F.greatest(F.abs(p - low), F.abs(p - high))
-        return near, far
-
-    nx, fx = gaps(F.col("cx") * size, (F.col("cx") + 1) * size, F.col("lat"))
-    ny, fy = gaps(F.col("cy") * size, (F.col("cy") + 1) * size, F.col("lon"))
-    slack = 1e-9
-    probes = probes.withColumns(
-        {"inside": F.sqrt(fx * fx + fy * fy) < radius * (1 - slack), "_near": F.sqrt(nx * nx + ny * ny)}
-    ).filter(F.col("_near") <= radius * (1 + slack))
-
-    cells = spots.groupBy("cx", "cy", "hour_timestamp").agg(F.sum("_v").alias("_v"))
-    inner = probes.filter("inside").select("lat", "lon", "cx", "cy").join(cells, ["cx", "cy"])
-    others = points.select(
-        F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), cell("lat").alias("cx"), cell("lon").alias("cy")
-    )
-    rim = (
-        probes.filter("NOT inside")
-        .join(others, ["cx", "cy"])
-        .filter(C.planar_distance("lat", "lon", "lat2", "lon2") <= km)
-        .select("lat", "lon", "lat2", "lon2")
-    )
-    outer = rim.join(
-        spots.select(F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), "hour_timestamp", "_v"), ["lat2", "lon2"]
-    )
+    around = neighbourhood(spots.select("lat", "lon").distinct(), radius)
+    own = F.array(F.struct(F.lit(SINGLE).alias("level"), F.col("lat").alias("kx"), F.col("lon").alias("ky")))
+    nodes = _cells(spots, radius).select("hour_timestamp", "_v", F.inline(F.concat("cells", own)))
+    totals = nodes.groupBy("level", "kx", "ky", "hour_timestamp").agg(F.sum("_v").alias("_v"))
+    asked = spots.select("lat", "lon", "hour_timestamp").join(around, ["lat", "lon"])
     sums = (
-        inner.select("lat", "lon", "hour_timestamp", "_v")
-        .unionByName(outer.select("lat", "lon", "hour_timestamp", "_v"))
+        splittable_join(asked, totals, ["level", "kx", "ky", "hour_timestamp"], "inner")
         .groupBy("lat", "lon", "hour_timestamp")
         .agg(F.sum("_v").alias("_around"))
     )
-    own = F.when(F.col("_around").isNull(), F.lit(0)).otherwise(F.col("_around") - F.col(value))
+    others = F.when(F.col("_around").isNull(), F.lit(0)).otherwise(F.col("_around") - F.col(value))
     return (
         at.join(sums, ["lat", "lon", "hour_timestamp"], "left")
-        .withColumn("nearby_zones_demand", own.cast("bigint"))
+        .withColumn("nearby_zones_demand", others.cast("bigint"))
         .select("location_id", "hour_timestamp", value, "nearby_zones_demand")
     )

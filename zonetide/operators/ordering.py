@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonetide.functions import fixed_values as V
@@ -66,6 +66,48 @@ def paginate(df: DataFrame, order: list[str], page: int, size: int) -> DataFrame
     )
 
 
+ROWS_PER_BUCKET = 100_000
+
+
+def build_pages(df: DataFrame, order: list[str], path: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> None:
+    """Store a listing in range buckets of its order, with a directory of how many rows each holds and come before it.
+
+    Any page is then read from the one or two buckets that hold it (`read_page`), however deep it lies. The order's columns must
+    be unique together; buckets are of about `rows_per_bucket` rows.
+    """
+    spark = df.sparkSession
+    n = df.agg(F.count(F.lit(1))).first()[0]
+    ranged = df.repartitionByRange(max(1, -(-n // rows_per_bucket)), *sort_keys(order))
+    ranged.withColumn("bucket", F.spark_partition_id()).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows")
+    # A row per bucket: the window over them is small whatever the listing.
+    counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    ahead = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts.withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0))).coalesce(1).write.mode("overwrite").parquet(
+        f"{path}/directory"
+    )
+
+
+def read_page(spark: SparkSession, path: str, order: list[str], page: int, size: int) -> DataFrame:
+    """One page of a listing stored by `build_pages`, with the columns of `paginate`: only the buckets that hold it are read."""
+    if page < 1 or size < 1:
+        raise ValueError("page and size start at 1")
+    start = (page - 1) * size
+    buckets = spark.read.parquet(f"{path}/directory").collect()
+    total = sum(b["n"] for b in buckets)
+    held = [b for b in buckets if b["before"] < start + size and b["before"] + b["n"] > start]
+    rows = spark.read.parquet(f"{path}/rows").filter(F.col("bucket").isin([b["bucket"] for b in held])).drop("bucket")
+    skip = start - min((b["before"] for b in held), default=start)
+    return rows.orderBy(*sort_keys(order)).offset(skip).limit(size).withColumns(
+        {
+            "total_count": F.lit(total).cast("bigint"),
+            "page": F.lit(page),
+            "page_size": F.lit(size),
+            "total_pages": F.lit(-(-total // size)).cast("bigint"),
+        }
+    )
+
+
 def page_after(df: DataFrame, ts_col: str, tie: str, after: tuple | None, size: int) -> DataFrame:
     """The next page of a newest-first listing after the (time, id) of the last row seen.
 

@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from zonetide.functions import bitmaps
 from zonetide.functions import columns as C
 from zonetide.functions import fixed_values as V
 from zonetide.operators import filters as P
 from zonetide.operators import joins as J
 
+
 def n_rows() -> Column:
     return F.count(F.lit(1))
 
 
-
 def _mean(c: str | Column, name: str) -> Column:
     return F.avg(c).alias(name)
 
@@ -286,15 +287,53 @@ def demand_stats(features: DataFrame, since=None) -> DataFrame:
 
 
 def fare_stats(features: DataFrame, since=None) -> DataFrame:
+    """One row of figures over all trips.
+
+    Trips are added up per route first. Zones are counted by bitmaps over the routes, so no copy of a trip is made for a count.
+    """
     rows = features if since is None else features.filter(F.col("feature_date") >= F.lit(since).cast("date"))
-    return rows.agg(
-        n_rows().alias("total_trips"),
-        _mean("fare_amount", "avg_fare"),
-        F.stddev("fare_amount").alias("stddev_fare"),
-        _mean("trip_distance", "avg_distance"),
-        _mean("trip_duration_minutes", "avg_duration"),
-        F.countDistinct("pickup_zone_id").alias("unique_pickup_zones"),
-        F.countDistinct("dropoff_zone_id").alias("unique_dropoff_zones"),
+    means = {"fare_amount": "avg_fare", "trip_distance": "avg_distance", "trip_duration_minutes": "avg_duration"}
+    sides = {"pickup_zone_id": "unique_pickup_zones", "dropoff_zone_id": "unique_dropoff_zones"}
+    figures = ["_rows", "_spread", *[f"{c}_sum" for c in means], *[f"{c}_n" for c in means]]
+    routes = rows.groupBy(*sides).agg(
+        n_rows().alias("_rows"),
+        # Squared distances from the route's own mean, and of that mean from nought: they add up over routes.
+        (F.var_pop("fare_amount") * F.count("fare_amount") + F.count("fare_amount") * F.pow(F.avg("fare_amount"), 2)).alias("_spread"),
+        *[F.sum(c).alias(f"{c}_sum") for c in means],
+        *[F.count(c).alias(f"{c}_n") for c in means],
+    )
+    # A row for each pair of value ranges, which is one row up to 32,768 zones.
+    ranges = routes.groupBy(*[bitmaps.bucket(c).alias(f"{c}_bucket") for c in sides]).agg(
+        *[F.sum(c).alias(c) for c in figures], *[bitmaps.bits(c).alias(f"{c}_bits") for c in sides]
+    )
+    parts = ranges.select(
+        F.explode(
+            F.array(
+                F.struct(*[F.col(c) for c in figures], F.lit(None).cast("string").alias("side"),
+                         F.lit(None).cast("bigint").alias("bucket"), F.lit(None).cast("binary").alias("bits")),
+                *[
+                    F.struct(*[F.lit(None).cast(routes.schema[c].dataType).alias(c) for c in figures], F.lit(c).alias("side"),
+                             F.col(f"{c}_bucket").alias("bucket"), F.col(f"{c}_bits").alias("bits"))
+                    for c in sides
+                ],
+            )
+        ).alias("p")
+    ).select("p.*")
+    merged = parts.groupBy("side", "bucket").agg(*[F.sum(c).alias(c) for c in figures], F.bitmap_or_agg("bits").alias("bits"))
+    n, total = F.sum("fare_amount_n"), F.sum("fare_amount_sum")
+    spread = F.greatest(F.sum("_spread") - total * total / F.nullif(n, F.lit(0)), F.lit(0.0))
+    zones = {
+        name: F.coalesce(F.sum(F.when((F.col("side") == c) & F.col("bucket").isNotNull(), F.bitmap_count("bits"))), F.lit(0))
+        for c, name in sides.items()
+    }
+    mean = {c: F.sum(f"{c}_sum") / F.nullif(F.sum(f"{c}_n"), F.lit(0)) for c in means}
+    return merged.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_trips"),
+        mean["fare_amount"].alias("avg_fare"),
+        F.sqrt(spread / F.nullif(n - 1, F.lit(0))).alias("stddev_fare"),
+        mean["trip_distance"].alias("avg_distance"),
+        mean["trip_duration_minutes"].alias("avg_duration"),
+        *[c.alias(name) for name, c in zones.items()],
     )
 
 

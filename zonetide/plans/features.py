@@ -216,8 +216,9 @@ def fare_features(
     as_of,
     length: str | None = "7 days",
     max_zones: int | None = None,
+    emit: str | None = None,
 ) -> DataFrame:
-    """Fare features of a trip between two known zones.
+    """Fare features of a trip between two known zones: of the trips of `emit` before `as_of`, or of all.
 
     Route and zone-hour means include the trip itself and all fares, valid or not, as the model's contract has it:
     knowingly a leak of the target.
@@ -240,6 +241,7 @@ def fare_features(
 
     place = zones.withColumn("code", C.borough_code("borough"))
     t = P.positive(recent, ["fare_amount", "trip_distance"])
+    t = t if emit is None else P.trailing(t, "pickup_datetime", as_of, emit)
     t = J.join_both_zones(t, place, ["borough", "zone_type", "latitude", "longitude", "code"], "inner", max_zones)
     t = t.withColumn("hour_timestamp", C.hour_of("pickup_datetime"))
     w = weather.withColumns(

@@ -6,19 +6,31 @@ exactly those, so a backfill leaves later days alone. Small logs (marks, landed
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonetide.functions import columns as C
+from zonetide.operators import changes as X
 from zonetide.operators import curate as U
 from zonetide.operators import rollups as A
 from zonetide.plans import features as M
 from zonetide.sources import readers, schemas
+from zonetide.tables import rollup
 from zonetide.tables import store as K
 
+DEMAND_PAIRS = {
+    "demand_temp_corr": ("target_demand", "temperature_celsius"),
+    "demand_seasonal_corr": ("target_demand", "demand_24h_ago"),
+    "demand_popularity_corr": ("target_demand", "zone_popularity_score"),
+}
+#: Days over which route means are taken, whatever days are emitted.
+ROUTE_DAYS = 7
 #: Pickups before this, or more than a day after the load, are mistakes of the meter.
 EARLIEST = datetime(2000, 1, 1)
 
@@ -51,6 +63,16 @@ class Lake:
         """Trips of a time range; months outside it are not read."""
         return readers.read_trips_between(self.spark, self.path("trips"), since, until, schemas.CURATED_TRIPS)
 
+    @contextmanager
+    def staged(self, rows: DataFrame) -> Iterator[DataFrame]:
+        """Rows written beside the tables and read back, so that several steps use them and make them once."""
+        path = self.path(f"_staged/{uuid.uuid4().hex}")
+        rows.write.parquet(path)
+        try:
+            yield self.spark.read.schema(rows.schema).parquet(path)
+        finally:
+            K.delete(self.spark, path)
+
     def append(self, table: str, rows: DataFrame) -> None:
         schema, parts = schemas.OUTPUT_TABLES[table]
         K.write_table(K.conform(rows, schema), self.path(table), "append", parts)
@@ -91,45 +113,49 @@ def whole_days(as_of: datetime, days: int) -> Days:
 
 # --- landing --------------------------------------------------------------------------------------------------------
 
+def _same_file(name: str) -> Column:
+    """A file's name in one spelling, however many slashes follow its scheme."""
+    return F.regexp_replace(name, "^file:/+", "file:/")
+
+
 def land_trips(lake: Lake, raw_path: str, as_of: datetime) -> None:
     """Every valid trip of the files not landed yet, once, however old its pickup is.
 
-    What was read is known by file and time of change, never by the trips' own times. Rows with an impossible pickup go to
-    the bad table. Trips that are stored already are left out by their content, compared within the months of the new
-    rows only; so a file that comes twice, and a run that ended between its append and its log, add nothing.
+    What was read is known by file and time of change, never by the trips' own times: the listing is compared with the log of
+    landed files, and only files that it lacks are opened, once. Rows with an impossible pickup go to the bad table. Trips
+    that are stored already are left out by their content, compared within the months of the new rows only; so a file that
+    comes twice, and a run that ended between its append and its log, add nothing.
     """
     spark = lake.spark
-    raw = readers.read_trips(spark, raw_path, schemas.RAW_TRIPS).select(
-        "*",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_modification_time").alias("modified"),
-    )
-    landed = lake.read("landed_files").select("file", "modified")
-    files = raw.select("file", "modified").distinct().join(landed, ["file", "modified"], "left_anti")
+    landed = lake.read("landed_files").select(_same_file("file").alias("file"), "modified")
+    listed = readers.list_files(spark, raw_path).withColumn("file", _same_file("file"))
     # Few and small rows; taken once, so that files that arrive meanwhile wait for the next run.
-    names = [(r.file, r.modified) for r in files.toLocalIterator()]
+    names = [(r.file, r.modified) for r in listed.join(landed, ["file", "modified"], "left_anti").toLocalIterator()]
     if not names:
         return
     chosen = spark.createDataFrame(names, "file string, modified timestamp")
-    fresh = raw.join(chosen, ["file", "modified"], "left_semi")
+    raw = spark.read.schema(schemas.RAW_TRIPS).parquet(*[n for n, _ in names])
+    fresh = raw.select("*", F.col("_metadata.file_path").alias("file")).withColumn("file", _same_file("file"))
 
     pickup = F.col("tpep_pickup_datetime")
     wrong = (pickup < C.moment(EARLIEST)) | (pickup > C.moment(as_of + timedelta(days=1)))
     stamp = C.moment(as_of)
-    # Files that landed in a run that ended early are read again: their bad rows are known by their file.
-    bad = fresh.filter(wrong).withColumn("load_date", stamp)
-    lake.append("bad_trips", bad.join(lake.read("bad_trips").select("file").distinct(), "file", "left_anti"))
-
-    curated = K.conform(U.curate_trips(fresh.filter(~wrong), as_of), schemas.CURATED_TRIPS)
-    months = [(r.year, r.month) for r in curated.select("year", "month").distinct().collect()]
-    stored = None
-    if months and lake.exists("trips"):
-        touched = F.lit(False)
-        for year, month in months:
-            touched = touched | ((F.col("year") == year) & (F.col("month") == month))
-        stored = lake.read("trips").filter(touched)
-    lake.append("trips", K.not_stored(curated, stored, "pickup_datetime", but=("load_date",)))
-    newest = curated.agg(F.max("pickup_datetime")).first()[0]
+    with lake.staged(fresh.withColumn("_wrong", F.coalesce(wrong, F.lit(False)))) as read:
+        # Files that landed in a run that ended early are read again: their bad rows are known by their file.
+        bad = read.filter("_wrong").drop("_wrong").withColumn("load_date", stamp)
+        known = lake.read("bad_trips").select(_same_file("file").alias("file")).distinct()
+        lake.append("bad_trips", bad.join(known, "file", "left_anti"))
+
+        curated = K.conform(U.curate_trips(read.filter("NOT _wrong"), as_of), schemas.CURATED_TRIPS)
+        months = curated.groupBy("year", "month").agg(F.max("pickup_datetime").alias("newest")).collect()
+        stored = None
+        if months and lake.exists("trips"):
+            touched = F.lit(False)
+            for m in months:
+                touched = touched | ((F.col("year") == m["year"]) & (F.col("month") == m["month"]))
+            stored = lake.read("trips").filter(touched)
+        lake.append("trips", K.not_stored(curated, stored, "pickup_datetime", but=("load_date",)))
+    newest = max((m["newest"] for m in months), default=None)
     if newest is not None:
         lake.append("control", K.mark_row(spark, "trips", newest, as_of))
     lake.append("landed_files", chosen.withColumn("load_date", stamp))
@@ -147,6 +173,46 @@ def land_zones(lake: Lake, raw_path: str, as_of: datetime) -> None:
     K.full_refresh(K.conform(U.curate_zones(raw, as_of), schemas.ZONES), lake.path("zones"))
 
 
+# --- source tables and rollups --------------------------------------------------------------------------------------
+
+def merge_updates(lake: Lake, updates: DataFrame, batch: int) -> int:
+    """Bring a numbered batch of tip updates into `source_trips`; returns how many days were rewritten.
+
+    Only the days that hold an updated trip are read whole and rewritten. A batch that is logged already does nothing; one that
+    ended before its log is run again with the same result, and an update older than the stored row changes nothing.
+    """
+    done = lake.read("merged_batches").filter(F.col("table_name") == "source_trips").agg(F.max("batch")).first()[0]
+    if done is not None and batch <= done:
+        return 0
+    _, parts = schemas.OUTPUT_TABLES["source_trips"]
+    days = K.merge_partitions(
+        lake.spark, lake.path("source_trips"), parts, "id", updates,
+        lambda base, own: X.apply_updates(base, own, only_newer=True),
+    )
+    row = lake.spark.range(1).select(F.lit("source_trips").alias("table_name"), F.lit(batch).cast("bigint").alias("batch"))
+    lake.append("merged_batches", row)
+    return days
+
+
+def vendor_rollup(lake: Lake) -> rollup.Rollup:
+    """Trips, fares and distinct zones per vendor, kept by day."""
+    return rollup.Rollup(
+        lake.spark, lake.path("vendor_rollup"), "pickup_datetime", ("vendor_id",), sums=("passenger_count", "fare_amount"),
+        means=("trip_distance", "fare_amount"), distinct=("pickup_location_id", "payment_type"),
+    )
+
+
+def refresh_vendor_rollup(lake: Lake, since: datetime) -> list[date]:
+    """Make again the days that trips loaded after `since` fall into; returns them."""
+    days = rollup.late_days(lake.read("trips"), "pickup_datetime", "load_date", since)
+    if days:
+        first, last = days[0], days[-1]
+        midnight = datetime(first.year, first.month, first.day)
+        until = datetime(last.year, last.month, last.day) + timedelta(days=1, microseconds=-1)
+        vendor_rollup(lake).refresh(lake.trips(midnight, until), days)
+    return days
+
+
 # --- derived tables -------------------------------------------------------------------------------------------------
 
 def refresh_daily_summary(lake: Lake, day: datetime) -> None:
@@ -191,21 +257,27 @@ def refresh_demand_features_ml(lake: Lake, as_of: datetime, days: int = 1, mode:
 
 
 def refresh_fare_features(lake: Lake, as_of: datetime, days: int = 7) -> None:
-    """All days that are computed are replaced, not only the last one."""
-    d = whole_days(as_of, days)
+    """All days that are computed are replaced, not only the last one. Route means take a week even if fewer days are."""
+    d, history = whole_days(as_of, days), whole_days(as_of, max(days, ROUTE_DAYS))
     rows = M.fare_features(
-        lake.trips(d.since, d.until), lake.read("hourly_weather"), lake.read("zones"), d.until, d.length
-    )
+        lake.trips(history.since, d.until), lake.read("hourly_weather"), lake.read("zones"), d.until, history.length,
+        emit=d.length,
+    )
     lake.store_days("fare_features", rows.withColumn("created_at", C.moment(as_of)), d)
 
 
 def reports(lake: Lake, as_of: datetime, days: int = 1) -> dict[str, DataFrame]:
     """The reports over the stored tables, by name."""
     d = whole_days(as_of, days)
+    demand = lake.read("demand_features_ml").filter(F.col("feature_date") >= F.lit(d.first))
     return {
         "summary_by_condition": A.summary_by_condition(lake.read("trip_weather_correlation"), d.first),
         "top_zones_by_pickups": A.top_zones_by_pickups(lake.read("zone_performance_metrics"), d.first),
         "condition_demand_impact": A.condition_demand_impact(lake.read("demand_features_analytics"), d.since),
         "demand_stats": A.demand_stats(lake.read("demand_features_ml"), d.first),
         "fare_stats": A.fare_stats(lake.read("fare_features"), d.first),
+        "demand_correlation": A.feature_correlation(demand, DEMAND_PAIRS, need="demand_24h_ago"),
+        "monthly_load": A.monthly_load_stats(lake.read("trips")),
+        "daily_weather": A.daily_weather_stats(lake.read("hourly_weather")),
+        "zones_by_borough": A.zones_by_borough(lake.read("zones")),
     }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -139,17 +141,18 @@ def weather_impact(trips: DataFrame, weather: DataFrame, start, end) -> DataFram
 def realtime_activity(trips: DataFrame, zones: DataFrame, as_of, minutes: int = 60) -> DataFrame:
     """Zones of the last minutes by activity score."""
     recent = A.zone_activity_recent(trips, as_of, f"{P.check_bound('minutes_back', minutes)} minutes")
-    return activity_report(recent, zones)
+    return activity_report(recent, zones, as_of)
 
 
-def activity_report(recent: DataFrame, zones: DataFrame) -> DataFrame:
-    """Scores and names for `zone_activity_recent` rows of any interval."""
+def activity_report(recent: DataFrame, zones: DataFrame, as_of) -> DataFrame:
+    """Scores and names for `zone_activity_recent` rows of any interval up to `as_of`."""
     active = P.min_activity(recent, "pickup_count", 0)
     return (
         _named(active, zones, "zone_id")
         .select(
             "zone_id",
             "zone_name",
+            C.moment(as_of).alias("activity_timestamp"),
             C.rnd(C.serving_activity_score("pickup_count", "revenue_last_hour"), 4).alias("activity_score"),
             "pickup_count",
             C.rnd("revenue_last_hour", 2).alias("revenue_last_hour"),
@@ -173,6 +176,23 @@ def time_series(trips: DataFrame, metric: str, as_of, days: int = 7) -> DataFram
     )
 
 
+def all_series(trips: DataFrame, as_of, days: int = 7, metrics: Sequence[str] = tuple(V.METRICS)) -> DataFrame:
+    """Several metrics as `time_series` gives each, from one pass over the trips."""
+    columns = {"trip_count": "trip_count", "revenue": "total_revenue", "avg_fare": "avg_fare"}
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(m).alias("metric_name"),
+                F.lit(V.METRICS[m]).alias("unit"),
+                F.col("hour").alias("timestamp"),
+                F.col(columns[m]).cast("double").alias("value"),
+            )
+            for m in metrics
+        ]
+    )
+    return A.hourly_series(trips, as_of, days).select(F.inline(rows))
+
+
 def future_rows(forecast_rows: DataFrame, as_of) -> DataFrame:
     """Forecast rows at or after a time."""
     return forecast_rows.filter(F.col("prediction_hour") >= C.moment(as_of)).select(

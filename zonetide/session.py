@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Timestamps are compared and truncated in UTC everywhere.
@@ -38,6 +41,20 @@ def build_session(app: str = "zonetide", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for a job's tables, below the one that driver and executors share.
+
+    The session names that one in `spark.checkpoint.dir`. Where it names none, a temporary folder serves a local session; on
+    several machines each would write to its own disk, so there the job ends.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        named = tempfile.mkdtemp(prefix="zonetide-")
+    return f"{named.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on to a session built elsewhere."""
     for key, value in RUNTIME_CONF.items():

@@ -22,6 +22,14 @@ def read_trips(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     return reader.parquet(path)
 
 
+def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
+    """`file` and `modified` of the files under a path. Only the listing is read: no file is opened."""
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    )
+    return listed.select(F.col("path").alias("file"), F.col("modificationTime").alias("modified"))
+
+
 def read_trips_between(spark: SparkSession, path: str, start: datetime, end: datetime, schema=None) -> DataFrame:
     """Trips of a table partitioned by (year, month) with pickup in [start, end].
 

@@ -152,6 +152,13 @@ OUTPUT_TABLES = {
         (),
     ),
     "control": (CONTROL, ()),
+    "source_trips": (
+        "id bigint, vendor_id int, pickup_datetime timestamp, dropoff_datetime timestamp, trip_distance double, "
+        "fare_amount double, extra double, mta_tax double, tip_amount double, tolls_amount double, total_amount double, "
+        "updated_at timestamp, pickup_date date",
+        ("pickup_date",),
+    ),
+    "merged_batches": ("table_name string, batch bigint", ()),
     "landed_files": ("file string, modified timestamp, load_date timestamp", ()),
     "bad_trips": (f"{RAW_TRIPS}, file string, load_date timestamp", ()),
     "trips": (CURATED_TRIPS, ("year", "month")),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -52,7 +52,9 @@ def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 def write_table(
     df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = (), compression: str = "zstd"
 ) -> None:
+    """`overwrite` replaces the folder as a whole, whatever the session says of single partitions."""
     out = _clustered(df, partition_by).write.mode(mode).option("compression", compression)
+    out = out.option("partitionOverwriteMode", "static")
     (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
 
 
@@ -107,45 +109,65 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def numbered(spark: SparkSession, path: str, name: str) -> dict[int, str]:
-    """The folders `<name>=<number>` under a path."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = {}
-    for status in files.listStatus(place) if files.exists(place) else ():
-        key, _, number = status.getPath().getName().partition("=")
-        if key == name and number.isdigit():
-            found[int(number)] = status.getPath().toString()
-    return found
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a pattern fits, in whatever store they lie."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return [status.getPath().toString() for status in found or ()]
 
 
-def drop_older(spark: SparkSession, path: str, name: str, upto: int) -> None:
-    """Drop the numbered folders up to `upto`."""
-    for number, folder in numbered(spark, path, name).items():
-        if number <= upto:
-            _delete(spark, folder)
+def replace_days(df: DataFrame, path: str, day_col: str, first: date, last: date) -> None:
+    """Make `df` the content of the days first to last of a table partitioned by day; other days are not touched."""
+    replace_day_set(df, path, day_col, [first + timedelta(days=n) for n in range((last - first).days + 1)])
 
 
-def replace_days(df: DataFrame, path: str, day_col: str, first: date, last: date) -> None:
-    """Make `df` the content of the days first to last of a table partitioned by day; other days are not touched.
+def replace_day_set(df: DataFrame, path: str, day_col: str, days: Sequence[date]) -> None:
+    """Make `df` the content of these days of a table partitioned by day; other days are not touched.
 
-    Only the produced day partitions are written, in place, and days of the range that have no rows any more are
+    Only the produced day partitions are written, in place, and days of the set that have no rows any more are
     emptied. A row of another day, or of none, ends the job before anything is replaced.
     """
     seen = Observation()
-    inside = F.col(day_col).between(F.lit(first), F.lit(last))
-    rows = _checked(df, inside, f"a row is outside {first} to {last}")
+    inside = F.col(day_col).isin(*days)
+    rows = _checked(df, inside, f"a row is outside {min(days)} to {max(days)}, or of a day between that is not replaced")
     replace_partitions(rows.observe(seen, F.collect_set(day_col).alias("days")), path, [day_col])
     produced = {str(d) for d in seen.get["days"] or []}
-    for n in range((last - first).days + 1):
-        day = str(first + timedelta(days=n))
-        if day not in produced:
-            _delete(df.sparkSession, f"{path.rstrip('/')}/{day_col}={day}")
+    for day in days:
+        if str(day) not in produced:
+            delete(df.sparkSession, f"{path.rstrip('/')}/{day_col}={day}")
+
+
+def merge_partitions(
+    spark: SparkSession,
+    path: str,
+    partition_by: Sequence[str],
+    key: str,
+    changes: DataFrame,
+    apply: Callable[[DataFrame, DataFrame], DataFrame],
+) -> int:
+    """Rewrite the partitions of a stored table that hold a key of `changes`; returns how many there were.
+
+    The keys and partition columns alone tell which partitions those are; only their rows are read whole, given to `apply` with
+    the changes, and written in place of what was there. A partition without such a key is neither read nor written.
+    """
+    stored = spark.read.parquet(path)
+    asked = changes.select(key).distinct()
+    found = stored.select(key, *partition_by).join(asked, key, "left_semi").select(*partition_by).distinct().collect()
+    if not found:
+        return 0
+    inside = F.lit(False)
+    for row in found:
+        own = F.lit(True)
+        for name in partition_by:
+            own = own & F.col(name).eqNullSafe(F.lit(row[name]))
+        inside = inside | own
+    replace_partitions(apply(stored.filter(inside), changes).select(*stored.columns), path, partition_by)
+    return len(found)
 
 
 def full_refresh(df: DataFrame, path: str) -> None:
