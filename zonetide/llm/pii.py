@@ -102,8 +102,11 @@ REACH = 48
 
 #: Matches before a span that may lie within REACH: none takes fewer than four characters.
 _EARLIER = -(-REACH // 4)
-#: Sums of runs this long are kept, so that a place's offset never adds up all lengths before it.
-_RUN = 256
+#: Runs this long are added up first and then one after the other, so that no place's offset adds up all lengths before it.
+_RUN = 64
+#: Code points of the pieces that a text is cut into before its spans are replaced, first into long ones, then into short ones:
+#: taking a part of a text counts its characters from its beginning on.
+_LONG, _SHORT = 1 << 16, 1 << 10
 
 
 def with_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str, str]]:
@@ -113,7 +116,7 @@ def with_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str
     matches in turn add up to offsets in code points.
     """
     names = {k.name: spare(docs, f"spans_{k.name}") for k in KINDS}
-    own = {k.name: [spare(docs, f"{p}_{k.name}") for p in ("match", "gap", "step", "run", "begin", "end", "piece")] for k in KINDS}
+    own = {k.name: [spare(docs, f"{p}_{k.name}") for p in ("match", "gap", "step", "run", "base", "begin", "end", "piece")] for k in KINDS}
     t = F.col(f"`{text}`")
     none = F.expr("cast(array() as array<string>)")
     out = docs.withColumns(
@@ -125,9 +128,9 @@ def with_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str
     out = out.withColumns(
         {own[k.name][1]: F.when(F.size(own[k.name][0]) > 0, F.split(t, k.pattern, -1)).otherwise(none) for k in KINDS}
     )
-    steps, runs, begins, ends, pieces, spans = {}, {}, {}, {}, {}, {}
+    steps, runs, bases, begins, ends, pieces, spans = {}, {}, {}, {}, {}, {}, {}
     for k in KINDS:
-        m, g, step, run, begin, end, piece = own[k.name]
+        m, g, step, run, base, begin, end, piece = own[k.name]
         length = str(k.head) if k.head else f"char_length(`{m}`[greatest(i - 1, 0)])"
         steps[step] = F.expr(
             f"transform(`{m}`, (x, i) -> bigint(char_length(`{g}`[i]) + if(i = 0, 0, {length})))"
@@ -136,9 +139,14 @@ def with_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str
             f"if(size(`{m}`) = 0, cast(array() as array<bigint>), transform(sequence(0, (size(`{m}`) - 1) div {_RUN}), "
             f"b -> aggregate(slice(`{step}`, int(b * {_RUN} + 1), {_RUN}), 0L, (a, x) -> a + x)))"
         )
+        bases[base] = F.expr(
+            f"transform(`{run}`, (x, b) -> aggregate(slice(`{run}`, 1, b), 0L, (a, y) -> a + y))"
+        )
+        # A column that is named once only would be moved to where it is named, into the function, and made for every match:
+        # its size is asked for besides.
         begins[begin] = F.expr(
-            f"transform(`{step}`, (x, i) -> aggregate(slice(`{run}`, 1, int(i div {_RUN})), 0L, (a, y) -> a + y) + "
-            f"aggregate(slice(`{step}`, int(i div {_RUN}) * {_RUN} + 1, i % {_RUN} + 1), 0L, (a, y) -> a + y))"
+            f"if(size(`{base}`) = 0, cast(array() as array<bigint>), transform(`{step}`, (x, i) -> `{base}`[int(i div {_RUN})] + "
+            f"aggregate(slice(`{step}`, int(i div {_RUN}) * {_RUN} + 1, i % {_RUN} + 1), 0L, (a, y) -> a + y)))"
         )
         # What stands before a match: its gap's end and, where the gap is short, the matches and gaps before that.
         took = f"left(x, {k.head})" if k.head else f"right(x, {REACH})"
@@ -152,13 +160,14 @@ def with_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str
             f"round({k.start} + {CHECKED if k.checked else 0.0} + if(lower({before}) rlike "
             f"'(?<![a-z])(?:{k.context})', {NEARBY}, 0.0D), 2)"
         )
+        nothing = "cast(array() as array<struct<s:bigint,e:bigint,v:string,d:string,score:double>>)"
         keep = k.valid if k.certain else f"({k.valid}) and x.score >= {LEAST}"
         spans[names[k.name]] = F.expr(
-            f"filter(transform(transform(`{m}`, w -> {k.value}), (v, i) -> struct(`{begin}`[i] as s, "
+            f"if(size(`{piece}`) = 0, {nothing}, filter(transform(transform(`{m}`, w -> {k.value}), (v, i) -> struct(`{begin}`[i] as s, "
             f"`{begin}`[i] + char_length(v) as e, v, "
-            f"regexp_replace(v, '[^0-9]', '') as d, least(1.0D, double({score})) as score)), x -> {keep})"
+            f"regexp_replace(v, '[^0-9]', '') as d, least(1.0D, double({score})) as score)), x -> {keep}))"
         )
-    for columns in (steps, runs, begins, ends, pieces, spans):
+    for columns in (steps, runs, bases, begins, ends, pieces, spans):
         out = out.withColumns(columns)
     return out.drop(*[c for cs in own.values() for c in cs]), names
 
@@ -199,15 +208,41 @@ def redact(docs: DataFrame) -> DataFrame:
     stays null. Columns, their order and all other values stay.
     """
     found, names = with_spans(docs)
-    everything, out = spare(docs, "spans_all"), spare(docs, "redacted")
+    everything, cuts, parts, out = (spare(docs, n) for n in ("spans_all", "span_cuts", "text_parts", "redacted"))
     tagged = ", ".join(
         f"transform(`{names[k.name]}`, x -> struct(x.s as s, x.e as e, '<{k.name.upper()}>' as tag))" for k in KINDS
     )
     found = found.withColumn(everything, F.expr(f"array_sort(concat({tagged}))"))
+    # Runs of spans at a time, so that what has been gathered is not copied for every span. A cut is the text between the end of the
+    # last span and the start of this one, and its tag; a span that begins before that end has none.
+    none = "cast(array() as array<struct<since:bigint,upto:bigint,tag:string>>)"
+    kept = (
+        "aggregate(slice(`{all}`, int(c * {run} + 1), {run}), struct(a.at as at, {none} as done), "
+        "(b, x) -> struct(greatest(b.at, x.e) as at, "
+        "if(x.s < b.at, b.done, array_append(b.done, struct(b.at as since, x.s as upto, x.tag as tag))) as done))"
+    ).format(all=everything, run=_RUN, none=none)
+    folded = (
+        f"aggregate(sequence(0, (size(`{everything}`) - 1) div {_RUN}), struct(0L as at, cast(array() as "
+        "array<array<struct<since:bigint,upto:bigint,tag:string>>>) as done), "
+        f"(a, c) -> transform(array({kept}), r -> struct(r.at as at, array_append(a.done, r.done) as done))[0], "
+        "a -> struct(a.at as at, flatten(a.done) as done))"
+    )
+    empty = f"struct(0L as at, {none} as done)"
+    found = found.withColumn(cuts, F.expr(f"if(size(`{everything}`) > 0, {folded}, {empty})"))
+    cut_up = "transform(sequence(0, greatest(char_length({x}) - 1, 0) div {n}), i -> substr({x}, int(i * {n} + 1), {n}))"
+    long = cut_up.format(x="text", n=_LONG)
+    short = f"flatten(transform({long}, w -> {cut_up.format(x='w', n=_SHORT).replace('i ->', 'j ->').replace('i *', 'j *')}))"
+    found = found.withColumn(parts, F.expr(f"if(size(`{everything}`) > 0, {short}, cast(array() as array<string>))"))
+
+    def between(since: str, upto: str) -> str:
+        first = f"int({since} div {_SHORT})"
+        count = f"int(({upto} - 1) div {_SHORT} - {since} div {_SHORT} + 1)"
+        whole = f"array_join(slice(`{parts}`, {first} + 1, {count}), '')"
+        return f"if({upto} <= {since}, '', substr({whole}, int({since} % {_SHORT} + 1), int({upto} - {since})))"
+
     done = F.expr(
-        f"aggregate(`{everything}`, struct(0L as at, '' as done), (a, x) -> struct(greatest(a.at, x.e) as at, "
-        "if(x.s < a.at, a.done, concat(a.done, substr(text, int(a.at + 1), int(x.s - a.at)), x.tag)) as done), "
-        "a -> concat(a.done, substr(text, int(a.at + 1))))"
+        f"concat(array_join(transform(`{cuts}`.done, x -> concat({between('x.since', 'x.upto')}, x.tag)), ''), "
+        f"{between(f'`{cuts}`.at', 'bigint(char_length(text))')})"
     )
     found = found.withColumn(out, F.when(F.size(everything) > 0, done).otherwise(F.col("text")))
     columns = []
