@@ -54,6 +54,11 @@ NUMBER, NAME, UNIT = (np.uint64(_digest(f"\0{kind}")) for kind in ("number", "na
 SLOTS = frozenset(map(int, (NUMBER, NAME, UNIT)))
 #: Stands for the end of a line.
 BREAK = "\0"
+#: Characters of scripts that put no spaces between words: each counts as a word. Thai to Khmer, Han, kana, and what goes with them.
+_UNSPACED = re.compile("[\u0e01-\u0e4e\u0e81-\u0eff\u1000-\u109f\u1780-\u17d3\u2e80-\u2fdf\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff"
+                       "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+#: Items of fewer words than this count only where they are a sentence or a line of their own.
+ALONE = 3
 
 
 def _template(raw: str) -> tuple[int, int, int, bool, bool]:
@@ -103,10 +108,12 @@ class Templates:
                 table[k : k + len(new)] = column
         return np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
 
-    def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens, values, and which words may also be a name: a capital that begins a sentence does not tell. A unit only
-        counts as one after a number, and a line begins a sentence.
+    def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens, values, which words may also be a name (a capital that begins a sentence does not tell), and which begin
+        a sentence. A unit only counts as one after a number, and a line begins a sentence.
         """
+        if not text.isascii():
+            text = _UNSPACED.sub(r" \g<0> ", text)
         at = self._learn(text.replace("\n", f" {BREAK} ").split())
         at = at[self.ends[at] | self.counts[at]]
         begins = np.concatenate([[True], self.ends[at[:-1]]]) if len(at) else np.array([], dtype=bool)
@@ -115,7 +122,7 @@ class Templates:
         unsure = (begins & (self.elsewhere[at] == NAME))[counts]
         tokens, values = tokens[counts], self.value[at][counts]
         after = np.concatenate([[0], tokens[:-1]]).astype(np.uint64) if len(tokens) else tokens
-        return np.where((tokens == UNIT) & (after != NUMBER), values, tokens), values, unsure
+        return np.where((tokens == UNIT) & (after != NUMBER), values, tokens), values, unsure, begins[counts]
 
 
 def windows(tokens: np.ndarray, unsure: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -177,8 +184,13 @@ class Index:
         read, self.words = Templates(), words
         self.items: list[Item] = []
         self.of: dict[int, list[int]] = defaultdict(list)
+        #: Of items too short for a window, by their number of words: the digest of their values, and what has it.
+        self.short: dict[int, dict[int, list[tuple[object, list[int]]]]] = defaultdict(lambda: defaultdict(list))
         for item_id, text in items:
-            tokens, values, unsure = read.read(text)
+            tokens, values, unsure, _ = read.read(text)
+            if 0 < len(tokens) < words:
+                whole = int(windows(values, np.zeros(len(values), dtype=bool), len(values))[0][0])
+                self.short[len(values)][whole].append((item_id, values.tolist()))
             places: dict[int, list[int]] = defaultdict(list)
             readings: dict[int, set[int]] = defaultdict(set)
             digests, at = (x.tolist() for x in windows(tokens, unsure, words))
@@ -206,11 +218,12 @@ class Index:
 
     def find(self, text: str, templates: Templates) -> list[tuple[object, int, int, float, str]]:
         """(item, windows, windows held, slot consistency, kind) of the items that the text holds."""
-        tokens, values, unsure = templates.read(text)
+        tokens, values, unsure, begins = templates.read(text)
+        short = self._verbatim(values, begins)
         digests, places = windows(tokens, unsure, self.words)
         hits = self.hits(digests)
         if not len(hits):
-            return []
+            return short
         where: dict[int, dict[int, dict[int, None]]] = defaultdict(dict)
         for at, digest in sorted(zip(places[hits].tolist(), digests[hits].tolist())):
             for number in self.of[digest]:
@@ -225,6 +238,21 @@ class Index:
             if max(consistency, same) >= CONSISTENT:
                 kind = "same" if same >= CONSISTENT else "reparameterised"
                 out.append((item.item_id, len(item.places), len(held), consistency, kind))
+        return short + out
+
+    def _verbatim(self, values: np.ndarray, begins: np.ndarray) -> list[tuple[object, int, int, float, str]]:
+        """Items of fewer words than a window that the text has word for word, values included."""
+        out = []
+        for n, own in self.short.items():
+            digests = windows(values, np.zeros(len(values), dtype=bool), n)[0]
+            known = np.fromiter(own, dtype=np.uint64, count=len(own))
+            seen = set()
+            for at in np.nonzero(np.isin(digests, known))[0].tolist():
+                alone = begins[at] and (at + n == len(values) or begins[at + n])
+                for item_id, words in own[int(digests[at])]:
+                    if (n >= ALONE or alone) and item_id not in seen and values[at : at + n].tolist() == words:
+                        seen.add(item_id)
+                        out.append((item_id, 1, 1, 1.0, "same"))
         return out
 
 
@@ -278,8 +306,9 @@ def find_contamination(docs: DataFrame, items: DataFrame, words: int = WORDS) ->
 
     A document holds an item when it has at least 80 % of its five-word template windows and the slots fit: at least 85 %
     hold the item's own values, or, of those whose value the item repeats, map it to one value each time. A capitalised word
-    that begins a sentence is read both as a name and as itself, on either side. Items with equal texts count once, under their smallest id; items
-    with fewer than five words have no window and are never found; null texts are empty. Null ids stay, repeated
+    that begins a sentence is read both as a name and as itself, on either side. Items with equal texts count once, under their smallest id. In scripts
+    without spaces every character is a word. Items with fewer than five words are found where they stand word for word, those of one or
+    two as a sentence or line of their own; items without a word never; null texts are empty. Null ids stay, repeated
     documents repeat, an empty table on either side gives an empty result, other columns are not read.
 
     The benchmark is a stated query set: it is taken in blocks of a measured size, each broadcast and joined to all
