@@ -79,7 +79,9 @@ def build_pages(df: DataFrame, order: list[str], path: str, rows_per_bucket: int
     n = df.agg(F.count(F.lit(1))).first()[0]
     ranged = df.repartitionByRange(max(1, -(-n // rows_per_bucket)), *sort_keys(order))
     ranged.withColumn("bucket", F.spark_partition_id()).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/rows")
-    rows = spark.read.parquet(f"{path}/rows")
+    # The columns, which an empty listing would not tell.
+    df.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/columns")
+    rows = _listing(spark, path)
     # A row per bucket: the window over them is small whatever the listing.
     counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     ahead = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -88,6 +90,11 @@ def build_pages(df: DataFrame, order: list[str], path: str, rows_per_bucket: int
     )
 
 
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    schema = spark.read.parquet(f"{path}/columns").schema.add("bucket", "integer")
+    return spark.read.schema(schema).parquet(f"{path}/rows")
+
+
 def read_page(spark: SparkSession, path: str, order: list[str], page: int, size: int) -> DataFrame:
     """One page of a listing stored by `build_pages`, with the columns of `paginate`: only the buckets that hold it are read."""
     if page < 1 or size < 1:
@@ -96,7 +103,7 @@ def read_page(spark: SparkSession, path: str, order: list[str], page: int, size:
     buckets = spark.read.parquet(f"{path}/directory").collect()
     total = sum(b["n"] for b in buckets)
     held = [b for b in buckets if b["before"] < start + size and b["before"] + b["n"] > start]
-    rows = spark.read.parquet(f"{path}/rows").filter(F.col("bucket").isin([b["bucket"] for b in held])).drop("bucket")
+    rows = _listing(spark, path).filter(F.col("bucket").isin([b["bucket"] for b in held])).drop("bucket")
     skip = start - min((b["before"] for b in held), default=start)
     return rows.orderBy(*sort_keys(order)).offset(skip).limit(size).withColumns(
         {

@@ -330,7 +330,7 @@ def fare_stats(features: DataFrame, since=None) -> DataFrame:
     return merged.agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_trips"),
         mean["fare_amount"].alias("avg_fare"),
-        F.sqrt(spread / F.nullif(n - 1, F.lit(0))).alias("stddev_fare"),
+        F.when(n > 1, F.sqrt(spread / (n - 1))).alias("stddev_fare"),
         mean["trip_distance"].alias("avg_distance"),
         mean["trip_duration_minutes"].alias("avg_duration"),
         *[c.alias(name) for name, c in zones.items()],
