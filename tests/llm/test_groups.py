@@ -257,7 +257,7 @@ def test_names_that_begin_sentences(make, spark):
 
 def test_every_reading_of_a_window():
     words = "Ann. Bob. Cy dines. Dee said Eve ran. Flo and Gus".split()
-    tokens, values, unsure = decontaminate.Templates().read(" ".join(words))
+    tokens, values, unsure, _ = decontaminate.Templates().read(" ".join(words))
     digests, places = decontaminate.windows(tokens, unsure)
     want = []
     for k in range(len(tokens) - 4):
@@ -293,3 +293,59 @@ def test_long_licences(spark, make):
     got = {r.doc_id: (r.licence, r.notices) for r in licences.scan(make(rows)).collect()}
     for k, name in enumerate(names.values()):
         assert got[k][0] == name and name in got[k + 10][1].split(",")
+
+
+def test_short_items_and_scripts_without_spaces(spark, make):
+    items = [
+        ("cn", "小明有三个苹果，他又买了5个苹果，请问小明现在一共有多少个苹果？"), ("sum", "What is 2 + 2"), ("one", "Yes."),
+        ("th", "สวัสดีชาวโลก วันนี้อากาศดีมากและเราจะไปเที่ยวทะเลกับ 4 คน"), ("none", "?!"), ("empty", None),
+    ]
+    found = spark.createDataFrame(items, "item_id string, text string")
+    rows = [
+        (1, "前言。小明有三个苹果，他又买了5个苹果，请问小明现在一共有多少个苹果？后记", "s"), (2, "I ask: what is 2 + 2 then", "s"),
+        (3, "what is 3 + 2", "s"), (4, "Well.\nYes.\nNo.", "s"), (5, "oh yes indeed", "s"), (6, "other words altogether here", "s"),
+        (7, "小明有三个苹果，他又买了9个苹果，请问小明现在一共有多少个苹果？", "s"), (8, None, "s"), (9, "Yes", "s"),
+        (10, "aaa สวัสดีชาวโลก วันนี้อากาศดีมากและเราจะไปเที่ยวทะเลกับ 4 คน", "s"), (11, "今天天气很好，我们去公园散步，看到了很多花和树。", "s"),
+    ]
+    got = sorted((r.doc_id, r.item_id, r.kind) for r in decontaminate.find_contamination(make(rows), found).collect())
+    assert got == [
+        (1, "cn", "same"), (2, "sum", "same"), (4, "one", "same"), (7, "cn", "reparameterised"), (9, "one", "same"),
+        (10, "th", "same"),
+    ]
+    assert sorted(r.doc_id for r in decontaminate.keep_clean(make(rows), found).collect()) == [3, 5, 6, 8, 11]
+
+
+def test_only_units_that_can_share_a_string_are_sorted():
+    rng = random.Random(6)
+    for length in (10, 30, 100):
+        for _ in range(20):
+            base = ["".join(rng.choice("abc") for _ in range(3 * length)) for _ in range(3)]
+            texts_ = [
+                "".join(rng.choice(base)[rng.randrange(length) :][: rng.randrange(2 * length)] + rng.choice("xyz") * rng.randrange(5) for _ in range(4)).encode()
+                for _ in range(6)
+            ]
+            units = [(a, s, n, -1 if twice else spot, t[s : s + n + length - 1]) for t in texts_ for a, s, n, twice, spot in zip(*suffixes.units_of(t, length))]
+            seen = {}
+            for k, unit in enumerate(units):  # distinct contents only, as the operator has them
+                seen.setdefault((unit[0], unit[4]), k)
+            units = [units[k] for k in seen.values()]
+            if not units:
+                continue
+            anchor, spot = (np.array([u[k] for u in units], dtype=np.int64) for k in (0, 3))
+            size = np.array([len(u[4]) for u in units])
+            begin = np.cumsum(size) - size
+            keep = suffixes.worth_sorting(anchor, spot, np.frombuffer(b"".join(u[4] for u in units), np.uint8), begin, size, length)
+            strings = [[u[4][k : k + length] for k in range(u[2])] for u in units]
+            for k, own in enumerate(strings):
+                others = {x for j, more in enumerate(strings) if j != k and anchor[j] == anchor[k] for x in more}
+                if len(set(own)) < len(own) or others & set(own):
+                    assert keep[k]
+
+
+def test_the_greatest_id_stays(make):
+    last = (1 << 63) - 1
+    text = "".join(chr(97 + k * k % 26) for k in range(60)) + " some text that stands in three documents of the corpus, word for word and line for line."
+    rows = [(last, text, "s"), (None, text, "s"), (5, text, "s"), (last - 1, "short", "s")]
+    got = sorted((str(r.doc_id), r.n_removed) for r in suffixes.remove_repeats(make(rows)).collect())
+    n = len(text.encode())
+    assert got == sorted([(str(last), n), ("None", n), ("5", 0), (str(last - 1), 0)])

@@ -21,23 +21,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonetide.llm.common import blocks, cut, map_batches, release, stored
-from zonetide.llm.difference_cover import MAX_SYMBOLS, equal_neighbours, suffix_ranks
+from zonetide.llm.difference_cover import equal_neighbours, suffix_ranks
 
 LENGTH, GRAM = 100, 24
 #: Different units of one anchor that are sorted in one block. At usual sizes 1.2 MB; units of long runs count by their bytes.
 HOT_UNITS = 8_000
 HOT_BYTES = 1_200_000
-#: A block is sorted when its bytes reach this.
-BLOCK_BYTES = MAX_SYMBOLS - HOT_BYTES - (1 << 16)
+#: A block is sorted when its bytes reach this; with the last anchor's it stays below what can be ranked at once.
+BLOCK_BYTES = 1 << 19
 #: Longer runs of one anchor are cut, so that a unit is small whatever the text.
 LONGEST_RUN = 4_096
 #: Starts looked at together, so that memory does not follow the longest text.
 CHUNK = 1 << 20
+#: The greatest number of 64 bits, where rows without an id stand.
+LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
 _ALL = (1 << 64) - 1
 
@@ -71,13 +74,19 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def units_of(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, first start, number of starts, and whether the anchor stands twice or more in it, of each unit.
+def gram_of(length: int) -> int:
+    """The size of the substrings whose smallest digest is a string's anchor."""
+    return min(GRAM, max(1, length // 2))
+
+
+def units_of(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """Anchor, first start, number of starts, whether the anchor stands twice or more in it, and where in the unit it stands
+    first, of each unit.
 
     Together the units hold every start of a string once. Cuts at CHUNK and LONGEST_RUN only keep units small: they
     may make two units of equal strings differ, and such units are then compared by their bytes.
     """
-    gram = min(GRAM, max(1, length // 2))
+    gram = gram_of(length)
     width, raw = length - gram + 1, np.frombuffer(text, np.uint8)
     parts = []
     for at in range(0, len(raw) - length + 1, CHUNK):
@@ -94,19 +103,27 @@ def units_of(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray,
         size = count + width - 1
         begin = np.cumsum(size) - size
         place = np.arange(int(size.sum())) - np.repeat(begin - first, size)
-        hits = np.add.reduceat(grams[place] == np.repeat(least[first], size), begin, dtype=np.int64)
-        parts.append((least[first].view(np.int64), first + at, count, hits > 1))
+        found = np.nonzero(grams[place] == np.repeat(least[first], size))[0]
+        owner = np.searchsorted(begin, found, "right") - 1
+        hits = np.bincount(owner, minlength=len(first))
+        # Every unit holds its anchor, so the first find of each owner is where the owner changes.
+        spot = found[np.concatenate([[True], owner[1:] != owner[:-1]])] - begin
+        parts.append((least[first].view(np.int64), first + at, count, hits > 1, spot))
     if not parts:
-        return np.array([], np.int64), np.array([], np.int64), np.array([], np.int64), np.array([], bool)
+        none = np.array([], np.int64)
+        return none, none, none, np.array([], bool), none
     return tuple(np.concatenate(p) for p in zip(*parts))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Texts with a place in the order of documents (null ids last) and a digest that tells rows of one id apart."""
+    """Texts with a place in the order of documents (null ids last, with the greatest number) and a digest of 63 bits that tells
+    rows of one place apart; it is negative where the row has an id.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
+    digest = F.xxhash64(text).bitwiseAND(F.lit(LAST))
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"),
-        F.pmod(F.xxhash64(text), F.lit((1 << 31) - 1)).cast("int").alias("tie"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
+        F.when(F.col("doc_id").isNull(), digest).otherwise(-digest - 1).alias("tie"),
         text.alias("text"),
     )
 
@@ -142,14 +159,14 @@ def _unit_rows(docs: DataFrame, length: int, anchors_only: bool) -> DataFrame:
                         tie.take(pa.array(owner)),
                         pa.array(np.concatenate([f[1] for f in found]).astype(np.int32)),
                         pa.array(np.concatenate([f[2] for f in found]).astype(np.int32)),
-                        twice,
+                        pa.array(np.where(np.concatenate([f[3] for f in found]), -1, np.concatenate([f[4] for f in found])).astype(np.int32)),
                     ],
-                    names=["anchor", "content", "doc", "tie", "start", "count", "twice"],
+                    names=["anchor", "content", "doc", "tie", "start", "count", "spot"],
                 )
 
     schema = "anchor bigint, twice boolean"
     if not anchors_only:
-        schema = "anchor bigint, content bigint, doc bigint, tie int, start int, count int, twice boolean"
+        schema = "anchor bigint, content bigint, doc bigint, tie bigint, start int, count int, spot int"
     return map_batches(_keyed(docs), run, schema)
 
 
@@ -177,9 +194,9 @@ def _earliest(units: DataFrame) -> DataFrame:
     first = units.groupBy("anchor", "content").agg(
         F.min(F.struct("doc", "start", "tie")).alias("first"),
         F.max("count").alias("count"),
-        F.max("twice").alias("twice"),
+        F.min("spot").alias("spot"),
     )
-    return stored(first.select("anchor", "content", "first.*", "count", "twice"), "earliest")
+    return stored(first.select("anchor", "content", "first.*", "count", "spot"), "earliest")
 
 
 def _repeated_units(units: DataFrame, earliest: DataFrame) -> DataFrame:
@@ -193,7 +210,7 @@ def _unit_bytes(docs: DataFrame, earliest: DataFrame, length: int) -> DataFrame:
     sizes = earliest.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("count") + (length - 1)).alias("bytes"),
-        F.max("twice").alias("twice"),
+        F.max(F.col("spot") < 0).alias("twice"),
     )
     several = cut(
         sizes.filter("n > 1 or twice").select(
@@ -201,7 +218,7 @@ def _unit_bytes(docs: DataFrame, earliest: DataFrame, length: int) -> DataFrame:
         )
     )
     wanted = earliest.join(several, "anchor").groupBy("doc", "tie").agg(
-        F.collect_list(F.struct("anchor", "hot", "start", "count")).alias("units")
+        F.collect_list(F.struct("anchor", "hot", "start", "count", "spot")).alias("units")
     )
     joined = _keyed(docs).dropDuplicates(["doc", "tie"]).join(wanted, ["doc", "tie"]).select("doc", "tie", "text", "units")
 
@@ -212,54 +229,92 @@ def _unit_bytes(docs: DataFrame, earliest: DataFrame, length: int) -> DataFrame:
                 for doc, tie, text, units in zip(*(batch.column(k).to_pylist() for k in range(4))):
                     raw = text.encode()
                     rows += [
-                        (u["anchor"], u["hot"], doc, tie, u["start"], u["count"],
+                        (u["anchor"], u["hot"], doc, tie, u["start"], u["count"], u["spot"],
                          raw[u["start"] : u["start"] + u["count"] + length - 1])
                         for u in units
                     ]
-                columns = list(zip(*rows)) if rows else [[]] * 7
-                kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+                columns = list(zip(*rows)) if rows else [[]] * 8
+                long, short = pa.int64(), pa.int32()
+                kinds = (long, pa.bool_(), long, long, short, short, short, pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds)],
-                    names=["anchor", "hot", "doc", "tie", "start", "count", "bytes"],
+                    names=["anchor", "hot", "doc", "tie", "start", "count", "spot", "bytes"],
                 )
 
     return map_batches(
-        joined, run, "anchor bigint, hot boolean, doc bigint, tie int, start int, count int, bytes binary"
+        joined, run, "anchor bigint, hot boolean, doc bigint, tie bigint, start int, count int, spot int, bytes binary"
     )
 
 
+def worth_sorting(anchor: np.ndarray, spot: np.ndarray, text: np.ndarray, begin: np.ndarray, size: np.ndarray, length: int) -> np.ndarray:
+    """Whether each unit can share a string with another one of its anchor, or with itself.
+
+    A string holds its anchor and, to the left or to the right of it, at least half of its other bytes. So two units with a
+    common string agree on the anchor and that much on one side of it. Units that agree with no other one on either side
+    need not be sorted. Where the anchor stands twice in a unit (`spot` is negative), all units of that anchor are kept.
+    """
+    gram = gram_of(length)
+    side = (length - gram + 1) // 2
+    digests = _gram_digests(text, gram + side) if len(text) >= gram + side else np.array([], np.uint64)
+    twice = spot < 0
+    keep = np.isin(anchor, anchor[twice]) if twice.any() else np.zeros(len(anchor), dtype=bool)
+    sides = (np.where(spot >= side, begin + spot - side, -1), np.where(spot + gram + side <= size, begin + spot, -1))
+    for at in sides:
+        there = np.nonzero((at >= 0) & ~twice)[0]
+        # Anchor and digest mixed: equal pairs give equal keys, and a chance meeting only keeps a unit too many.
+        key = digests[at[there]] * np.uint64(_BASE) ^ anchor[there].view(np.uint64)
+        order = np.argsort(key)
+        same = key[order][1:] == key[order][:-1]
+        keep[there[order[1:][same]]] = True
+        keep[there[order[:-1][same]]] = True
+    return keep
+
+
 class _Block:
     """Units of whole anchors, sorted together."""
 
     def __init__(self, length: int) -> None:
-        self.length, self.rows, self.size = length, [], 0
+        self.length, self.parts, self.size = length, [], 0
+
+    def add(self, part: pa.RecordBatch) -> None:
+        self.parts.append(part)
+        self.size += part.column(6).nbytes
 
     def repeats(self) -> pa.RecordBatch:
         """Runs of starts whose string also starts earlier, as (doc, tie, start, count)."""
-        length, rows = self.length, self.rows
-        text = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
-        size = np.array([len(r[4]) for r in rows], dtype=np.int64)
+        length = self.length
+        whole = pa.Table.from_batches(self.parts).combine_chunks()
+        anchor, doc, tie, start, count, spot = (
+            whole.column(k).to_numpy().astype(np.int64) for k in range(6)
+        )
+        size = pc.binary_length(whole.column(6)).to_numpy().astype(np.int64)
+        text = np.frombuffer(b"".join(whole.column(6).to_pylist()), np.uint8)
+        begin = np.cumsum(size) - size
+        kept = np.nonzero(worth_sorting(anchor, spot, text, begin, size, length))[0]
+        if not len(kept):
+            none = np.array([], np.int64)
+            return _runs(none, none, none > 0, doc, tie)
+        own = np.concatenate([text[b : b + n] for b, n in zip(begin[kept].tolist(), size[kept].tolist())])
+        size, count, first = size[kept], count[kept], start[kept]
         begin = np.cumsum(size) - size
-        count = np.array([r[3] for r in rows], dtype=np.int64)
-        owner = np.repeat(np.arange(len(rows)), count)
+        owner = np.repeat(np.arange(len(kept)), count)
         inside = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-        at = begin[owner] + inside
-        doc = np.array([r[0] for r in rows], dtype=np.int64)[owner]
-        start = np.array([r[2] for r in rows], dtype=np.int64)[owner] + inside
-        rank = suffix_ranks(text.astype(np.int64) + 1, length)
+        at, place = begin[owner] + inside, first[owner] + inside
+        of = doc[kept][owner]
+        rank = suffix_ranks(own.astype(np.int64) + 1, length)
         order = np.argsort(rank[at], kind="stable")
-        group = np.cumsum(~equal_neighbours(text, at[order], length))
+        group = np.cumsum(~equal_neighbours(own, at[order], length))
         # The earliest place of each group of equal strings.
-        by_place = np.lexsort((start[order], doc[order], group))
+        by_place = np.lexsort((place[order], of[order], group))
         group, order = group[by_place], order[by_place]
         lead = np.concatenate([[True], group[1:] != group[:-1]])
         leader = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
         later = np.zeros(len(at), dtype=bool)
-        later[order] = (doc[order] != doc[leader]) | (start[order] != start[leader])
-        return _runs(rows, owner, start, later)
+        later[order] = (of[order] != of[leader]) | (place[order] != place[leader])
+        return _runs(owner, place, later, doc[kept], tie[kept])
 
 
-def _runs(rows: list, owner: np.ndarray, start: np.ndarray, later: np.ndarray) -> pa.RecordBatch:
+def _runs(owner: np.ndarray, place: np.ndarray, later: np.ndarray, doc: np.ndarray, tie: np.ndarray) -> pa.RecordBatch:
     hit = np.nonzero(later)[0]
     new = np.ones(len(hit), dtype=bool)
     new[1:] = (np.diff(hit) != 1) | (np.diff(owner[hit]) != 0)
@@ -268,9 +323,9 @@ def _runs(rows: list, owner: np.ndarray, start: np.ndarray, later: np.ndarray) -
     own = owner[first]
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(np.array([r[0] for r in rows], dtype=np.int64)[own]),
-            pa.array(np.array([r[1] for r in rows], dtype=np.int32)[own]),
-            pa.array(start[first].astype(np.int32)),
+            pa.array(doc[own], pa.int64()),
+            pa.array(tie[own], pa.int64()),
+            pa.array(place[first].astype(np.int32)),
             pa.array(number.astype(np.int32)),
         ],
         names=["doc", "tie", "start", "count"],
@@ -282,23 +337,30 @@ def _sorted_repeats(units: DataFrame, length: int) -> DataFrame:
     dealt = units.drop("hot").repartition("anchor").sortWithinPartitions("anchor")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, group, last, held = _Block(length), [], None, 0
+        block, last = _Block(length), None
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(6))):
-                if row[0] != last:
-                    block.rows += group
-                    block.size += held
-                    group, last, held = [], row[0], 0
-                    if block.size >= BLOCK_BYTES:
-                        yield block.repeats()
-                        block = _Block(length)
-                group.append(row[1:])
-                held += len(row[5])
-        block.rows += group
-        if block.rows:
+            anchor = batch.column(0).to_numpy()
+            if not len(anchor):
+                continue
+            ends = np.append(np.nonzero(anchor[1:] != anchor[:-1])[0] + 1, len(anchor))
+            sizes = np.cumsum(pc.binary_length(batch.column(6)).to_numpy(zero_copy_only=False))
+            done = 0
+            # A block ends where an anchor does, once it holds enough.
+            if block.size >= BLOCK_BYTES and anchor[0] != last:
+                yield block.repeats()
+                block = _Block(length)
+            for end in ends[:-1].tolist():
+                held = int(sizes[end - 1] - (sizes[done - 1] if done else 0))
+                if block.size + held >= BLOCK_BYTES:
+                    block.add(batch.slice(done, end - done))
+                    yield block.repeats()
+                    block, done = _Block(length), end
+            block.add(batch.slice(done))
+            last = anchor[-1]
+        if block.parts:
             yield block.repeats()
 
-    return map_batches(dealt, run, "doc bigint, tie int, start int, count int")
+    return map_batches(dealt, run, "doc bigint, tie bigint, start int, count int")
 
 
 def _digested_repeats(units: DataFrame, length: int) -> DataFrame:
@@ -312,14 +374,14 @@ def _digested_repeats(units: DataFrame, length: int) -> DataFrame:
                     [
                         pa.array(keys, pa.binary()),
                         pa.array([doc] * count, pa.int64()),
-                        pa.array([tie] * count, pa.int32()),
+                        pa.array([tie] * count, pa.int64()),
                         pa.array(np.arange(start, start + count, dtype=np.int32)),
                     ],
                     names=["key", "doc", "tie", "start"],
                 )
 
     strings = map_batches(
-        units.select("doc", "tie", "start", "count", "bytes"), run, "key binary, doc bigint, tie int, start int"
+        units.select("doc", "tie", "start", "count", "bytes"), run, "key binary, doc bigint, tie bigint, start int"
     )
     first = strings.groupBy("key").agg(
         F.min(_same_document_first("doc", "start")).alias("first"), F.count(F.lit(1)).alias("n")
@@ -361,7 +423,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, kept: bool = False) ->
     )
     runs = stored(runs, "runs")
     release(docs.sparkSession)
-    numbered = _keyed(docs).withColumn("doc_id", F.when(F.col("doc") < (1 << 63) - 1, F.col("doc")))
+    numbered = _keyed(docs).withColumn("doc_id", F.when((F.col("doc") < LAST) | (F.col("tie") < 0), F.col("doc")))
     joined = numbered.join(runs, ["doc", "tie"], "left").select("doc_id", "text", "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
