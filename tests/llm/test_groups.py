@@ -349,3 +349,21 @@ def test_the_greatest_id_stays(make):
     got = sorted((str(r.doc_id), r.n_removed) for r in suffixes.remove_repeats(make(rows)).collect())
     n = len(text.encode())
     assert got == sorted([(str(last), n), ("None", n), ("5", 0), (str(last - 1), 0)])
+
+
+def test_licence_files_with_titles(make):
+    """Licence files as they are usually kept: title, blank line, copyright line, body; wrapped, and in capitals."""
+    known = dict(licences.KNOWN[:6])
+    titles = {
+        "MIT": "MIT License", "ISC": "ISC License", "BSD-2-Clause": "BSD 2-Clause License", "0BSD": "BSD Zero Clause License",
+        "BSD-3-Clause": 'BSD 3-Clause "New" or "Revised" License', "Zlib": "zlib License",
+    }
+    assert set(known) == set(titles)
+    rows, want = [], {}
+    for k, (name, body) in enumerate(known.items()):
+        file = f"{titles[name]}\n\nCopyright (c) 2020, Some One\nAll rights reserved.\n\n{body}\n"
+        wrapped = re.sub(r"(.{40,60}) ", r"\1\n", file.split("\n\n", 1)[1])
+        rows += [(10 * k, file, "s"), (10 * k + 1, wrapped, "s"), (10 * k + 2, body.upper(), "s"), (10 * k + 3, "Code.\n\n" + body + "\n\nMore.", "s"), (10 * k + 4, body[:-40], "s")]
+        want |= {10 * k + j: (name if j < 3 else None, name if j == 3 else "") for j in range(5)}
+    got = {r.doc_id: (r.licence, r.notices) for r in licences.scan(make(rows)).collect()}
+    assert got == want

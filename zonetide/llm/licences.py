@@ -46,6 +46,28 @@ EQUIVALENT = (
     ("http", "https"),
 )
 
+#: What the BSD licences share.
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution.\n\n"
+)
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission.\n\n"
+)
+_BSD_END = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+    "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
 #: Short licence texts and notices, each whole; DIGESTS holds longer ones. A table
 #: of the same columns may be passed in instead.
 KNOWN = (
@@ -72,6 +94,28 @@ KNOWN = (
         "AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
         "PERFORMANCE OF THIS SOFTWARE.",
     ),
+    ("BSD-2-Clause", _BSD + _BSD_END),
+    ("BSD-3-Clause", _BSD + _BSD_NAMES + _BSD_END),
+    (
+        "0BSD",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY "
+        "SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR "
+        "PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH "
+        "THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software.\n\nPermission is granted to anyone to use this "
+        "software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to "
+        "the following restrictions:\n\n1. The origin of this software must not be misrepresented; you must not claim that you "
+        "wrote the original software. If you use this software in a product, an acknowledgment in the product documentation "
+        "would be appreciated but is not required.\n\n2. Altered source versions must be plainly marked as such, and must not "
+        "be misrepresented as being the original software.\n\n3. This notice may not be removed or altered from any source "
+        "distribution.",
+    ),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -84,14 +128,17 @@ KNOWN = (
     ("CC0-1.0", "Released under CC0 1.0."),
 )
 
-#: Starts of known licences that may be broadcast, at some 40 bytes each; beyond, parts are shuffled.
+#: Starts of known licences, and their digests, that may be broadcast, at some 40 and 120 bytes each; beyond, parts are shuffled.
 MAX_STARTS = 100_000
 #: Lines that name a holder or a year; licence texts themselves wrap before the word copyright.
 _COPYRIGHT = r"(?im)^\P{L}*(?:copyright\b[\t :]*(?:\(c\)|©|\d{4}|by\b)|\(c\)[\t ]|©|all rights reserved\b)[^\n]*$"
 
 
 #: A title above a licence text, which names it and is no part of it.
-_TITLE = r"(?i)^\s*(?:the\s+)?(?:mit|isc)\s+licen[cs]e(?:\s+\((?:mit|isc)\))?\s*\n(?=\s*\n)"
+_TITLE = (
+    r"(?i)^\s*(?:the\s+)?(?:(?:mit|isc|zlib)\s+licen[cs]e(?:\s+\((?:mit|isc)\))?|bsd\s+(?:[0-3]|zero)[- ]clause"
+    r"(?:\s+\x22\w+\x22(?:\s+or\s+\x22\w+\x22)?)?\s+licen[cs]e)\s*\n(?=\s*\n)"
+)
 
 
 def canonical(text: Column) -> Column:
@@ -152,9 +199,9 @@ def scan(docs: DataFrame, licences: DataFrame | None = None) -> DataFrame:
 
     A text and its parts are entire texts to look up. One whose first letters, copyright lines aside, begin no known licence
     is none, and is not normalised further; the others are, and their digests are joined to the known ones. What is found
-    goes on by the digest of its document's text, so that copies collapse before the shuffle. Known digests and findings are
-    joined without a hint: their measured size decides the kind of join, and no aggregate stands above it that would keep
-    the planner from splitting a text that many rows share.
+    goes on by the digest of its document's text, so that copies collapse before the shuffle. Findings are joined without a
+    hint: their measured size decides the kind of join, and no aggregate stands above it that would keep the planner from
+    splitting a text that many rows share.
     """
     spark = docs.sparkSession
     known = known_digests(known_licences(spark) if licences is None else licences)
@@ -171,6 +218,8 @@ def scan(docs: DataFrame, licences: DataFrame | None = None) -> DataFrame:
     # One row, of at most as many entries as there are starts.
     sizes = several.agg(F.map_from_entries(F.collect_list(F.struct("start", "sizes"))).alias("known_sizes"))
     known = known.drop("sizes")
+    # Counted too: beside a handful of digests the parts stay where they are read, however often one of them stands there.
+    known = F.broadcast(known) if known.count() <= MAX_STARTS else known
     read = texts(docs).withColumn("content", F.sha2("text", 256))
     paragraphs = F.split("text", r"\n[\x20\t\r]*\n", -1)
     blocks = F.transform(
