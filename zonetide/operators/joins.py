@@ -209,7 +209,7 @@ def diff_by_key(a: DataFrame, b: DataFrame, key: str, cols: list[str]) -> DataFr
 # --- neighbourhood --------------------------------------------------------------------------------------------------
 
 #: Cells of the coarsest level along a radius, levels, and how many cells of a level lie along one of the level above.
-CELLS_PER_RADIUS, LEVELS, FINER = 4, 4, 4
+CELLS_PER_RADIUS, LEVELS, FINER = 4, 3, 4
 #: A cell on the rim that holds this few places is not refined: its places are compared themselves.
 FEW_PLACES = 4
 #: The level of single places, whose node is the place itself.
@@ -239,7 +239,8 @@ def neighbourhood(places: DataFrame, radius: float) -> DataFrame:
     """
     slack = 1e-9
     numbered = _cells(places, radius)
-    cells = numbered.select(F.inline("cells")).groupBy("level", "kx", "ky").agg(F.count(F.lit(1)).alias("n_places"))
+    coarse = F.element_at("cells", 1)
+    cells = numbered.groupBy(coarse["kx"].alias("kx"), coarse["ky"].alias("ky")).agg(F.count(F.lit(1)).alias("n_places"))
 
     def judged(pairs: DataFrame, level: int) -> DataFrame:
         """Pairs of a place and a cell that the circle touches, and whether the cell lies inside it."""
@@ -255,29 +256,29 @@ def neighbourhood(places: DataFrame, radius: float) -> DataFrame:
         )
 
     around = F.sequence(F.lit(-CELLS_PER_RADIUS - 1), F.lit(CELLS_PER_RADIUS + 1))
-    coarse = F.element_at("cells", 1)
     probes = numbered.select("lat", "lon", coarse["kx"].alias("cx"), coarse["ky"].alias("cy"))
     probes = probes.withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around))
     probes = probes.select("lat", "lon", (F.col("cx") + F.col("dx")).alias("kx"), (F.col("cy") + F.col("dy")).alias("ky"))
-    pairs = judged(probes, 0).join(cells.filter("level = 0").drop("level"), ["kx", "ky"])
-    whole, rims = [], []
-    for level in range(LEVELS):
-        tagged = pairs.withColumn("level", F.lit(level))
-        whole.append(tagged.filter("inside").select("lat", "lon", "level", "kx", "ky"))
-        last = level == LEVELS - 1
-        few = F.lit(True) if last else F.col("n_places") <= FEW_PLACES
-        rims.append(tagged.filter(~F.col("inside") & few).select("lat", "lon", "level", "kx", "ky"))
-        if not last:
-            finer = cells.filter(F.col("level") == level + 1).select(
-                F.floor(F.col("kx") / FINER).cast("double").alias("px"),
-                F.floor(F.col("ky") / FINER).cast("double").alias("py"),
-                F.col("kx").alias("x"), F.col("ky").alias("y"), F.col("n_places").alias("n"),
-            )
-            open_ = pairs.filter(~F.col("inside") & ~few).select("lat", "lon", F.col("kx").alias("px"), F.col("ky").alias("py"))
-            children = open_.join(finer, ["px", "py"]).select(
-                "lat", "lon", F.col("x").alias("kx"), F.col("y").alias("ky"), F.col("n").alias("n_places")
-            )
-            pairs = judged(children, level + 1)
+    pairs = judged(probes, 0).join(cells, ["kx", "ky"])
+    tagged = pairs.withColumn("level", F.lit(0))
+    few = F.col("n_places") <= FEW_PLACES
+    node = ("lat", "lon", "level", "kx", "ky")
+    whole = [tagged.filter("inside").select(*node)]
+    rims = [tagged.filter(~F.col("inside") & few).select(*node)]
+    rim = tagged.filter(~F.col("inside") & ~few).select(*node)
+    steps = F.array(*[F.lit(float(k)) for k in range(FINER)])
+    for level in range(1, LEVELS):
+        # Finer cells are told by arithmetic alone; empty ones meet no demand and no place.
+        parts = rim.select("lat", "lon", "kx", "ky", F.explode(steps).alias("dx")).select("*", F.explode(steps).alias("dy"))
+        finer = judged(
+            parts.select(
+                "lat", "lon", (F.col("kx") * FINER + F.col("dx")).alias("kx"), (F.col("ky") * FINER + F.col("dy")).alias("ky")
+            ),
+            level,
+        ).withColumn("level", F.lit(level))
+        whole.append(finer.filter("inside").select(*node))
+        rim = finer.filter("NOT inside").select(*node)
+    rims.append(rim)
     others = numbered.select(F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), F.inline("cells"))
     near = union_frames(rims).join(others, ["level", "kx", "ky"]).filter(
         C.planar_distance("lat", "lon", "lat2", "lon2") <= radius * V.KM_PER_DEGREE
@@ -301,8 +302,8 @@ def nearby_demand(demand: DataFrame, zones: DataFrame, km: float, value: str = "
     place = zones.select("location_id", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
     at = lookup_join(demand.select("location_id", "hour_timestamp", value), place, ["location_id"])
     spots = at.filter(F.col("lat").isNotNull()).groupBy("lat", "lon", "hour_timestamp").agg(F.sum(value).alias("_v"))
-    # Only places with demand can ask or answer.
-    around = neighbourhood(spots.select("lat", "lon").distinct(), radius)
+    # Of the zones alone: a small table, beside which the demand is not read again.
+    around = neighbourhood(place.filter("lat IS NOT NULL AND lon IS NOT NULL").select("lat", "lon").distinct(), radius)
     own = F.array(F.struct(F.lit(SINGLE).alias("level"), F.col("lat").alias("kx"), F.col("lon").alias("ky")))
     nodes = _cells(spots, radius).select("hour_timestamp", "_v", F.inline(F.concat("cells", own)))
     totals = nodes.groupBy("level", "kx", "ky", "hour_timestamp").agg(F.sum("_v").alias("_v"))
