@@ -9,7 +9,6 @@ built.
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -214,6 +213,8 @@ CELLS_PER_RADIUS, LEVELS, FINER = 4, 3, 4
 FEW_PLACES = 4
 #: The level of single places, whose node is the place itself.
 SINGLE = -1
+#: Of a cell beside a circle: not judged yet, inside, on the rim, and on the rim but to be looked at more finely.
+_NEW, _INSIDE, _RIM, _OPEN = range(4)
 
 
 def _cells(places: DataFrame, radius: float) -> DataFrame:
@@ -243,7 +244,7 @@ def neighbourhood(places: DataFrame, radius: float) -> DataFrame:
     cells = numbered.groupBy(coarse["kx"].alias("kx"), coarse["ky"].alias("ky")).agg(F.count(F.lit(1)).alias("n_places"))
 
     def judged(pairs: DataFrame, level: int) -> DataFrame:
-        """Pairs of a place and a cell that the circle touches, and whether the cell lies inside it."""
+        """Cells that are still to be judged: outside ones go, the others lie inside the circle or on its rim."""
         size = radius / (CELLS_PER_RADIUS * FINER**level)
         near, far = F.lit(0.0), F.lit(0.0)
         for p, k in (("lat", "kx"), ("lon", "ky")):
@@ -251,44 +252,50 @@ def neighbourhood(places: DataFrame, radius: float) -> DataFrame:
             gap = F.greatest(low - F.col(p), F.col(p) - high, F.lit(0.0))
             reach = F.greatest(F.abs(F.col(p) - low), F.abs(F.col(p) - high))
             near, far = near + gap * gap, far + reach * reach
-        return pairs.withColumn("inside", F.sqrt(far) < radius * (1 - slack)).filter(
-            F.sqrt(near) <= radius * (1 + slack)
+        fresh = F.col("state") == _NEW
+        inside = F.sqrt(far) < radius * (1 - slack)
+        return pairs.filter(~fresh | (F.sqrt(near) <= radius * (1 + slack))).withColumn(
+            "state", F.when(~fresh, F.col("state")).when(inside, _INSIDE).otherwise(_RIM)
         )
 
     around = F.sequence(F.lit(-CELLS_PER_RADIUS - 1), F.lit(CELLS_PER_RADIUS + 1))
     probes = numbered.select("lat", "lon", coarse["kx"].alias("cx"), coarse["ky"].alias("cy"))
-    probes = probes.withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around))
-    probes = probes.select("lat", "lon", (F.col("cx") + F.col("dx")).alias("kx"), (F.col("cy") + F.col("dy")).alias("ky"))
-    pairs = judged(probes, 0).join(cells, ["kx", "ky"])
-    tagged = pairs.withColumn("level", F.lit(0))
-    few = F.col("n_places") <= FEW_PLACES
-    node = ("lat", "lon", "level", "kx", "ky")
-    whole = [tagged.filter("inside").select(*node)]
-    rims = [tagged.filter(~F.col("inside") & few).select(*node)]
-    rim = tagged.filter(~F.col("inside") & ~few).select(*node)
-    steps = F.array(*[F.lit(float(k)) for k in range(FINER)])
+    probes = probes.withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around)).select(
+        "lat", "lon", F.lit(0).alias("level"), (F.col("cx") + F.col("dx")).alias("kx"), (F.col("cy") + F.col("dy")).alias("ky"),
+        F.lit(_NEW).alias("state"),
+    )
+    rows = judged(probes, 0).join(cells, ["kx", "ky"])
+    rows = rows.withColumn("state", F.when((F.col("state") == _RIM) & (F.col("n_places") > FEW_PLACES), _OPEN).otherwise(F.col("state")))
     for level in range(1, LEVELS):
         # Finer cells are told by arithmetic alone; empty ones meet no demand and no place.
-        parts = rim.select("lat", "lon", "kx", "ky", F.explode(steps).alias("dx")).select("*", F.explode(steps).alias("dy"))
-        finer = judged(
-            parts.select(
-                "lat", "lon", (F.col("kx") * FINER + F.col("dx")).alias("kx"), (F.col("ky") * FINER + F.col("dy")).alias("ky")
-            ),
-            level,
-        ).withColumn("level", F.lit(level))
-        whole.append(finer.filter("inside").select(*node))
-        rim = finer.filter("NOT inside").select(*node)
-    rims.append(rim)
+        own = F.struct("level", "kx", "ky", "state")
+        parts = [
+            F.struct(
+                F.lit(level).alias("level"), (F.col("kx") * FINER + i).alias("kx"), (F.col("ky") * FINER + j).alias("ky"),
+                F.lit(_NEW).alias("state"),
+            )
+            for i in range(FINER)
+            for j in range(FINER)
+        ]
+        cut = rows.select("lat", "lon", F.inline(F.when(F.col("state") == _OPEN, F.array(*parts)).otherwise(F.array(own))))
+        rows = judged(cut, level)
+        if level < LEVELS - 1:
+            fresh_rim = (F.col("state") == _RIM) & (F.col("level") == level)
+            rows = rows.withColumn("state", F.when(fresh_rim, _OPEN).otherwise(F.col("state")))
     others = numbered.select(F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), F.inline("cells"))
-    near = union_frames(rims).join(others, ["level", "kx", "ky"]).filter(
-        C.planar_distance("lat", "lon", "lat2", "lon2") <= radius * V.KM_PER_DEGREE
+    same = [rows[c] == others[c] for c in ("level", "kx", "ky")]
+    near = rows.join(others, [*same, rows["state"] == _RIM], "left").filter(
+        (rows["state"] == _INSIDE)
+        | (C.planar_distance("lat", "lon", "lat2", "lon2") <= radius * V.KM_PER_DEGREE)
+    )
+    single = rows["state"] == _RIM
+    return near.select(
+        "lat",
+        "lon",
+        F.when(single, SINGLE).otherwise(rows["level"]).alias("level"),
+        F.when(single, F.col("lat2")).otherwise(rows["kx"]).alias("kx"),
+        F.when(single, F.col("lon2")).otherwise(rows["ky"]).alias("ky"),
     )
-    single = near.select("lat", "lon", F.lit(SINGLE).alias("level"), F.col("lat2").alias("kx"), F.col("lon2").alias("ky"))
-    return union_frames([*whole, single])
-
-
-def union_frames(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
 
 
 def nearby_demand(demand: DataFrame, zones: DataFrame, km: float, value: str = "demand_count") -> DataFrame:
