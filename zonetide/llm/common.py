@@ -38,7 +38,7 @@ def spare(docs: DataFrame, name: str) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one is set only where the session names none."""
+    """The folder that driver and executors share; a local session that names none gets a temporary one."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if named:
@@ -46,6 +46,9 @@ def shared_folder(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named.rstrip("/")
     if context.getCheckpointDir() is None:
+        # On several machines each would write to its own disk, and read back what it has not.
+        if not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="zonetide-"))
     return context.getCheckpointDir().rstrip("/")
 
