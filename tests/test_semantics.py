@@ -221,6 +221,14 @@ def test_grid_mode_has_every_hour(spark, sf_dir):
         M.demand_history(args[0], AS_OF, "30 days", "dense")
 
 
+def test_the_last_hour_counts_whole(spark):
+    times = [dt.datetime(2024, 1, 30, 22, 1), dt.datetime(2024, 1, 30, 23, 1), dt.datetime(2024, 1, 30, 23, 59, 59, 500_000)]
+    trips = spark.createDataFrame([(5, t) for t in [*times, dt.datetime(2024, 1, 31)]], "pickup_location_id bigint, pickup_datetime timestamp")
+    for at in ("2024-01-30 23:59:59", "2024-01-30 23:00:00", "2024-01-30 23:59:59.999999"):
+        got = M.demand_history(trips, at, "1 day").collect()
+        assert sorted((r.hour_timestamp.hour, r.demand_count) for r in got) == [(22, 1), (23, 2)], at
+
+
 def test_calendars_and_nearby_demand(spark, sf_dir):
     args = roles.trips_e(spark, sf_dir), roles.weather_h(spark, sf_dir), roles.zones_c(spark, sf_dir)
     days = spark.createDataFrame([(dt.date(2024, 1, 1), 1.5)], "day date, event_factor double")

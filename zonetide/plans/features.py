@@ -39,8 +39,11 @@ def history_for(history: str | None, emit: str | None) -> str | None:
 
 
 def demand_history(trips: DataFrame, as_of, history: str | None, mode: str = "rows", grid_start=None) -> DataFrame:
-    """Zone-hour demand up to `as_of`, from a full hour on; in grid mode from `grid_start` on, idle hours included."""
-    recent = P.trailing(trips, "pickup_datetime", as_of, None)
+    """Zone-hour demand from a full hour on up to the hour of `as_of`; in grid mode from `grid_start` on, idle hours included.
+
+    That last hour counts whole, whatever the minute of `as_of`: a part of it would be a wrong target, lag and mean.
+    """
+    recent = trips.filter(F.col("pickup_datetime") < C.hour_of(C.moment(as_of)) + C.interval("1 hour"))
     if history is not None:
         recent = recent.filter(F.col("pickup_datetime") >= C.hour_of(C.moment(as_of) - C.interval(history)))
     demand = A.hourly_demand(recent)
