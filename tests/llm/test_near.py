@@ -83,6 +83,28 @@ def test_groups_equal_the_plain_ones(spark, sf_dir, monkeypatch, block):
     assert got == groups(rows)
 
 
+@pytest.mark.parametrize("block, many", [(2_048, 4), (2_048, 0), (9, 0)])
+def test_a_link_beside_an_unlike_nearest_text_is_kept(spark, monkeypatch, block, many):
+    """Texts about as like as the least similarity asks: a text's nearest digest is often not like enough, another one is."""
+    rnd = random.Random(5)
+    rows = []
+    for family in range(6):
+        base = [f"f{family}w{k}" for k in range(120)]
+        for _ in range(12):
+            own = list(base)
+            for at in rnd.sample(range(120), rnd.randint(1, 3)):
+                own[at] = f"x{rnd.randrange(10**6)}"
+            rows.append((len(rows), " ".join(own)))
+    monkeypatch.setattr(near, "BLOCK", block)
+    monkeypatch.setattr(near, "MANY", many, raising=False)
+    monkeypatch.setattr(near, "RADIUS", 50)
+    # So short and many pieces that every two texts meet.
+    monkeypatch.setattr(near, "pieces_for", lambda n: (2, 64))
+    want = groups(rows)
+    got = near.keep_first(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4))
+    assert len(want) > 6 and sorted(r.doc_id for r in got.collect()) == want
+
+
 def test_digests_are_of_shingles():
     for text in ("", "a", "A b\tC", "one two three four five", "one two three four five six", "x " * 50, "é Ü ü"):
         assert len(near.shingles(text)) == len(shingle_set(text))

@@ -3,8 +3,10 @@
 At a similarity of 0.8 two SimHashes differ in some 15 % of their bits, too many for pieces that must agree by the pigeonhole. So the
 fingerprint is as long as the corpus asks for: it is cut into pieces so short that a pair agrees in at least one with a stated
 probability, and so many that a shard, named by a piece and its bits, stays small. Within a shard a BK-tree over the first
-128 bits finds each text's nearest earlier one. What it finds is confirmed on the texts' whole shingle sets, so no text is lost to
-a chance of the digests, and components of the confirmed links are the groups.
+128 bits finds each text's nearest earlier one. Where it finds any, all pairs of the shard within the radius are candidates; in a
+shard of very many first the nearest alone, then every pair whose texts the confirmed links have not joined. Candidates are
+confirmed on the texts' whole shingle sets, so no text is lost to a chance of the digests, and components of the confirmed links
+are the groups.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ WORDS, LEAST = 5, 0.8
 KEY_BITS, RADIUS = 128, 32
 #: Texts that a shard should hold on average, in one block, and the share of pairs at the least similarity that meet nowhere.
 SHARD, BLOCK, MISSED = 32, 2_048, 0.02
+#: The name of a pair of blocks; pairs a text that a unit gives at once; rows of a block that are compared at once.
+UNIT, MANY, STRIP = ("piece", "bits", "a", "b"), 4, 128
 _FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -128,60 +132,128 @@ def _prints(marked: DataFrame, marks: list[str], bits: int, pieces: int) -> Data
     return map_batches(read, run, schema)
 
 
-def _candidates(one: DataFrame) -> DataFrame:
-    """Pairs (`u`, `v`) of different texts that some shard's tree finds nearest: at most one per text and unit.
+def _dealt(one: DataFrame, *others: str) -> DataFrame:
+    """The texts' rows by shard and unit, a unit's rows together and in order.
 
     A shard beyond a block is cut by a hash, and every pair of its blocks is a unit, so a hot shard is many tasks' work.
     """
-    member = one.select("tid", "key", F.posexplode("pieces").alias("piece", "bits"))
+    member = one.select("tid", "key", *others, F.posexplode("pieces").alias("piece", "bits"))
     large = (
         member.groupBy("piece", "bits").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > BLOCK)
         .select("piece", "bits", F.ceil(F.col("size") / BLOCK).cast("int").alias("cuts"))
     )
     marked = member.join(cut(large), ["piece", "bits"], "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
     dealt = marked.withColumn("own", F.pmod(F.xxhash64("tid", F.lit(7)), F.col("cuts")).cast("int")).select(
-        "tid", "key", "piece", "bits", "own", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("other")
+        "tid", "key", *others, "piece", "bits", "own", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("other")
     )
-    unit = ["piece", "bits", "a", "b"]
-    dealt = dealt.select(
-        "piece", "bits", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "tid", "key"
+    return dealt.select(
+        "piece", "bits", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "tid", "key", *others
     )
-    dealt = dealt.repartition(*unit).sortWithinPartitions(*unit, "own", "tid")
 
-    def search(of: tuple, left: list, right: list) -> list[tuple[int, int]]:
-        if len(left) + len(right) < 2:
-            return []
+
+def _sorted(dealt: DataFrame) -> DataFrame:
+    return dealt.repartition(*UNIT).sortWithinPartitions(*UNIT, "own", "tid")
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[list], list[list]]]:
+    """A unit's name and the rows of its two blocks, of which the second is empty where a block meets itself."""
+    last, left, right = None, [], []
+    for batch in batches:
+        for piece, bits, a, b, own, *row in zip(*[c.to_pylist() for c in batch.columns]):
+            of = (piece, bits, a, b)
+            if of != last:
+                if last is not None:
+                    yield last, left, right
+                last, left, right = of, [], []
+            (left if own == a else right).append(row)
+    if last is not None:
+        yield last, left, right
+
+
+def _within(left: list[list], right: list[list], apart: bool = False) -> Iterator[np.ndarray]:
+    """The ids of all pairs of a unit within the radius, some rows of one block at a time; with `apart` those of two roots."""
+    rows = right or left
+    one, two = (np.frombuffer(b"".join(r[1] for r in side), "<u8").reshape(-1, KEY_BITS // 64) for side in (left, rows))
+    ids, others = (np.array([r[0] for r in side], dtype=np.int64) for side in (left, rows))
+    if apart:
+        roots, below = (np.array([r[2] for r in side], dtype=np.int64) for side in (left, rows))
+    for k in range(0, len(left), STRIP):
+        near = np.zeros((len(one[k : k + STRIP]), len(two)), dtype=np.int64)
+        for word in range(KEY_BITS // 64):
+            near += np.bitwise_count(one[k : k + STRIP, None, word] ^ two[None, :, word])
+        near = near <= RADIUS
+        if apart:
+            near &= roots[k : k + STRIP, None] != below[None, :]
+        if not right:
+            near = np.tril(near, k - 1)
+        x, y = np.nonzero(near)
+        both = np.stack([ids[k + x], others[y]], axis=1)
+        yield np.stack([both.min(axis=1), both.max(axis=1)], axis=1)
+
+
+def _candidates(one: DataFrame) -> DataFrame:
+    """Pairs (`u`, `v`) of different texts that meet in some shard within the radius, nearest ones by the unit's tree.
+
+    A unit of few pairs gives all of them. One of very many, as a large group of near copies has, gives each text's
+    nearest and its own name without a pair: `_apart` gives what its links have not joined.
+    """
+
+    def search(of: tuple, left: list, right: list) -> tuple[np.ndarray, bool]:
         tree, out = Tree(), []
         for name, key in left:
-            if of[2] == of[3] and (other := tree.nearest(key, RADIUS)) is not None:
-                out.append((other, name))
-            tree.add(key, name)
+            if of[2] == of[3] and (other := tree.nearest(int.from_bytes(key), RADIUS)) is not None:
+                out.append((min(other, name), max(other, name)))
+            tree.add(int.from_bytes(key), name)
         for name, key in right:
-            if (other := tree.nearest(key, RADIUS)) is not None:
-                out.append((other, name))
-        return out
+            if (other := tree.nearest(int.from_bytes(key), RADIUS)) is not None:
+                out.append((min(other, name), max(other, name)))
+        nearest = np.array(out, dtype=np.int64).reshape(-1, 2)
+        if not out:
+            return nearest, False
+        every, n = [], 0
+        for some in _within(left, right):
+            n += len(some)
+            if n > MANY * (len(left) + len(right)):
+                return nearest, True
+            every.append(some)
+        return np.concatenate(every), False
+
+    def batch_of(rows: list) -> pa.RecordBatch:
+        columns = zip(*rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, pa.int64() if k < 2 else pa.int32()) for k, c in enumerate(columns)], names=["u", "v", *UNIT]
+        )
 
-    def batch_of(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-        both = np.array(pairs, dtype=np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(both.min(axis=1)), pa.array(both.max(axis=1))], names=["u", "v"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for of, left, right in _units(batches):
+            if len(left) + len(right) < 2 or not left or (of[2] != of[3] and not right):
+                continue
+            pairs, more = search(of, left, right)
+            # The unit's name stands beside no pair, so that pairs of several units are one row.
+            rows += [(*pair, None, None, None, None) for pair in pairs.tolist()] + ([(None, None, *of)] if more else [])
+            if len(rows) > BLOCK:
+                yield batch_of(rows)
+                rows = []
+        if rows:
+            yield batch_of(rows)
+
+    schema = "u bigint, v bigint, " + ", ".join(f"{c} int" for c in UNIT)
+    return map_batches(_sorted(_dealt(one)), run, schema).distinct()
+
+
+def _apart(rooted: DataFrame, units: DataFrame) -> DataFrame:
+    """All pairs of these units within the radius whose texts have different roots."""
+    members = _dealt(rooted, "root").join(units, list(UNIT), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, left, right = None, [], []
-        for batch in batches:
-            out = []
-            columns = [batch.column(k).to_pylist() for k in range(7)]
-            for piece, bits, a, b, own, tid, key in zip(*columns):
-                of = (piece, bits, a, b)
-                if of != last:
-                    if last is not None:
-                        out += search(last, left, right)
-                    last, left, right = of, [], []
-                (left if own == a else right).append((tid, int.from_bytes(key)))
-            yield batch_of(out)
-        if last is not None:
-            yield batch_of(search(last, left, right))
-
-    return map_batches(dealt, run, "u bigint, v bigint").distinct()
+        for of, left, right in _units(batches):
+            if not left or (of[2] != of[3] and not right):
+                continue
+            for some in _within(left, right, apart=True):
+                yield pa.RecordBatch.from_arrays([pa.array(some[:, 0]), pa.array(some[:, 1])], names=["u", "v"])
+
+    return map_batches(_sorted(members), run, "u bigint, v bigint").distinct()
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -224,12 +296,8 @@ def keep_first(docs: DataFrame, least: float = LEAST) -> DataFrame:
     )
     one = cut(same.select("first", "key", "pieces").withColumn("tid", F.monotonically_increasing_id()))
     release(spark)
-    pairs = cut(_candidates(one))
+    found = cut(_candidates(one))
     release(spark)
-    asked = pairs.select(F.col("u").alias("tid")).unionByName(pairs.select(F.col("v").alias("tid"))).distinct()
-    wanted = one.join(asked, "tid").select(
-        "tid", F.col("first.mark_1").alias(marks[0]), F.col("first.mark_2").alias(marks[1])
-    )
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -237,11 +305,28 @@ def keep_first(docs: DataFrame, least: float = LEAST) -> DataFrame:
                 raw = [shingles(t).astype("<u8").tobytes() for t in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["tid", "digests"])
 
-    found = texts(marked, *marks).dropDuplicates(marks).join(wanted, marks).select("tid", "text")
-    sets = stored(map_batches(found, digest, "tid bigint, digests binary"), "near-sets")
-    release(spark)
-    links = cut(_confirmed(pairs, sets, least))
-    release(spark)
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        asked = pairs.select(F.col("u").alias("tid")).unionByName(pairs.select(F.col("v").alias("tid"))).distinct()
+        wanted = one.join(asked, "tid").select(
+            "tid", F.col("first.mark_1").alias(marks[0]), F.col("first.mark_2").alias(marks[1])
+        )
+        text = texts(marked, *marks).dropDuplicates(marks).join(wanted, marks).select("tid", "text")
+        sets = stored(map_batches(text, digest, "tid bigint, digests binary"), "near-sets")
+        release(spark)
+        links = cut(_confirmed(pairs, sets, least))
+        release(spark)
+        return links
+
+    pairs = found.filter("u IS NOT NULL").select("u", "v")
+    links = confirmed(pairs)
+    units = found.filter("u IS NULL").select(*UNIT)
+    if not units.isEmpty():
+        # Only pairs that could still join two groups are left to compare, all of them.
+        roots = components(links).withColumnRenamed("node", "tid")
+        rooted = one.select("tid", "key", "pieces").join(roots, "tid", "left").withColumn("root", F.coalesce("root", "tid"))
+        rest = cut(_apart(cut(rooted), units).join(pairs, ["u", "v"], "left_anti"))
+        release(spark)
+        links = links.unionByName(confirmed(rest))
     roots = components(links).withColumnRenamed("node", "tid")
     grouped = cut(one.select("tid", "first").join(roots, "tid", "left").withColumn("root", F.coalesce("root", "tid")))
     firsts = grouped.groupBy("root").agg(F.min("first").alias("first"))
