@@ -237,3 +237,23 @@ def test_only_new_files_are_opened(spark, tmp_path, monkeypatch):
     assert len(opened) == 1
     # Nothing of the steps between is left.
     assert not list((tmp_path / "lake/_staging").glob("*"))
+
+
+def test_bad_rows_of_a_large_file_are_not_dealt_out_by_file(spark, tmp_path, monkeypatch):
+    lake, src = jobs.Lake(spark, f"{tmp_path}/lake"), f"{tmp_path}/raw"
+    plans, append = [], jobs.Lake.append
+
+    def watched(self, table, rows_):
+        if table == "bad_trips":
+            plans.append(rows_._jdf.queryExecution().executedPlan().toString())
+        append(self, table, rows_)
+
+    monkeypatch.setattr(jobs.Lake, "append", watched)
+    for year in (1990, 1991):
+        raw_file(spark, src, 3)
+        spark.read.parquet(src).limit(1).withColumn("tpep_pickup_datetime", F.lit(dt.datetime(year, 1, 1))).write.mode("append").parquet(src)
+        jobs.land_trips(lake, src, dt.datetime(2024, 1, 30))
+    assert lake.read("bad_trips").count() == 2
+    # Nothing but the name's join has a key, and that one is broadcast.
+    assert len(plans) == 2 and all("BroadcastHashJoin [file" in p for p in plans)
+    assert not any("SortMergeJoin [file" in p and "LeftAnti" in p.split("SortMergeJoin [file")[1].splitlines()[0] for p in plans)

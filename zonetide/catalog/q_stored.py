@@ -290,9 +290,10 @@ def _land_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_folder(spark, "landing")
     raw = roles.raw_o(spark, sf_dir).withColumn("_half", F.col("PULocationID") % 2)
     lake = L.Lake(spark, f"{root}/lake")
-    raw.filter("_half = 0").drop("_half").repartition(3).write.parquet(f"{root}/raw")
+    # As many files as the rows ask for: a fixed number would be as many tasks, however large they get.
+    raw.filter("_half = 0").drop("_half").hint("rebalance").write.parquet(f"{root}/raw")
     L.land_trips(lake, f"{root}/raw", _LOADED)
-    raw.filter("_half = 1 OR PULocationID % 10 = 0").drop("_half").repartition(3).write.mode("append").parquet(f"{root}/raw")
+    raw.filter("_half = 1 OR PULocationID % 10 = 0").drop("_half").hint("rebalance").write.mode("append").parquet(f"{root}/raw")
     for _ in range(2):
         L.land_trips(lake, f"{root}/raw", _LOADED)
     good = lake.read("trips").groupBy("year", "month").agg(

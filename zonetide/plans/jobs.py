@@ -141,10 +141,11 @@ def land_trips(lake: Lake, raw_path: str, as_of: datetime) -> None:
     wrong = (pickup < C.moment(EARLIEST)) | (pickup > C.moment(as_of + timedelta(days=1)))
     stamp = C.moment(as_of)
     with lake.staged(fresh.withColumn("_wrong", F.coalesce(wrong, F.lit(False)))) as read:
-        # Files that landed in a run that ended early are read again: their bad rows are known by their file.
+        # Files that landed in a run that ended early are read again: their bad rows are known by their file. These are names out
+        # of the listing above, so they are broadcast: dealt out by file, a large file would be one task's work.
         bad = read.filter("_wrong").drop("_wrong").withColumn("load_date", stamp)
-        known = lake.read("bad_trips").select(_same_file("file").alias("file")).distinct()
-        lake.append("bad_trips", bad.join(known, "file", "left_anti"))
+        known = lake.read("bad_trips").select(_same_file("file").alias("file")).distinct().join(chosen, "file", "left_semi")
+        lake.append("bad_trips", bad.join(F.broadcast(known), "file", "left_anti"))
 
         curated = K.conform(U.curate_trips(read.filter("NOT _wrong"), as_of), schemas.CURATED_TRIPS)
         months = curated.groupBy("year", "month").agg(F.max("pickup_datetime").alias("newest")).collect()
