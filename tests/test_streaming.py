@@ -408,3 +408,25 @@ def test_interval_trigger(spark, tmp_path):
         assert q.isActive and q.lastProgress is not None
     finally:
         q.stop()
+
+
+# --- landed logs ----------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("key", ["stream_mirrors", "stream_current_state", "stream_zone_activity"])
+def test_a_larger_log_lands_in_more_files(spark, monkeypatch, key):
+    from oracle import compare, oracle_connection
+
+    from zonetide.catalog import ORACLES, QUERIES, q_stored
+
+    made, land = [], q_stored._land
+
+    def watched(records, path):
+        files = land(records, path)
+        made.append((files, len(spark.read.parquet(path).inputFiles())))
+        return files
+
+    monkeypatch.setattr(q_stored, "_land", watched)
+    monkeypatch.setattr(q_stored, "ROWS_PER_FILE", 90)
+    assert compare(spark, oracle_connection("0.001"), QUERIES[key], ORACLES[key], "0.001") is None
+    assert made == [(12, 12)]

@@ -24,6 +24,8 @@ from zonetide.tables import store as K
 BROKER = "topic string, offset bigint, timestamp timestamp, value string"
 #: Partitions of the streams' state, which a stream keeps from its first start on.
 STATE_PARTITIONS = 8
+#: The least files of a landed log, and about how many records one holds.
+FILES, ROWS_PER_FILE = 4, 100_000
 #: Later than every event, so that a heartbeat of it closes all windows.
 END = datetime(2024, 3, 1)
 
@@ -47,15 +49,21 @@ def _declared(spark: SparkSession, table: str, path: str) -> DataFrame:
     return K.conform(spark.read.schema(schema).parquet(path), schema)
 
 
-def _landed(spark: SparkSession, sf_dir: str, name: str, files: int = 4) -> tuple[SparkSession, str]:
-    """The change records as files that a stream reads."""
+def _land(records: DataFrame, path: str) -> int:
+    """Change records as files that a stream reads; returns how many. A file is one task, so a larger log has more of them."""
+    files = max(FILES, -(-records.count() // ROWS_PER_FILE))
+    records.repartition(files, "offset").write.parquet(path)
+    return files
+
+
+def _landed(spark: SparkSession, sf_dir: str, name: str) -> tuple[SparkSession, str, int]:
     root = work_folder(spark, name)
-    roles.changes_e(spark, sf_dir).repartition(files, "offset").write.parquet(f"{root}/in")
-    return _streams(spark), root
+    files = _land(roles.changes_e(spark, sf_dir), f"{root}/in")
+    return _streams(spark), root, files
 
 
 def _window_streams(spark: SparkSession, sf_dir: str, name: str, both: bool) -> tuple[SparkSession, str]:
-    own, root = _landed(spark, sf_dir, name)
+    own, root, _ = _landed(spark, sf_dir, name)
     sides = [("aggs", J.window_stream), ("drop", J.dropoff_stream)][: 2 if both else 1]
 
     def run() -> None:
@@ -130,8 +138,8 @@ register(
 
 def _stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log in several micro-batches, each merged into the buckets of its keys."""
-    own, root = _landed(spark, sf_dir, "stream-state")
-    broker = readers.read_file_stream(own, f"{root}/in", BROKER, per_batch=2)
+    own, root, files = _landed(spark, sf_dir, "stream-state")
+    broker = readers.read_file_stream(own, f"{root}/in", BROKER, per_batch=-(-files // 2))
     log = X.flatten_change(X.parse_envelope(broker))
     # The files hold all days mixed, so a delete is remembered for the whole log.
     _finish(J.start_state(log, f"{root}/state", f"{root}/ck", forget=timedelta(days=60)))
@@ -154,9 +162,9 @@ register(
 def _stream_mirrors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every mirror's rows and the records put aside, from a log of which every tenth kind is damaged."""
     root = work_folder(spark, "stream-mirrors")
-    roles.changes_bad(spark, sf_dir).repartition(4, "offset").write.parquet(f"{root}/in")
+    files = _land(roles.changes_bad(spark, sf_dir), f"{root}/in")
     own = _streams(spark)
-    broker = readers.read_file_stream(own, f"{root}/in", BROKER, per_batch=1)
+    broker = readers.read_file_stream(own, f"{root}/in", BROKER, per_batch=-(-files // 4))
     _finish(J.start_mirrors(broker, f"{root}/mirrors", f"{root}/ck", merge_every=3))
     trips = J.read_mirror(spark, f"{root}/mirrors", "trips").select(
         F.lit("trips").alias("target"), F.col("__op").alias("op"), "id", "vendor_id", "pickup_date",
