@@ -79,3 +79,17 @@ def test_grid_keeps_the_total(spark):
     d = demand(spark, zones=3, hours=50)
     grid = W.demand_grid(d, "2024-01-01 00:00:00", "2024-01-03 01:00:00")
     assert grid.agg(F.sum("demand_count")).first()[0] == d.agg(F.sum("demand_count")).first()[0]
+
+
+def test_a_grid_is_expanded_last(spark):
+    start = dt.datetime(2024, 1, 1)
+    at = lambda h: start + dt.timedelta(hours=h)
+    data = [(1, at(0), 3), (1, at(0), 4), (1, at(2), 5), (2, at(9), 6), (None, at(1), 7), (3, None, 8), (4, at(0.5), 9)]
+    grid = W.demand_grid(spark.createDataFrame(data, "location_id int, hour_timestamp timestamp, demand_count bigint"), at(0), at(2))
+    got = sorted((r.location_id or 0, (r.hour_timestamp - start).total_seconds() / 3600, r.demand_count) for r in grid.collect())
+    zeros = {(z, h): 0 for z in range(5) for h in range(3)}
+    want = {**zeros, (1, 0): 7, (1, 2): 5, (0, 1): 7, (4, 0.5): 9}
+    assert got == sorted((z, h, n) for (z, h), n in want.items())
+    # The added hours pass no aggregate and no shuffle.
+    plan = grid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate") and "Union" not in plan

@@ -143,11 +143,16 @@ def zone_popularity(demand: DataFrame, n: int = 10) -> DataFrame:
 def demand_grid(demand: DataFrame, start, end) -> DataFrame:
     """Every zone with every hour of [start, end], demand 0 where it had none: row offsets become hour offsets.
 
-    Zero rows are added and summed in, which costs one shuffle on (zone, hour) instead of a join.
+    A zone's hours are gathered in one row, at most as many as the range has, and the missing ones are added where that row is
+    expanded: only the rows that there are get shuffled, and no task holds more than a zone's hours.
     """
-    hours = F.sequence(C.moment(start), C.moment(end), F.expr("INTERVAL 1 hour"))
-    zeros = demand.select(ZONE).distinct().select(
-        ZONE, F.explode(hours).alias(HOUR), F.lit(0).cast("bigint").alias(DEMAND)
-    )
-    kept = demand.filter(F.col(HOUR).between(C.moment(start), C.moment(end))).select(ZONE, HOUR, DEMAND)
-    return kept.unionByName(zeros).groupBy(ZONE, HOUR).agg(F.sum(DEMAND).alias(DEMAND))
+    since, until = C.moment(start), C.moment(end)
+    once = demand.groupBy(ZONE, HOUR).agg(F.sum(DEMAND).alias(DEMAND))
+    zero = F.lit(0).cast(once.schema[DEMAND].dataType)
+    row = F.struct(F.col(HOUR), F.coalesce(DEMAND, zero).alias(DEMAND))
+    # Those outside the range are null, which a list leaves out; their zone stays.
+    held = once.groupBy(ZONE).agg(F.collect_list(F.when(F.col(HOUR).between(since, until), row)).alias("_held"))
+    hours = F.sequence(since, until, F.expr("INTERVAL 1 hour"))
+    idle = F.array_except(hours, F.transform("_held", lambda x: x[HOUR]))
+    zeros = F.transform(idle, lambda h: F.struct(h.alias(HOUR), zero.alias(DEMAND)))
+    return held.select(ZONE, F.inline(F.concat("_held", zeros)))
