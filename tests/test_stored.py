@@ -206,6 +206,18 @@ def test_a_deep_page_reads_the_buckets_that_hold_it(spark, tmp_path):
         T.read_page(spark, str(tmp_path), order, 0, 10)
 
 
+@pytest.mark.parametrize("large, buckets", [(100_000, 12), (400, 25)])
+def test_a_long_listing_has_larger_buckets(spark, tmp_path, monkeypatch, large, buckets):
+    monkeypatch.setattr(T, "SMALL_BUCKETS", 12, raising=False)
+    monkeypatch.setattr(T, "ROWS_PER_BUCKET", large)
+    listing = spark.range(10_000).select((F.col("id") % 40).alias("hour"), "id")
+    order = ["-hour", "id"]
+    T.build_pages(listing, order, str(tmp_path), rows_per_bucket=50)
+    assert spark.read.parquet(f"{tmp_path}/directory").count() == buckets
+    for page, size in ((1, 30), (90, 100), (2, 1_700)):
+        assert rows(T.read_page(spark, str(tmp_path), order, page, size)) == rows(T.paginate(listing, order, page, size))
+
+
 # --- landing --------------------------------------------------------------------------------------------------------
 
 

@@ -66,18 +66,21 @@ def paginate(df: DataFrame, order: list[str], page: int, size: int) -> DataFrame
     )
 
 
-ROWS_PER_BUCKET = 100_000
+#: Rows of a bucket, and how many smaller ones a listing may have: each is a task and a folder.
+ROWS_PER_BUCKET, SMALL_BUCKETS = 100_000, 1_000
 
 
 def build_pages(df: DataFrame, order: list[str], path: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> None:
     """Store a listing in range buckets of its order, with a directory of how many rows each holds and come before it.
 
     Any page is then read from the one or two buckets that hold it (`read_page`), however deep it lies. The order's columns must
-    be unique together; buckets are of about `rows_per_bucket` rows.
+    be unique together. Buckets are of about `rows_per_bucket` rows; a listing that would have very many gets larger ones instead, of
+    `ROWS_PER_BUCKET` rows at most, so that a page reads no more than that however long the listing is.
     """
     spark = df.sparkSession
     n = df.agg(F.count(F.lit(1))).first()[0]
-    ranged = df.repartitionByRange(max(1, -(-n // rows_per_bucket)), *sort_keys(order))
+    buckets = min(-(-n // rows_per_bucket), max(SMALL_BUCKETS, -(-n // ROWS_PER_BUCKET)))
+    ranged = df.repartitionByRange(max(1, buckets), *sort_keys(order))
     ranged.withColumn("bucket", F.spark_partition_id()).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/rows")
     # The columns, which an empty listing would not tell.
     df.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/columns")
