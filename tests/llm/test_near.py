@@ -105,6 +105,72 @@ def test_a_link_beside_an_unlike_nearest_text_is_kept(spark, monkeypatch, block,
     assert len(want) > 6 and sorted(r.doc_id for r in got.collect()) == want
 
 
+@pytest.mark.parametrize("block, held", [(2_048, 1 << 24), (20, 1 << 24), (2_048, 10_000)])
+def test_a_group_of_barely_like_texts_makes_no_rows_by_pair(spark, monkeypatch, block, held):
+    """Most pairs are within the radius, few like enough, and few texts are joined: rows grow with texts, links stay whole."""
+    rnd = random.Random(8)
+    rows = []
+    for k in range(150):
+        own = [f"w{j}" for j in range(120)]
+        for at in rnd.sample(range(120), rnd.choice([1, 2, 2, 2, 3])):
+            own[at] = f"x{rnd.randrange(10**6)}"
+        rows.append((k, " ".join(own)))
+    monkeypatch.setattr(near, "BLOCK", block)
+    monkeypatch.setattr(near, "BLOCK_BYTES", held, raising=False)
+    monkeypatch.setattr(near, "RADIUS", 50)
+    monkeypatch.setattr(near, "pieces_for", lambda n: (2, 16))
+    made = []
+
+    def noted(df, run, schema, plain=near.map_batches):
+        made.append(plain(df, run, schema))
+        return made[-1]
+
+    monkeypatch.setattr(near, "map_batches", noted)
+    got = near.keep_first(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4))
+    want = groups(rows)
+    assert 10 < len(want) < 120 and sorted(r.doc_id for r in got.collect()) == want
+    # A shard in blocks gives a text to several units.
+    units = 16 * len(rows) * (3 if block == 20 else 1)
+    assert len(made) > 3 and max(m.count() for m in made) <= near.MANY * units
+
+
+def test_joining_links_are_a_forest():
+    rnd = random.Random(4)
+    texts = []
+    for k in range(60):
+        own = [f"w{j}" for j in range(90)]
+        for at in rnd.sample(range(90), rnd.randint(1, 3)):
+            own[at] = f"x{k}y{at}"
+        texts.append(" ".join(own))
+    sets = [near.shingles(t) for t in texts] + [near.shingles("")]
+    keys = [np.packbits(near.fingerprint(s, near.KEY_BITS)).tobytes() for s in sets]
+    side = [[k, key, k // 2 if k < 6 else k, s.astype("<u8").tobytes()] for k, (key, s) in enumerate(zip(keys, sets))]
+
+    def merged(links):
+        above = {r[2]: r[2] for r in side}
+
+        def top(k):
+            while above[k] != k:
+                k = above[k]
+            return k
+
+        for u, v in links:
+            above[top(side[v][2])] = top(side[u][2])
+        return sorted(sorted(r[0] for r in side if top(r[2]) == t) for t in {top(r[2]) for r in side})
+
+    def alike(x, y):
+        common = len(np.intersect1d(sets[x], sets[y]))
+        near_keys = (int.from_bytes(keys[x]) ^ int.from_bytes(keys[y])).bit_count() <= near.RADIUS
+        return near_keys and common >= 0.8 * (len(sets[x]) + len(sets[y]) - common)
+
+    every = [(x, y) for x in range(len(side)) for y in range(x) if alike(x, y)]
+    one = near._joining(side, [], 0.8)
+    assert set(tuple(sorted(p, reverse=True)) for p in one) <= set(every)
+    assert merged(one) == merged(every) and len(one) == len({r[2] for r in side}) - len(merged(every))
+    across = [(x, y) for x, y in every if (x < 30) != (y < 30)]
+    assert merged(near._joining(side[:30], side[30:], 0.8)) == merged(across)
+
+
 def test_digests_are_of_shingles():
     for text in ("", "a", "A b\tC", "one two three four five", "one two three four five six", "x " * 50, "é Ü ü"):
         assert len(near.shingles(text)) == len(shingle_set(text))

@@ -4,9 +4,9 @@ At a similarity of 0.8 two SimHashes differ in some 15 % of their bits, too many
 fingerprint is as long as the corpus asks for: it is cut into pieces so short that a pair agrees in at least one with a stated
 probability, and so many that a shard, named by a piece and its bits, stays small. Within a shard a BK-tree over the first
 128 bits finds each text's nearest earlier one. Where it finds any, all pairs of the shard within the radius are candidates; in a
-shard of very many first the nearest alone, then every pair whose texts the confirmed links have not joined. Candidates are
-confirmed on the texts' whole shingle sets, so no text is lost to a chance of the digests, and components of the confirmed links
-are the groups.
+shard of very many first the nearest alone, then every pair whose texts the confirmed links have not joined is compared where the
+shard lies, and only links that join two groups leave it, fewer than it has texts. Every link is confirmed on the texts' whole
+shingle sets, so no text is lost to a chance of the digests, and components of the confirmed links are the groups.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonetide.llm.common import blocks, cut, map_batches, release, spare, stored, texts
@@ -29,6 +29,8 @@ WORDS, LEAST = 5, 0.8
 KEY_BITS, RADIUS = 128, 32
 #: Texts that a shard should hold on average, in one block, and the share of pairs at the least similarity that meet nowhere.
 SHARD, BLOCK, MISSED = 32, 2_048, 0.02
+#: Bytes of shingle sets that a block should hold at most, where sets are compared within a shard.
+BLOCK_BYTES = 1 << 24
 #: The name of a pair of blocks; pairs a text that a unit gives at once; rows of a block that are compared at once.
 UNIT, MANY, STRIP = ("piece", "bits", "a", "b"), 4, 128
 _FACTOR = 0x9E3779B97F4A7C15
@@ -132,17 +134,25 @@ def _prints(marked: DataFrame, marks: list[str], bits: int, pieces: int) -> Data
     return map_batches(read, run, schema)
 
 
-def _dealt(one: DataFrame, *others: str) -> DataFrame:
+def _members(one: DataFrame, *others: str) -> DataFrame:
+    """A row per text and shard."""
+    return one.select("tid", "key", *others, F.posexplode("pieces").alias("piece", "bits"))
+
+
+def _cuts(member: DataFrame, held: Column | None = None) -> DataFrame:
+    """The shards beyond a block of rows, or of `held` bytes, and into how many blocks they are cut."""
+    held = F.lit(0) if held is None else held
+    sizes = member.groupBy("piece", "bits").agg(F.count(F.lit(1)).alias("size"), F.sum(held).alias("held"))
+    cuts = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("held") / BLOCK_BYTES)).cast("int")
+    return cut(sizes.select("piece", "bits", cuts.alias("cuts")).filter("cuts > 1"))
+
+
+def _dealt(member: DataFrame, cuts: DataFrame, *others: str) -> DataFrame:
     """The texts' rows by shard and unit, a unit's rows together and in order.
 
     A shard beyond a block is cut by a hash, and every pair of its blocks is a unit, so a hot shard is many tasks' work.
     """
-    member = one.select("tid", "key", *others, F.posexplode("pieces").alias("piece", "bits"))
-    large = (
-        member.groupBy("piece", "bits").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > BLOCK)
-        .select("piece", "bits", F.ceil(F.col("size") / BLOCK).cast("int").alias("cuts"))
-    )
-    marked = member.join(cut(large), ["piece", "bits"], "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
+    marked = member.join(cuts, ["piece", "bits"], "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
     dealt = marked.withColumn("own", F.pmod(F.xxhash64("tid", F.lit(7)), F.col("cuts")).cast("int")).select(
         "tid", "key", *others, "piece", "bits", "own", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("other")
     )
@@ -170,32 +180,26 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[list
         yield last, left, right
 
 
-def _within(left: list[list], right: list[list], apart: bool = False) -> Iterator[np.ndarray]:
-    """The ids of all pairs of a unit within the radius, some rows of one block at a time; with `apart` those of two roots."""
-    rows = right or left
-    one, two = (np.frombuffer(b"".join(r[1] for r in side), "<u8").reshape(-1, KEY_BITS // 64) for side in (left, rows))
-    ids, others = (np.array([r[0] for r in side], dtype=np.int64) for side in (left, rows))
-    if apart:
-        roots, below = (np.array([r[2] for r in side], dtype=np.int64) for side in (left, rows))
+def _within(left: list[list], right: list[list]) -> Iterator[tuple[int, np.ndarray]]:
+    """Which pairs of a unit are within the radius: a first row of the one block and a matrix of some rows from there on."""
+    one, two = (np.frombuffer(b"".join(r[1] for r in side), "<u8").reshape(-1, KEY_BITS // 64) for side in (left, right or left))
     for k in range(0, len(left), STRIP):
         near = np.zeros((len(one[k : k + STRIP]), len(two)), dtype=np.int64)
         for word in range(KEY_BITS // 64):
             near += np.bitwise_count(one[k : k + STRIP, None, word] ^ two[None, :, word])
         near = near <= RADIUS
-        if apart:
-            near &= roots[k : k + STRIP, None] != below[None, :]
-        if not right:
-            near = np.tril(near, k - 1)
-        x, y = np.nonzero(near)
-        both = np.stack([ids[k + x], others[y]], axis=1)
-        yield np.stack([both.min(axis=1), both.max(axis=1)], axis=1)
+        yield k, near if right else np.tril(near, k - 1)
+
+
+def _column(side: list[list], k: int) -> np.ndarray:
+    return np.array([r[k] for r in side], dtype=np.int64)
 
 
 def _candidates(one: DataFrame) -> DataFrame:
     """Pairs (`u`, `v`) of different texts that meet in some shard within the radius, nearest ones by the unit's tree.
 
     A unit of few pairs gives all of them. One of very many, as a large group of near copies has, gives each text's
-    nearest and its own name without a pair: `_apart` gives what its links have not joined.
+    nearest and its own name without a pair: `_joined` gives what its links have not joined.
     """
 
     def search(of: tuple, left: list, right: list) -> tuple[np.ndarray, bool]:
@@ -211,11 +215,13 @@ def _candidates(one: DataFrame) -> DataFrame:
         if not out:
             return nearest, False
         every, n = [], 0
-        for some in _within(left, right):
-            n += len(some)
+        ids, others = _column(left, 0), _column(right or left, 0)
+        for k, near in _within(left, right):
+            x, y = np.nonzero(near)
+            n += len(x)
             if n > MANY * (len(left) + len(right)):
                 return nearest, True
-            every.append(some)
+            every.append(np.sort(np.stack([ids[k + x], others[y]], axis=1), axis=1))
         return np.concatenate(every), False
 
     def batch_of(rows: list) -> pa.RecordBatch:
@@ -239,21 +245,75 @@ def _candidates(one: DataFrame) -> DataFrame:
             yield batch_of(rows)
 
     schema = "u bigint, v bigint, " + ", ".join(f"{c} int" for c in UNIT)
-    return map_batches(_sorted(_dealt(one)), run, schema).distinct()
+    member = _members(one)
+    return map_batches(_sorted(_dealt(member, _cuts(member))), run, schema).distinct()
 
 
 def _apart(rooted: DataFrame, units: DataFrame) -> DataFrame:
-    """All pairs of these units within the radius whose texts have different roots."""
-    members = _dealt(rooted, "root").join(units, list(UNIT), "left_semi")
+    """The texts of these units that have one of another root within the radius, by shard."""
+    member = _members(rooted, "root")
+    dealt = _dealt(member, _cuts(member), "root").join(units, list(UNIT), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for of, left, right in _units(batches):
             if not left or (of[2] != of[3] and not right):
                 continue
-            for some in _within(left, right, apart=True):
-                yield pa.RecordBatch.from_arrays([pa.array(some[:, 0]), pa.array(some[:, 1])], names=["u", "v"])
+            (ids, roots), (others, below) = ((_column(side, 0), _column(side, 2)) for side in (left, right or left))
+            one, two = np.zeros(len(ids), bool), np.zeros(len(others), bool)
+            for k, near in _within(left, right):
+                near &= roots[k : k + STRIP, None] != below[None, :]
+                one[k : k + STRIP] |= near.any(axis=1)
+                two |= near.any(axis=0)
+            found = np.unique(np.concatenate([ids[one], others[two]]))
+            shard = [pa.array(np.full(len(found), c, np.int32)) for c in of[:2]]
+            yield pa.RecordBatch.from_arrays([*shard, pa.array(found)], names=["piece", "bits", "tid"])
+
+    return map_batches(_sorted(dealt), run, "piece int, bits int, tid bigint").distinct()
 
-    return map_batches(_sorted(members), run, "u bigint, v bigint").distinct()
+
+def _joining(left: list[list], right: list[list], least: float) -> list[tuple[int, int]]:
+    """Of a unit's pairs within the radius whose sets have at least the similarity, those that join two roots not joined yet.
+
+    Every such pair is compared unless links before it have joined its texts, so the links given join what all would; they
+    are fewer than the unit's rows.
+    """
+    rows, begin = left + right, len(left) if right else 0
+    ids, sets = _column(rows, 0), [np.frombuffer(r[3], "<u8") for r in rows]
+    sizes = np.array([len(s) for s in sets])
+    names, at = np.unique(np.concatenate(sets), return_inverse=True)
+    sets = np.split(at.astype(np.int32), np.cumsum(sizes)[:-1])
+    label = np.unique(_column(rows, 2), return_inverse=True)[1]
+    own, out = np.zeros(len(names), bool), []
+    for k, near in _within(left, right):
+        for x, of in enumerate(near, k):
+            y = begin + np.flatnonzero(of)
+            # Sets of sizes too unlike cannot be alike.
+            y = y[(sizes[y] > 0) & (sizes[y] >= least * sizes[x]) & (sizes[x] >= least * sizes[y])]
+            own[sets[x]] = True
+            while len(y := y[label[y] != label[x]]):
+                some, y = y[:STRIP], y[STRIP:]
+                edges = np.cumsum(sizes[some]) - sizes[some]
+                common = np.add.reduceat(own[np.concatenate([sets[j] for j in some])], edges, dtype=np.int64)
+                alike = some[common >= least * (sizes[x] + sizes[some] - common)]
+                if len(alike):
+                    labels, first = np.unique(label[alike], return_index=True)
+                    out += [(int(ids[x]), int(ids[j])) for j in alike[first]]
+                    label[np.isin(label, labels)] = label[x]
+            own[sets[x]] = False
+    return out
+
+
+def _joined(asked: DataFrame, rooted: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links (`u`, `v`) that join the roots of the asked texts as all confirmed pairs of a shard within the radius would."""
+    cuts = _cuts(asked.join(sets.select("tid", F.octet_length("digests").alias("held")), "tid"), F.col("held"))
+    member = asked.join(rooted.select("tid", "key", "root"), "tid").join(sets, "tid")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for of, left, right in _units(batches):
+            if left and (of[2] == of[3] or right) and (links := _joining(left, right, least)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=["u", "v"])
+
+    return map_batches(_sorted(_dealt(member, cuts, "root", "digests")), run, "u bigint, v bigint")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -305,28 +365,29 @@ def keep_first(docs: DataFrame, least: float = LEAST) -> DataFrame:
                 raw = [shingles(t).astype("<u8").tobytes() for t in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["tid", "digests"])
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        asked = pairs.select(F.col("u").alias("tid")).unionByName(pairs.select(F.col("v").alias("tid"))).distinct()
-        wanted = one.join(asked, "tid").select(
+    def sets_of(asked: DataFrame) -> DataFrame:
+        wanted = one.join(asked.distinct(), "tid").select(
             "tid", F.col("first.mark_1").alias(marks[0]), F.col("first.mark_2").alias(marks[1])
         )
         text = texts(marked, *marks).dropDuplicates(marks).join(wanted, marks).select("tid", "text")
         sets = stored(map_batches(text, digest, "tid bigint, digests binary"), "near-sets")
         release(spark)
-        links = cut(_confirmed(pairs, sets, least))
-        release(spark)
-        return links
+        return sets
 
     pairs = found.filter("u IS NOT NULL").select("u", "v")
-    links = confirmed(pairs)
+    asked = pairs.select(F.col("u").alias("tid")).unionByName(pairs.select(F.col("v").alias("tid")))
+    links = cut(_confirmed(pairs, sets_of(asked), least))
+    release(spark)
     units = found.filter("u IS NULL").select(*UNIT)
     if not units.isEmpty():
         # Only pairs that could still join two groups are left to compare, all of them.
         roots = components(links).withColumnRenamed("node", "tid")
         rooted = one.select("tid", "key", "pieces").join(roots, "tid", "left").withColumn("root", F.coalesce("root", "tid"))
-        rest = cut(_apart(cut(rooted), units).join(pairs, ["u", "v"], "left_anti"))
+        rooted = cut(rooted)
+        asked = cut(_apart(rooted, units))
+        release(spark)
+        links = links.unionByName(cut(_joined(asked, rooted, sets_of(asked.select("tid")), least)))
         release(spark)
-        links = links.unionByName(confirmed(rest))
     roots = components(links).withColumnRenamed("node", "tid")
     grouped = cut(one.select("tid", "first").join(roots, "tid", "left").withColumn("root", F.coalesce("root", "tid")))
     firsts = grouped.groupBy("root").agg(F.min("first").alias("first"))
