@@ -134,6 +134,28 @@ def test_a_group_of_barely_like_texts_makes_no_rows_by_pair(spark, monkeypatch,
     assert len(made) > 3 and max(m.count() for m in made) <= near.MANY * units
 
 
+def test_pairs_across_blocks_do_not_grow_with_the_blocks(spark, monkeypatch):
+    """One shard of 200 near texts in 25 blocks: a text asks its own block and one other, every pair of blocks is named."""
+    rnd = random.Random(9)
+    monkeypatch.setattr(near, "BLOCK", 8)
+    monkeypatch.setattr(near, "MANY", 0)
+    made = []
+
+    def noted(df, run, schema, plain=near.map_batches):
+        made.append(plain(df, run, schema))
+        return made[-1]
+
+    monkeypatch.setattr(near, "map_batches", noted)
+    rows = []
+    for k in range(200):
+        key = sum(1 << b for b in rnd.sample(range(128), 8))
+        rows.append((k << 33, bytearray(key.to_bytes(16)), [0]))
+    near._candidates(spark.createDataFrame(rows, "tid bigint, key binary, pieces array<int>"))
+    found = made[0].collect()
+    assert 300 <= sum(r.u is not None for r in found) <= 400
+    assert sum(r.u is None for r in found) > 310
+
+
 def test_joining_links_are_a_forest():
     rnd = random.Random(4)
     texts = []

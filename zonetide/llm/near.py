@@ -199,7 +199,8 @@ def _candidates(one: DataFrame) -> DataFrame:
     """Pairs (`u`, `v`) of different texts that meet in some shard within the radius, nearest ones by the unit's tree.
 
     A unit of few pairs gives all of them. One of very many, as a large group of near copies has, gives each text's
-    nearest and its own name without a pair: `_joined` gives what its links have not joined.
+    nearest and its own name without a pair: `_joined` gives what its links have not joined. Of two blocks a text asks
+    one earlier block by a hash, and the unit gives its name if it has any pair, so that a shard's pairs do not grow with its blocks.
     """
 
     def search(of: tuple, left: list, right: list) -> tuple[np.ndarray, bool]:
@@ -209,19 +210,22 @@ def _candidates(one: DataFrame) -> DataFrame:
                 out.append((min(other, name), max(other, name)))
             tree.add(int.from_bytes(key), name)
         for name, key in right:
-            if (other := tree.nearest(int.from_bytes(key), RADIUS)) is not None:
+            asks = (name * _FACTOR >> 32 & (1 << 32) - 1) % of[3] == of[2]
+            if asks and (other := tree.nearest(int.from_bytes(key), RADIUS)) is not None:
                 out.append((min(other, name), max(other, name)))
         nearest = np.array(out, dtype=np.int64).reshape(-1, 2)
+        if right:
+            return nearest, any(near.any() for _, near in _within(left, right))
         if not out:
             return nearest, False
         every, n = [], 0
-        ids, others = _column(left, 0), _column(right or left, 0)
+        ids = _column(left, 0)
         for k, near in _within(left, right):
             x, y = np.nonzero(near)
             n += len(x)
-            if n > MANY * (len(left) + len(right)):
+            if n > MANY * len(left):
                 return nearest, True
-            every.append(np.sort(np.stack([ids[k + x], others[y]], axis=1), axis=1))
+            every.append(np.sort(np.stack([ids[k + x], ids[y]], axis=1), axis=1))
         return np.concatenate(every), False
 
     def batch_of(rows: list) -> pa.RecordBatch:
